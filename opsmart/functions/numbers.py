@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(24,6)"
 
 
 def parse_amount(text: Column) -> Column:
@@ -28,16 +28,22 @@ def parse_wide_integer(text: Column) -> Column:
 
 
 def money(value: Column) -> Column:
-    """Exact two-digit decimal, so sums do not depend on row order."""
+    """Exact decimal, so sums do not depend on row order."""
     return value.cast(MONEY)
 
 
+def round_half_up(value: Column, digits: int) -> Column:
+    """Round a double on its decimal value, so that a quotient a hair below a
+    tie still rounds up."""
+    return F.round(value.cast("decimal(38,10)"), digits).cast("double")
+
+
 def ratio(top: Column, bottom: Column, digits: int | None = None, per: float | None = None) -> Column:
     """``top / bottom`` as double, NULL for a zero or missing divisor."""
     out = F.try_divide(top.cast("double"), bottom.cast("double"))
     if per is not None:
         out = out * F.lit(float(per))
-    return out if digits is None else F.round(out, digits)
+    return out if digits is None else round_half_up(out, digits)
 
 
 def from_micros(value: Column) -> Column:

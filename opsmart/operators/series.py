@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from opsmart.functions.numbers import round_half_up
+
 # Range of the standard calendar, and where its history starts.
 SPINE_START, SPINE_END = "2019-01-01", "2030-12-31"
 HISTORY_START = "2020-01-01"
@@ -72,17 +74,17 @@ def _as_date(as_of: str | dt.date | Column) -> Column:
     return as_of if isinstance(as_of, Column) else F.lit(str(as_of)).cast("date")
 
 
-def spine_window(spine: DataFrame, kind: str, as_of: str | dt.date | Column) -> DataFrame:
+def spine_window(spine: DataFrame, kind: str, as_of: str | dt.date | Column, since: str = HISTORY_START) -> DataFrame:
     """``to_today``, ``projections`` (today to the end of the year after next) or
     ``historical_and_projections``, seen from ``as_of``."""
     today = _as_date(as_of)
     horizon = F.make_date(F.year(today) + 2, F.lit(12), F.lit(31))
-    since = F.lit(HISTORY_START).cast("date")
+    history = F.lit(since).cast("date")
     d = F.col("date")
     tests = {
-        "to_today": (d >= since) & (d <= today),
+        "to_today": (d >= history) & (d <= today),
         "projections": (d >= today) & (d <= horizon),
-        "historical_and_projections": (d >= since) & (d <= horizon),
+        "historical_and_projections": (d >= history) & (d <= horizon),
     }
     return spine.filter(tests[kind])
 
@@ -168,7 +170,7 @@ def rolling_ratios(df: DataFrame, keys: Sequence[str], order: str, rows: int,
 
     def one(top: Column, bottom: Column, digits: int) -> Column:
         a, b = F.sum(top).over(w).cast("double"), F.sum(bottom).over(w).cast("double")
-        return F.round(F.try_divide(a, b), digits)
+        return round_half_up(F.try_divide(a, b), digits)
 
     return df.withColumns({n: one(*r) for n, r in ratios.items()})
 

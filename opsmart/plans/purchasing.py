@@ -115,7 +115,7 @@ def purchases(tracker: DataFrame) -> DataFrame:
         F.col("delivery_date_actual").alias("delivery_date"), F.col("ship_date_actual").alias("ship_date"),
         "po_date", "_fivetran_synced",
     ).agg(
-        F.sum(F.col("total").cast(MONEY)).alias("total_purchase_cost"),
+        F.round(F.sum(F.col("total").cast(MONEY)), 2).alias("total_purchase_cost"),
         F.sum("quantity").alias("total_ordered"),
         F.sum("quantity_received").alias("total_received"),
     )

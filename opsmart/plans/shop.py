@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from opsmart.functions.numbers import money
+from opsmart.functions.numbers import money, round_half_up
 from opsmart.functions.text import any_ilike
 from opsmart.operators.series import rolling_ratios
 from opsmart.sources.tables import rename
@@ -91,7 +91,7 @@ def monthly_shop_report(spine: DataFrame, key: DataFrame, round_avg_items: bool
     average = F.avg("avg_items_per_order")
     out = joined.groupBy("year", "month_number", "month_text", "month_year", "shop_id", "currency").agg(
         *[F.sum(c).alias(n) for n, c in MONTHLY_COUNTS.items()],
-        (F.round(average, 2) if round_avg_items else average).alias("avg_items_per_order"),
+        (round_half_up(average, 2) if round_avg_items else average).alias("avg_items_per_order"),
         *[F.sum(money(F.col(c))).cast("double").alias(n) for n, c in MONTHLY_MONEY.items()],
     )
     return out.orderBy("year", "month_number")
