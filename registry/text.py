@@ -1 +1,172 @@
-"""Registered queries."""
+"""Cleaning of SKUs, amounts, dates, PO numbers and phones."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from opsmart.functions import dates, numbers, phone, sku, text
+from registry import query
+
+_SQUEEZED = "regexp_replace(replace(replace(replace(sku, '-DELETE', ''), '.', ''), ' ', ''), '\\s', '', 'g')"
+_HISTORY_SKU = f"""case when contains(sku, 'SKU#:') then regexp_replace(split_part(split_part(trim(replace(replace(sku, '-DELETE', ''), '.', '')), 'SKU#:', 1), '/', 1), '\\s', '', 'g')
+    when left(sku, 1) = '.' then {_SQUEEZED} when {_SQUEEZED} <> '' then {_SQUEEZED} else sku end"""
+_CURRENT_SKU = """case when contains(sku, 'SKU#:') then replace(split_part(split_part(sku, 'SKU#:', 1), '/', 1), ' ', '')
+    when left(sku, 1) = '.' then replace(substr(sku, 2), '-DELETE', '') when sku like '%-DELETE' then replace(sku, '-DELETE', '') else sku end"""
+_TAIL = "split_part(sku, 'SKU#:', 2)"
+_HISTORY_UPC = f"""case when contains(sku, 'SKU#:') and regexp_replace(split_part({_TAIL}, '/', 2), '\\s', '', 'g') <> '' then regexp_replace(split_part({_TAIL}, '/', 2), '\\s', '', 'g')
+    when contains(sku, 'SKU#:') and regexp_replace({_TAIL}, '\\s', '', 'g') not like '%___-__%' then regexp_replace({_TAIL}, '\\s', '', 'g') end"""
+_CURRENT_UPC = f"case when contains(sku, 'SKU#:') then split_part({_TAIL}, '/', 2) end"
+_ITEM = "replace(item_description, 'DELETED', '')"
+_HISTORY_PLACE = f"""case when qualifier is not null then qualifier when {_ITEM} like '___-__ %' then left({_ITEM}, 6)
+    when contains(sku, 'SKU#:') and sku like '%___-__%' then split_part({_TAIL}, '/', 1) end"""
+_CURRENT_PLACE = f"case when contains(sku, 'SKU#:') then split_part({_TAIL}, '/', 1) end"
+_TITLE = "array_to_string(list_transform(string_split({0}, ' '), lambda w: upper(left(w, 1)) || lower(substr(w, 2))), ' ')"
+_NAME = f"case when {_ITEM} like '___-__%' then regexp_replace({_ITEM}, '^.{{{{7}}}}', '') else {_TITLE.format(_ITEM)} end"
+
+
+@query(
+    "clean_sku",
+    f"""select p_partkey, sku as raw, {_HISTORY_SKU} as history_form, {_CURRENT_SKU} as current_form,
+        trim(replace(replace(sku, '-DELETE', ''), '.', '')) as line_form, starts_with(sku, 'MISC SUPPLY') as misc_supply from {{dirty_items}}""",
+)
+def _(s):
+    raw = F.col("sku")
+    return s.dirty_items.select(
+        "p_partkey", raw.alias("raw"), sku.clean_sku_history(raw).alias("history_form"),
+        sku.clean_sku_current(raw).alias("current_form"), sku.clean_sku_line(raw).alias("line_form"),
+        sku.is_misc_supply(raw).alias("misc_supply"),
+    )
+
+
+@query(
+    "extract_upc_location",
+    f"""select p_partkey, {_HISTORY_UPC} as upc_history, {_CURRENT_UPC} as upc_current, {_HISTORY_PLACE} as location_history,
+        {_CURRENT_PLACE} as location_current, {_NAME} as item_name from {{dirty_items}}""",
+)
+def _(s):
+    raw, item = F.col("sku"), F.col("item_description")
+    return s.dirty_items.select(
+        "p_partkey", sku.upc_history(raw).alias("upc_history"), sku.upc_current(raw).alias("upc_current"),
+        sku.location_history(raw, F.col("qualifier"), item).alias("location_history"),
+        sku.location_current(raw).alias("location_current"), sku.item_name(item).alias("item_name"),
+    )
+
+
+_AMOUNT = "try_cast(replace(replace({0}, '$', ''), ',', '') as double)"
+
+
+@query(
+    "parse_money",
+    f"""select textbox_19 as doc, txn_amount, {_AMOUNT.format('txn_amount')} as amount,
+        cast(round({_AMOUNT.format('txn_amount')}) as bigint) as whole,
+        try_cast(textbox_19 as bigint) as doc_number, try_cast(txn_amount as decimal(38,0)) as junk from {{edi_register}}""",
+)
+def _(s):
+    amount = F.col("txn_amount")
+    return s.edi_register.select(
+        F.col("textbox_19").alias("doc"), "txn_amount", numbers.parse_amount(amount).alias("amount"),
+        numbers.parse_count(amount).alias("whole"), numbers.parse_int(F.col("textbox_19")).alias("doc_number"),
+        numbers.parse_wide_integer(amount).alias("junk"),
+    )
+
+
+_SLASH = """case when regexp_full_match({0}, '[0-9]{{{{1,2}}}}/[0-9]{{{{1,2}}}}/[0-9]{{{{2}}}}') then try_cast('20' || split_part({0}, '/', 3) || '-' || split_part({0}, '/', 1) || '-' || split_part({0}, '/', 2) as date)
+    when regexp_full_match({0}, '[0-9]{{{{1,2}}}}/[0-9]{{{{1,2}}}}/[0-9]{{{{4}}}}') then try_cast(split_part({0}, '/', 3) || '-' || split_part({0}, '/', 1) || '-' || split_part({0}, '/', 2) as date) end"""
+_US = "try_strptime({0}, '%m/%d/%Y %I:%M:%S %p')"
+
+
+def slash(column: str) -> str:
+    return _SLASH.replace("{0}", column).replace("{{{{", "{{").replace("}}}}", "}}")
+
+
+def us_stamp(column: str) -> str:
+    return _US.format(column)
+
+
+@query(
+    "parse_dates",
+    f"""select _line, {slash('date')} as txn_date, {slash("replace(ship_date, '- CAN', '')")} as ship_date,
+        ship_date like '%-CAN%' or ship_date like '%- CAN%' as cancelled,
+        try_cast(left(cast(cast(_modified as date) as varchar), 10) as date) as iso_date,
+        coalesce(last_day(cast(_modified as date)) = cast(_modified as date), false) as month_end,
+        last_day(cast(_modified as date)) as month_last, cast(date_trunc('month', _modified) as date) as month_first,
+        cast(substr(_file, 1, 4) || '-01-01' as date) as file_date
+    from {{register_raw}}""",
+)
+def _(s):
+    day = F.col("_modified").cast("date")
+    return s.register_raw.select(
+        "_line",
+        dates.parse_slash_date(F.col("date")).alias("txn_date"),
+        dates.parse_slash_date(text.without_cancel_mark(F.col("ship_date"))).alias("ship_date"),
+        text.is_cancelled(F.col("ship_date")).alias("cancelled"),
+        dates.leading_date(day).alias("iso_date"),
+        dates.is_month_end(day).alias("month_end"),
+        F.last_day(day).alias("month_last"),
+        dates.month_start(day).alias("month_first"),
+        dates.report_date(F.concat(F.lit("stock_"), F.substring("_file", 1, 4), F.lit("-01-01_x.csv")), "stock_").alias("file_date"),
+    )
+
+
+@query("parse_timestamps", f"select _line, stamp, {us_stamp('stamp')} as parsed, {us_stamp('textbox_15')} as junk from {{edi_register}}")
+def _(s):
+    return s.edi_register.select(
+        "_line", "stamp", dates.parse_us_timestamp(F.col("stamp")).alias("parsed"),
+        dates.parse_us_timestamp(F.col("textbox_15")).alias("junk"),
+    )
+
+
+@query(
+    "po_number_trim",
+    """select id, custom_purchase_order_number as po_number,
+        case when regexp_full_match(custom_purchase_order_number, '[0-9]+') then ltrim(custom_purchase_order_number, '0')
+             else custom_purchase_order_number end as po_number_trim from {invoices}""",
+)
+def _(s):
+    po = F.col("custom_purchase_order_number")
+    return s.invoices.select("id", po.alias("po_number"), text.strip_leading_zeros(po).alias("po_number_trim"))
+
+
+@query("serial_dates", "select o_orderkey, date '1899-12-30' + cast(30000 + o_custkey as integer) as day from {orders}")
+def _(s):
+    return s.orders.select("o_orderkey", dates.serial_date(F.col("o_custkey") + 30000).alias("day"))
+
+
+@query("txn_type_split", "select _line, left(textbox_21, 3) as code, substr(textbox_21, 5) as label from {edi_register}")
+def _(s):
+    kind = F.col("textbox_21")
+    return s.edi_register.select("_line", text.code_of(kind).alias("code"), text.label_of(kind).alias("label"))
+
+
+@query("null_sentinels", "select p_partkey, nullif(nullif(upper(p_type), ''), 'LARGE') as p_type, nullif(p_brand, 'Brand#7') as p_brand from {part}")
+def _(s):
+    return s.part.select(
+        "p_partkey", text.blank_to_null(F.upper("p_type"), "LARGE").alias("p_type"),
+        text.blank_to_null(F.col("p_brand"), "Brand#7").alias("p_brand"),
+    )
+
+
+@query("like_and_regex", """select o_orderkey, o_orderpriority like '_-%' as dashed, o_orderpriority not like '%LOW' as not_low,
+    o_orderpriority ilike '%high%' as high, regexp_full_match(o_orderpriority, '[0-9]-[A-Z]+') as one_word from {orders}""")
+def _(s):
+    p = F.col("o_orderpriority")
+    return s.orders.select(
+        "o_orderkey", p.like("_-%").alias("dashed"), (~p.like("%LOW")).alias("not_low"),
+        text.any_ilike(p, ["%high%"]).alias("high"), text.full_match(p, "[0-9]-[A-Z]+").alias("one_word"),
+    )
+
+
+# Phones written anywhere in the documents, over their whole text.
+_PHONE = r"\+1 \([0-9]{{3}}\) [0-9]{{3}}-[0-9]{{4}}"
+
+
+@query(
+    "phone_e164",
+    f"""select doc_id, raw, case when substr(d, 1, 1) = '1' and length(d) = 11 then '+' || d end as phone
+    from (select doc_id, raw, regexp_replace(raw, '[^0-9]', '', 'g') as d
+          from (select doc_id, unnest(regexp_extract_all(text, '{_PHONE}')) as raw from {{documents}}))""",
+)
+def _(s):
+    pattern = _PHONE.replace("{{", "{").replace("}}", "}")
+    found = s.documents.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("raw"))
+    return found.withColumn("phone", phone.e164(F.col("raw"), F.lit("US")))

@@ -284,6 +284,23 @@ VIEWS = {
                     else p_name end as item_description,
                case when p_size % 5 = 0 then concat('Q', cast(p_size as string)) end as qualifier
         from {part}""",
+    "wms_report": """
+        select case when d.p_size = 49 then null else 'Customer A' end as customer,
+               d.sku, d.item_description, d.qualifier,
+               case d.p_size % 3 when 0 then 'Warehouse: Reno From 2023-03-31 00:00:00.00'
+                    else 'Warehouse: North From 2023-03-15 00:00:00.00' end as warehouse,
+               case d.p_size % 3 when 0 then concat('1,', lpad(cast(d.p_size as string), 3, '0')) when 1 then 'abc'
+                    else concat(cast(d.p_size as string), '.5') end as detail_on_hand,
+               '3' as textbox_39, '4' as detail_quarantine_on_hold, '1,000.25' as detail_available,
+               'EA' as textbox_15, 'EA' as detail_primary_uom, 'IN' as textbox_18, 'IN' as volume_unit,
+               'LB' as textbox_42, 'LB' as weight_unit, '2,000' as detail_cartons, 'CS' as textbox_28, 'CS' as detail_dim_uom,
+               '7' as detail_packed, '1.5' as detail_cu_ft, cast(null as string) as detail_weight,
+               case d.p_size % 4 when 0 then '03/31/2023 11:59:00 PM' when 1 then '2/28/2023 1:05:09 AM'
+                    when 2 then 'yesterday' else '03/15/2023 12:00:00 PM' end as end_date,
+               'stock.csv' as _file, d.p_partkey as _line,
+               case when d.p_size > 25 then timestamp '2023-04-02 00:00:00' else timestamp '2023-04-01 00:00:00' end as _modified,
+               timestamp '2023-04-02 01:00:00' as _fivetran_synced
+        from {dirty_items} d""",
     "wms_snapshots": """
         select concat('SKU-', cast(l_partkey as string)) as sku,
                concat('Item ', l_returnflag) as sku_name,
