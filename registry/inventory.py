@@ -1 +1,332 @@
-"""Registered queries."""
+"""Warehouse feeds, inventory history, bills of material."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from opsmart.operators.series import densify, fill_calendar, forward_fill
+from opsmart.plans import bom, feeds, inventory
+from registry import query
+from registry.sqltext import rnd
+from registry.text import (
+    _CURRENT_PLACE, _CURRENT_SKU, _CURRENT_UPC, _HISTORY_PLACE, _HISTORY_SKU, _HISTORY_UPC, _NAME, slash, us_stamp,
+)
+
+_ID = "sha256(_file || '-' || cast(_line as varchar)) as _row_id"
+
+
+def _num(column: str) -> str:
+    return f"try_cast(replace({column}, ',', '') as double)"
+
+
+def _whole(column: str) -> str:
+    return f"cast(round({_num(column)}) as bigint)"
+
+
+_TAIL = f"{_num('detail_cartons')} as dim_quantity, {_whole('detail_packed')} as packed, {_num('detail_cu_ft')} as cu_ft, {_num('detail_weight')} as weight"
+_RUN = f"cast({us_stamp('end_date')} as date)"
+_HEAD_RUN = "cast(left(right(warehouse, 22), 10) as date)"
+_STOCK = ["hdc_sku", "sku", "upc", "misc_supply", "sku_name", "warehouse", "warehouse_location", "brand_name", "on_hand",
+          "on_hold", "available", "dim_quantity", "packed", "cu_ft", "weight", "inv_run", "month_end", "month_end_date", "_row_id"]
+
+
+@query(
+    "wms_inventory",
+    f"""select sku as hdc_sku, {_CURRENT_SKU} as sku, {_CURRENT_UPC} as upc, starts_with(sku, 'MISC SUPPLY') as misc_supply,
+        item_description as sku_name, warehouse, {_CURRENT_PLACE} as warehouse_location, customer as brand_name,
+        {_whole('detail_on_hand')} as on_hand, {_whole('textbox_39')} as on_hold, {_whole('detail_available')} as available, {_TAIL},
+        {_RUN} as inv_run, coalesce(last_day({_RUN}) = {_RUN}, false) as month_end, last_day({_RUN}) as month_end_date, {_ID}
+    from {{wms_report}} where customer is not null""",
+)
+def _(s):
+    return feeds.parse_inventory(s.wms_report).select(*_STOCK)
+
+
+@query(
+    "wms_inventory_history",
+    f"""with p as (select sku as hdc_sku, {_HISTORY_SKU} as sku, {_HISTORY_UPC} as upc, starts_with(sku, 'MISC SUPPLY') as misc_supply,
+        {_NAME} as sku_name, split_part(replace(warehouse, 'Warehouse: ', ''), 'From', 1) as warehouse, {_HISTORY_PLACE} as warehouse_location,
+        'Brand' as brand_name, {_whole('detail_on_hand')} as on_hand, {_whole('detail_quarantine_on_hold')} as on_hold,
+        {_whole('detail_available')} as available, {_TAIL}, {_HEAD_RUN} as inv_run, {_HEAD_RUN} = last_day({_HEAD_RUN}) as month_end,
+        last_day({_HEAD_RUN}) as month_end_date, {_ID}, _modified, _line
+    from {{wms_report}} where customer is not null)
+    select p.* exclude (_modified, _line), _modified = (select max(_modified) from p) as latest from p""",
+)
+def _(s):
+    """Parsed and loaded into a table that already holds a part of the rows."""
+    from opsmart.operators.load import incremental_load
+
+    parsed = feeds.parse_inventory_history(s.wms_report, "Brand")
+    stored = parsed.filter("on_hand > 20").withColumn("latest", F.lit(True))
+    policy, order = feeds.POLICY["wms_inventory_history"]
+    return incremental_load(parsed, stored, latest=policy, order=order).select(*_STOCK, "latest")
+
+
+@query(
+    "txn_lines",
+    f"""select qty_in as transaction_id, row_number() over (partition by qty_in order by textbox_12, _file, _line) - 1 as index,
+        name as brand_name, {slash("replace(ship_date, '- CAN', '')")} as ship_date, textbox_15 as carrier, transaction_id as customer_ref,
+        cast(try_cast(textbox_14 as bigint) as varchar) as tracking_num, tracking_number as po_number,
+        trim(replace(replace(textbox_12, '-DELETE', ''), '.', '')) as sku, textbox_67 as warehouse, cast(materials as bigint) as quantity,
+        true as latest, {_ID}
+    from {{line_report}}""",
+)
+def _(s):
+    return feeds.parse_transaction_lines(s.line_report).drop("_modified", "_file", "_fivetran_synced")
+
+
+@query(
+    "txn_register",
+    f"""with po as (select transaction_id as id, list(po_number order by index)[2] as po_number from {{register_lines}} where po_number is not null group by 1),
+    d as (select *, {slash('date')} as day, {slash("replace(ship_date, '- CAN', '')")} as shipped from {{register_raw}} where transaction_id is not null)
+    select transaction_id as id, name as brand_name, day as transaction_date, po_number, cast(date_trunc('month', day) as date) as period_first_day,
+        last_day(day) as period_last_day, shipped as ship_date, ship_date like '%- CAN%' as cancelled, carrier, customer_ref_ as customer_ref,
+        po_number is not null as retail, tracking_number as tracking_num, ship_to_company as shipping_recipient,
+        try_cast(qty_in as bigint) as quantity_in, try_cast(qty_out as bigint) as quantity_out, try_cast(handling as double) as charge_handling,
+        try_cast(materials as double) as charge_materials, try_cast(storage as double) as charge_storage, try_cast(special as double) as charge_special,
+        try_cast(freight_pp as double) as charge_freight, try_cast(total as double) as charge_total, notes, true as latest, {_ID}
+    from d left join po on po.id = d.transaction_id where day >= date '2020-01-01' and shipped >= date '2020-01-01'""",
+)
+def _(s):
+    out = feeds.parse_transaction_register(s.register_raw, s.register_lines)
+    return out.drop("_modified", "_file", "_fivetran_synced")
+
+
+@query(
+    "tpl_inventory",
+    f"""with p as (select cast(left(replace(_file, 'stock_report_', ''), 10) as date) as report_date, _line as index, product_code as sku,
+        product_description as sku_name, product_description_2 as sku_description, nullif(upc_code, '000000000000') as upc,
+        try_cast(quantity_on_hand as bigint) as quantity_on_hand, try_cast(quantity_allocated as bigint) as quantity_allocated,
+        try_cast(available_inv_oh as bigint) as quantity_available, try_cast(unit_case_eaches_carton as bigint) as eaches_per_carton, {_ID} from {{tpl_report}})
+    select *, report_date = (select max(report_date) from p) as latest from p""",
+)
+def _(s):
+    from opsmart.operators.load import incremental_load
+
+    parsed = feeds.parse_3pl_inventory(s.tpl_report, "stock_report_").drop("_modified", "_file", "_fivetran_synced")
+    stored = parsed.filter("quantity_on_hand > 30").withColumn("latest", F.lit(True))
+    return incremental_load(parsed, stored, latest="max_of_batch", order="report_date")
+
+
+@query(
+    "tpl_shipment",
+    f"""select cast(o_orderdate as date) as report_date, o_orderkey as index, cast(o_orderdate as date) as ship_date, name as ship_id,
+        o_orderstatus as ship_state, customer_ref_ as reference, tracking_number as po_number, ship_to_company as bill_contact,
+        r.carrier, o_orderpriority as carrier_description, try_cast(handling as double) as unit_price, notes as warehouse_ref,
+        sha256('ship_' || cast(cast(o_orderdate as date) as varchar) || '.csv-' || cast(_line as varchar)) as _row_id
+    from {{register_raw}} r join {{orders}} on o_orderkey = _line""",
+)
+def _(s):
+    raw = s.sql(
+        """select cast(cast(o_orderdate as date) as string) as shipment_date, name as shipment_, o_orderstatus as ship_to_state,
+            customer_ref_ as primary_ref_, tracking_number as primary_ref_po_, ship_to_company as bill_to_contact, r.carrier as scac,
+            o_orderpriority as scac_description, handling as unit_price, notes as bol_pro_,
+            concat('ship_', cast(cast(o_orderdate as date) as string), '.csv') as _file, _line, _modified, _fivetran_synced
+        from {register_raw} r join {orders} on o_orderkey = _line"""
+    )
+    return feeds.parse_3pl_shipment(raw, "ship_").drop("_modified", "_file", "_fivetran_synced")
+
+
+@query(
+    "target_reasons",
+    """select cast(p_partkey as varchar) as id, p_brand as team_area, p_type as reason_code_category, p_name as reason_code,
+        p_brand as category, p_name as description, p_type as how_to_dispute from {part}""",
+)
+def _(s):
+    raw = s.sql(
+        """select p_partkey as _line, concat(' ', p_brand, '  ') as team_area, concat(p_type, ' ') as reason_code_category,
+            concat(' ', p_name) as reason_codes, p_brand as category, p_name as description, p_type as how_to_dispute from {part}"""
+    )
+    return feeds.target_reasons(raw)
+
+
+# ---- inventory history: the counterpart densifies with a cross join ----------
+
+_START, _END = "1999-01-01", "1999-03-31"
+
+
+def _history_feeds(s):
+    wms = inventory.Feed(
+        s.wms_snapshots, "Reno", patterns=[("SKU-1%", "Component"), ("%99", "Return")], name_from_feed=False, need_stock=True
+    )
+    tpl = inventory.Feed(s.tpl_snapshots, "North", default_type="Component")
+    return [wms, tpl]
+
+
+def _mapping(s):
+    return s.warehouse_mapping.filter(~F.col("match") & F.col("sku_ref").isNotNull()).select(
+        F.col("sku").alias("warehouse_sku"), "sku_ref"
+    )
+
+
+_SNAP = """select coalesce(m.sku_ref, w.sku) as sku, inv_date, max(sku_name) as feed_name, sum(on_hand) as oh, sum(on_hold) as hold, sum(available) as av
+    from {{{0}}} w left join (select * from {{warehouse_mapping}} where not match and sku_ref is not null) m on m.sku = w.sku group by 1, 2"""
+_HISTORY = f"""h as (
+    select 'Reno' as warehouse, a.sku, coalesce(k.sku_name, a.sku) as sku_name, k.upc,
+        case when a.sku like 'SKU-1%' then 'Component' when a.sku like '%99' then 'Return' else k.sku_type end as product_type,
+        coalesce(k.status, 'Active') as status, oh, hold, av, inv_date from ({_SNAP.format('wms_snapshots')}) a left join {{sku_known}} k on k.sku = a.sku where oh is not null
+    union all
+    select 'North', a.sku, coalesce(k.sku_name, a.feed_name), k.upc, coalesce(k.sku_type, 'Component'), coalesce(k.status, 'Active'), oh, hold, av, inv_date
+    from ({_SNAP.format('tpl_snapshots')}) a left join {{sku_known}} k on k.sku = a.sku),
+items as (select warehouse, sku, max(sku_name) as sku_name from h group by 1, 2),
+days as (select cast(d as date) as date from (select unnest(generate_series(date '{_START}', date '{_END}', interval 1 day)) as d)),
+dense as (select i.*, d.date from items i, days d),
+f as (select x.sku, x.sku_name, h.upc, h.product_type, h.status, x.warehouse, x.date,
+    last_value(oh ignore nulls) over w as total_on_hand, last_value(hold ignore nulls) over w as total_on_hold, last_value(av ignore nulls) over w as total_available,
+    case when h.inv_date is not null then h.inv_date = last_day(h.inv_date) end as month_end,
+    sha256(x.warehouse || '-' || cast(x.date as varchar) || '-' || x.sku) as _row_id
+    from dense x left join h on h.warehouse = x.warehouse and h.sku = x.sku and h.inv_date = x.date
+    window w as (partition by x.warehouse, x.sku order by x.date rows between unbounded preceding and current row))"""
+
+
+def _history(s):
+    lo, hi = F.lit(_START).cast("date"), F.lit(_END).cast("date")
+    return inventory.inventory_history(_history_feeds(s), _mapping(s), s.sku_known, lo, hi)
+
+
+@query("inventory_history", f"with {_HISTORY} select * from f")
+def _(s):
+    return _history(s)
+
+
+@query(
+    "inventory_history_load",
+    f"""with {_HISTORY} select sku, warehouse, date, case when date < date '1999-02-01' then -1 else total_on_hand end as total_on_hand, _row_id from f""",
+)
+def _(s):
+    """Only days not stored yet are added; stored ones keep their old figures."""
+    full = _history(s)
+    stored = full.filter("date < date '1999-02-01'").withColumn("total_on_hand", F.lit(-1).cast("bigint"))
+    return inventory.load_inventory_history(full, stored).select("sku", "warehouse", "date", "total_on_hand", "_row_id")
+
+
+@query(
+    "forward_fill",
+    """with d as (select cast(l_shipdate as date) as day, sum(case when l_quantity = 50 then l_linenumber end) as v from {lineitem} group by 1)
+    select day, v as raw, last_value(v ignore nulls) over (order by day rows between unbounded preceding and current row) as filled from d""",
+)
+def _(s):
+    daily = s.lineitem.groupBy(F.col("l_shipdate").cast("date").alias("day")).agg(
+        F.sum(F.when(F.col("l_quantity") == 50, F.col("l_linenumber"))).alias("raw")
+    )
+    return forward_fill(daily.withColumn("filled", F.col("raw")), [], "day", ["filled"])
+
+
+@query(
+    "densify",
+    """with b as (select o_custkey, min(cast(o_orderdate as date)) as a, max(cast(o_orderdate as date)) as z from {orders} group by 1)
+    select o_custkey, cast(d as date) as date from (select o_custkey, unnest(generate_series(a, z, interval 1 day)) as d from b)""",
+)
+def _(s):
+    day = F.col("o_orderdate").cast("date")
+    spans = s.orders.groupBy("o_custkey").agg(F.min(day).alias("a"), F.max(day).alias("z"))
+    return densify(spans, F.col("a"), F.col("z")).select("o_custkey", "date")
+
+
+# ---- bills of material -------------------------------------------------------
+
+_BOM = """bm as (select b.component_sku, c.sku_name as component_name, coalesce(c.sku_type = 'Finished Good', false) as is_fg, b.usage, b.fg_sku,
+    f.sku_name as fg_sku_name, f.upc as fg_upc, f.product_code as fg_product_code, f.product_group as fg_product_group, f.vendor as fg_manufacturer,
+    f.status as fg_status, row_number() over (partition by b.fg_sku order by b.component_sku, b._line) as component_index, c.product_group as component_type,
+    c.version as component_version, c.unit as component_unit, c.vendor as component_vendor, c.vendor_id as component_vendor_id, b._line + 1 as index
+    from {bom_raw} b left join {sku_known} c on c.sku = b.component_sku left join {sku_known} f on f.sku = b.fg_sku)"""
+
+
+def _boms(s):
+    return bom.bom_enrich(s.bom_raw, s.sku_known)
+
+
+@query("bom_enrich", f"with {_BOM} select *, true as latest from bm")
+def _(s):
+    return _boms(s).drop("_fivetran_synced")
+
+
+@query(
+    "boms_by_sku",
+    f"""with {_BOM} select fg_sku as sku, fg_sku_name as sku_name, fg_upc as upc, component_sku, component_name, component_index, is_fg, usage,
+        component_type, component_version, component_unit, component_vendor, component_vendor_id from bm""",
+)
+def _(s):
+    return bom.boms_by_sku(_boms(s))
+
+
+_USAGE = f"""with {_BOM} select fg_sku as sku, fg_sku_name as sku_name, fg_upc as upc, count(*) as num_components,
+    sum(case when usage is null then 1 else 0 end) as num_missing_usage from bm group by 1, 2, 3"""
+
+
+@query("bom_usage_summary", _USAGE)
+def _(s):
+    return bom.bom_usage_summary(_boms(s))
+
+
+@query("bom_missing_usage", _USAGE + " having sum(case when usage is null then 1 else 0 end) > 0")
+def _(s):
+    return bom.bom_usage_summary(_boms(s), only_missing=True)
+
+
+_TYPES = {"small": "SMALL", "medium": "MEDIUM", "large": "LARGE", "promo": "PROMO", "standard": "STANDARD", "unseen": "BTCP"}
+
+
+@query(
+    "component_matrix",
+    f"""with {_BOM} select fg_sku as sku, fg_sku_name as sku_name, {", ".join(f"max(case when component_type = '{v}' then true end) as {k}" for k, v in _TYPES.items())}
+    from bm join {{groups}} g on g.group_id = component_type group by 1, 2""",
+)
+def _(s):
+    return bom.component_matrix(_boms(s), s.groups, _TYPES)
+
+
+@query("component_type_matches", f"with {_BOM} select distinct component_type, g.group_id as product_type from bm left join {{groups}} g on g.group_id = component_type")
+def _(s):
+    return bom.component_type_matches(_boms(s), s.groups)
+
+
+def _prices(s):
+    return s.sql("select sku, avg(p_retailprice) as average_price from {sku_known} join {part} on sku = concat('SKU-', cast(p_partkey as string)) group by sku")
+
+
+_PRICE = "pr as (select sku, p_retailprice as average_price from {sku_known} join {part} on sku = 'SKU-' || p_partkey)"
+
+
+@query(
+    "bom_cost",
+    f"""with {_BOM}, {_PRICE}, t as (select fg_sku, cast(sum(cast(average_price as decimal(18,6))) as double) as total_cost from (
+        select distinct component_sku, component_name, fg_sku, fg_sku_name, average_price from bm left join pr on pr.sku = component_sku) group by 1)
+    select k.sku, k.sku_name as name, upc, product_code, product_group, status, total_cost from {{sku_known}} k left join t on t.fg_sku = k.sku
+    where sku_type = 'Finished Good' and status = 'Active'""",
+)
+def _(s):
+    return bom.bom_cost(_boms(s), _prices(s), s.sku_known)
+
+
+@query(
+    "bom_cost_weighted",
+    f"""with {_BOM}, {_PRICE}, t as (select fg_sku, cast(sum(cast(average_price as decimal(18,6)) * cast(coalesce(usage, 1) as decimal(18,6))) as double) as total_cost from (
+        select distinct component_sku, component_name, fg_sku, fg_sku_name, usage, average_price from bm left join pr on pr.sku = component_sku) group by 1)
+    select k.sku, k.sku_name as name, upc, product_code, product_group, status, {rnd('total_cost', 2)} as total_cost from {{sku_known}} k left join t on t.fg_sku = k.sku
+    where sku_type = 'Finished Good' and status = 'Active'""",
+)
+def _(s):
+    return bom.bom_cost(_boms(s), _prices(s), s.sku_known, weight_by_usage=True).withColumn("total_cost", F.round("total_cost", 2))
+
+
+@query("component_vendor_sku", "select b.component_sku, k.vendor_sku from {bom_raw} b left join {sku_known} k on k.sku = b.component_sku")
+def _(s):
+    return bom.component_vendor_sku(s.bom_raw, s.sku_known)
+
+
+@query(
+    "fill_calendar",
+    """with d as (select o_custkey, cast(o_orderdate as date) as day, sum(cast(o_totalprice as decimal(18,2))) as v from {orders} group by 1, 2),
+    c as (select distinct o_custkey from d), s as (select cast(x as date) as date from (select unnest(generate_series(date '1997-06-01', date '1997-09-30', interval 1 day)) as x)),
+    j as (select c.o_custkey, s.date, d.v from c cross join s left join d on d.o_custkey = c.o_custkey and d.day = s.date)
+    select o_custkey, date, cast(last_value(v ignore nulls) over (partition by o_custkey order by date rows between unbounded preceding and current row) as double) as last_total,
+        cast(v as double) as today from j""",
+)
+def _(s):
+    daily = s.orders.groupBy("o_custkey", F.col("o_orderdate").cast("date").alias("day")).agg(
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("last_total")
+    )
+    daily = daily.withColumn("today", F.col("last_total"))
+    lo, hi = F.lit("1997-06-01").cast("date"), F.lit("1997-09-30").cast("date")
+    return fill_calendar(daily, ["o_custkey"], "day", ["last_total"], lo, hi, only_on_day=["today"])

@@ -79,8 +79,8 @@ query(
 
 query(
     "load_max_of_batch",
-    f"""with {_BOTH}, both as (select * from old union all select * from fresh)
-    select {_COLS}, _row_id, report_date = (select max(report_date) from both) as latest from both""",
+    f"""with {_BOTH}, merged as (select * from old union all select * from fresh)
+    select {_COLS}, _row_id, report_date = (select max(report_date) from merged) as latest from merged""",
 )(_load("max_of_batch", "report_date"))
 
 query(

@@ -236,7 +236,7 @@ VIEWS = {
                l.l_quantity as quantity,
                case when l.l_linenumber = 7 then 0 when l.l_linenumber = 6 then null else l.l_quantity - 1 end as quantity_received,
                1.0 as moq,
-               round(cast(l.l_extendedprice as decimal(18,2)) / cast(l.l_quantity as decimal(18,2)), 4) as price_per_unit,
+               cast(l.l_extendedprice * (1 - l.l_discount) as decimal(18,4)) as price_per_unit,
                cast(l.l_extendedprice as decimal(18,2)) as total,
                'NET 30' as payment_terms,
                l.l_discount as pmt_upfront_percent, 30 as pmt_upfront_net,
@@ -419,7 +419,7 @@ VIEWS = {
                case o_orderstatus when 'F' then '810-Invoice' when 'O' then '850-Purchase Order' else '997-Acknowledgment' end as textbox_21,
                'inbox' as textbox_15, cast(o_custkey as string) as alt_doc_num,
                case when o_orderpriority = '5-LOW' then '(12.50)'
-                    else concat('$', cast(cast(floor(o_totalprice / 1000) as bigint) as string), ',', lpad(cast(cast(o_totalprice as bigint) % 1000 as string), 3, '0'), '.50') end as txn_amount,
+                    else concat('$', cast(cast(floor(o_totalprice / 1000) as bigint) as string), ',', lpad(cast(cast(floor(o_totalprice) as bigint) % 1000 as string), 3, '0'), '.50') end as txn_amount,
                concat(lpad(cast(month(o_orderdate) as string), 2, '0'), '/', lpad(cast(day(o_orderdate) as string), 2, '0'), '/', cast(year(o_orderdate) as string),
                       case when o_orderstatus = 'O' then ' 12:05:09 AM' when o_orderstatus = 'F' then ' 12:30:00 PM' else ' 07:08:09 PM' end) as stamp,
                concat(substr(cast(cast(o_orderdate as date) as string), 1, 7), '.csv') as _file,
