@@ -6,7 +6,10 @@ pairs that :mod:`opsmart.operators.fuzzy` has already narrowed down.
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F, types as T
 
 
@@ -53,3 +56,7 @@ def similarity_score(a: str | None, b: str | None) -> int | None:
 @F.pandas_udf(T.IntegerType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([similarity_score(x, y) for x, y in zip(a, b)], dtype="Int32")
+
+
+# Ship this module's code with the function, so executors need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

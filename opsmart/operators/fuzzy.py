@@ -5,119 +5,144 @@ the length of the common prefix (at most 4), ``m`` the number of characters in
 common (counted with repetition), and floor ``t``:
 
     jaro <= (m/|a| + m/|b| + 1) / 3   and   jaro + 0.1 p (1 - jaro) >= t
-    =>  m >= need(p) = (3 J - 1) |a||b| / (|a| + |b|),  J = (t - 0.1p) / (1 - 0.1p)
+    =>  m >= need = (3 J - 1) |a||b| / (|a| + |b|),  J = (t - 0.1p) / (1 - 0.1p)
 
-That is an overlap join on character sets, solved with *prefix filtering*: sort
-the characters after the common prefix by rarity; if two sorted sets share at
-least ``n`` members, their ``k`` smallest shared members (k <= n) lie within the
-first ``size - n + k`` of each. Every name is therefore indexed under
+That is an overlap join on character sets, solved by *prefix filtering*. The
+characters of every name are sorted by how rare they are in the data. If two
+sorted sets share at least ``n`` members, their two smallest shared members lie
+within the first ``size - n + 2`` of each. So a name is indexed under the pairs
+among its rarest characters, and candidates meet in a plain equi-join on
 
-* prefix + each pair of rare characters, for partners that must share two or more,
-* prefix + both lengths (+ one character), for the short names where the
-  prefix alone, or the prefix and one character, already satisfies the bound,
+    (prefix class, length class of both names, pair of rare characters).
 
-and candidates meet in a plain equi-join on those keys. A pair is kept only
-under its first shared key, so it appears once. The rule is exact: nothing above
-the floor is lost, whatever the number of partners. Hot keys are split by
-adaptive execution as in any other join.
+Pairs with a common prefix of three or more are looked for under that prefix
+with the weaker bound for p = 4; all others under the bound for p = 2. Length
+classes keep the bound tight: each name knows how short a partner may be. A pair
+is kept under its first shared key only, so it appears once. The rule is exact:
+no pair at or above the floor is lost, whatever the number of partners.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from opsmart.functions.similarity import similarity
+from opsmart.session import materialise
 
-# Letters from common to rare; any other sign counts as rarest.
-COMMON_FIRST = " etaoinshrdlcumwfgypbvkjxqz0123456789"
-MAX_PREFIX = 4
+#: Characters of common prefix that put a pair into the strong class.
+HEAD = 3
+#: Pairs one task compares under one key before the key is split.
+MEETINGS = 2_000_000
+STEP = 1.25
 _SLACK = 1e-9
 
 
-def _need_factor(p: Column, floor: int) -> Column:
-    t = F.lit(floor / 100.0)
-    share = F.lit(0.1) * p
-    return F.lit(3.0) * (t - share) / (F.lit(1.0) - share) - F.lit(1.0)
+def _factor(floor: int, prefix: int) -> float:
+    """``3 J - 1`` for a common prefix of this length."""
+    share = 0.1 * prefix
+    return 3 * (floor / 100 - share) / (1 - share) - 1
 
 
-def _need(la: Column, lb: Column, p: Column, floor: int) -> Column:
-    """Characters two names of these lengths must share *after* the prefix."""
+def _need(la: Column, lb: Column, factor: float) -> Column:
+    """Characters that names of these lengths must share. Grows with either length."""
     la, lb = la.cast("double"), lb.cast("double")
-    return F.ceil(_need_factor(p, floor) * la * lb / (la + lb) - F.lit(_SLACK)).cast("int") - p
+    return F.ceil(F.lit(factor) * la * lb / (la + lb) - F.lit(_SLACK)).cast("int")
 
 
-def _tags(text: Column) -> Column:
-    """Characters as a set, rarest first: the n-th occurrence is its own member,
-    so set overlap equals overlap with repetition."""
-    chars = F.split(text, "")
+def _class_of(length: Column) -> Column:
+    """Length class: a quarter longer per class. Never falls as the length grows."""
+    return F.floor(F.ln(length.cast("double")) / F.lit(math.log(STEP)) + F.lit(_SLACK)).cast("int")
 
-    def tag(ch: Column, i: Column) -> Column:
-        nth = F.size(F.filter(F.slice(chars, 1, i + 1), lambda z: z == ch))
-        place = F.instr(F.lit(COMMON_FIRST), ch)
-        rank = F.when(place == 0, F.lit(0)).otherwise(F.lit(100) - place)
-        return F.concat(
-            F.lpad((F.lit(999_999) - nth).cast("string"), 6, "0"), F.lpad(rank.cast("string"), 3, "0"), ch
-        )
 
-    return F.when(F.length(text) > 0, F.array_sort(F.transform(chars, tag))).otherwise(
-        F.array().cast("array<string>")
-    )
+def _class_start(index: Column) -> Column:
+    """No name of this class is shorter."""
+    return F.ceil(F.pow(F.lit(STEP), index.cast("double")) * F.lit(1 - _SLACK)).cast("int")
 
 
-def _partner_lengths(size: Column, p: Column, floor: int) -> Column:
-    """Lengths of partners that can reach the floor by sharing at most one more
-    character than the prefix. Both limits follow from the bound: need(p) <= 1,
-    and need(p) no larger than what the name itself has."""
-    factor = _need_factor(p, floor)
-    one_more = (p + F.lit(1)).cast("double")
-    length = size.cast("double")
-    by_need = F.when(factor * length > one_more, one_more * length / (factor * length - one_more))
-    by_size = length / (factor - F.lit(1.0))
-    top = F.floor(F.least(F.coalesce(by_need, by_size), by_size) + F.lit(_SLACK)).cast("int")
-    low = F.greatest(p, F.lit(1))
-    return F.when(top >= low, F.sequence(low, top)).otherwise(F.array().cast("array<int>"))
-
-
-def _index(names: DataFrame, floor: int) -> DataFrame:
-    """One row per (name, index key); ``names`` holds unique lower-case names."""
-    base = names.withColumn("size", F.length("name")).filter("size > 0")
-    base = base.withColumn("p", F.explode(F.sequence(F.lit(0), F.least(F.lit(MAX_PREFIX), F.col("size")))))
-    base = base.withColumns(
-        {
-            "head": F.expr("substr(name, 1, p)"),
-            "next": F.expr("substr(name, p + 1, 1)"),
-            "tags": _tags(F.expr("substr(name, p + 1)")),
-        }
+def _with_tags(names: DataFrame) -> DataFrame:
+    """Add ``tags``: the characters of ``name`` as sorted ranks, rarest first. The
+    n-th occurrence of a character is a member of its own, so the overlap of two
+    sets counts repetition. Ranks come from how many names hold the member."""
+    chars = F.split("name", "")
+    members = F.transform(
+        chars, lambda ch, i: F.concat(ch, F.size(F.filter(F.slice(chars, 1, i + 1), lambda z: z == ch)).cast("string"))
     )
-    p, size = F.col("p"), F.col("size")
-    kept = ["name", "size", "p", "next", "tags", "head"]
-
-    # Two shared characters: the shortest admissible partner sets the weakest bound.
-    shortest = F.greatest(F.ceil((_need_factor(p, floor) - 1) * size - F.lit(_SLACK)).cast("int"), p, F.lit(1))
-    weakest = F.greatest(_need(size, shortest, p, floor), F.lit(2))
-    opening = F.slice("tags", 1, F.greatest(F.size("tags") - weakest + 2, F.lit(0)))
-    pairs = base.withColumn("rare", opening).select(
-        *kept,
-        F.lit(0).alias("other"),
-        F.explode(
-            F.flatten(
-                F.transform(
-                    "rare",
-                    lambda x, i: F.transform(F.slice("rare", i + 2, F.size("rare")), lambda y: F.concat(x, y)),
-                )
+    spread = names.select("name", F.explode(members).alias("member"))
+    # one row per character and repetition: as many rows as the alphabet has
+    rarity = spread.groupBy("member").agg(F.count(F.lit(1)).alias("n"))
+    ranked = rarity.select("member", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("n", "member")).alias("tag"))
+    tagged = spread.join(ranked, "member").groupBy("name").agg(F.array_sort(F.collect_list("tag")).alias("tags"))
+    return names.join(tagged, "name")
+
+
+def _blocks(names: DataFrame, floor: int, role: str) -> DataFrame:
+    """One row per name, prefix class and partner length class. ``role`` says
+    which side of the pair the name is on."""
+    base = names.withColumns({"size": F.size("tags"), "opening": F.substring("name", 1, HEAD)})
+    mine, theirs = ("class_l", "class_r") if role == "left" else ("class_r", "class_l")
+    parts = []
+    for strong, prefix in ((False, HEAD - 1), (True, 4)):
+        factor = _factor(floor, prefix)
+        side = base.filter(F.col("size") >= HEAD) if strong else base
+        size = F.col("size").cast("double")
+        shortest = F.greatest(F.ceil((factor - 1) * size - F.lit(_SLACK)), F.lit(1)).cast("int")
+        longest = F.floor(size / (factor - 1) + F.lit(_SLACK)).cast("int")
+        classes = F.sequence(_class_of(shortest), _class_of(longest))
+        parts.append(
+            side.withColumn("shortest", shortest).select(
+                "name", "tags", "size", "opening", "shortest",
+                F.lit(factor).alias("factor"),
+                F.lit(strong).alias("strong"),
+                (F.col("opening") if strong else F.lit("")).alias("head"),
+                _class_of(F.col("size")).alias(mine),
+                F.explode(classes).alias(theirs),
             )
-        ).alias("token"),
+        )
+    return parts[0].unionByName(parts[1])
+
+
+def _index(blocks: DataFrame, role: str) -> DataFrame:
+    """One row per block row and index key."""
+    mine, theirs = ("class_l", "class_r") if role == "left" else ("class_r", "class_l")
+    factor, size = F.col("factor"), F.col("size")
+    partner = F.greatest(_class_start(F.col(theirs)), F.col("shortest"))
+    # members per key, agreed on by both sides: they both know the two classes
+    k = F.least(_need(_class_start(F.col(mine)), _class_start(F.col(theirs)), factor), F.lit(2))
+    weakest = F.greatest(_need(size, partner, factor), k)
+    rows = blocks.withColumns({"k": k, "rare": F.slice("tags", 1, F.greatest(size - weakest + k, F.lit(0)))})
+    pairs = F.flatten(
+        F.transform(
+            "rare",
+            lambda x, i: F.transform(
+                F.slice("rare", i + 2, F.size("rare")), lambda y: F.shiftleft(x.cast("bigint"), 32) + y
+            ),
+        )
+    )
+    singles = F.transform("rare", lambda x: x.cast("bigint"))
+    return rows.select(
+        "name", "tags", "opening", "factor", *_BLOCK, F.explode(F.when(F.col("k") == 2, pairs).otherwise(singles)).alias("token")
     )
 
-    # At most one: keyed by both lengths, so that only fitting partners meet.
-    short = base.select(*kept, F.explode(_partner_lengths(size, p, floor)).alias("other"))
-    asked = _need(size, F.col("other"), p, floor)
-    short = short.withColumn("asked", asked).filter("asked <= 1").select(
-        *kept,
-        "other",
-        F.explode(F.when(F.col("asked") <= 0, F.array(F.lit(""))).otherwise(F.col("tags"))).alias("token"),
+
+_BLOCK = ["strong", "head", "class_l", "class_r"]
+_KEY = [*_BLOCK, "token"]
+
+
+def _split_hot(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Salt the keys under which more than ``MEETINGS`` pairs meet: left rows are
+    dealt out over the parts, right rows go to all of them."""
+    rows = a.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("n")).join(
+        b.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("m")), _KEY, "inner"
     )
-    return pairs.unionByName(short)
+    meetings = F.col("n") * F.col("m")
+    hot = rows.filter(meetings > MEETINGS).select(*_KEY, F.ceil(meetings / MEETINGS).cast("int").alias("parts"))
+    a = a.join(hot, _KEY, "left").withColumn("part", F.pmod(F.xxhash64("name"), F.coalesce("parts", F.lit(1))))
+    b = b.join(hot, _KEY, "left").withColumn(
+        "part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("parts", F.lit(1)).cast("bigint") - 1))
+    )
+    return a.drop("parts"), b.drop("parts")
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, floor: int) -> DataFrame:
@@ -125,36 +150,37 @@ def similar_pairs(left: DataFrame, right: DataFrame, floor: int) -> DataFrame:
     above the floor. Each input has one column, ``name``."""
     if floor <= 80:
         raise ValueError("the shared-character bound needs a floor above 80")
-    a = _index(left, floor)
-    b = _index(right, floor).select(*[F.col(c).alias(f"r_{c}") for c in ("name", "size", "p", "next", "tags", "head", "other", "token")])
-
-    # other = 0 marks a length-free key; else each side names the partner's length.
-    fits_length = ((F.col("other") == 0) & (F.col("r_other") == 0)) | (
-        (F.col("other") == F.col("r_size")) & (F.col("r_other") == F.col("size"))
+    sides = left.select("name", F.lit(True).alias("l"), F.lit(False).alias("r")).union(
+        right.select("name", F.lit(False), F.lit(True))
     )
-    key_a = F.when(F.col("other") == 0, F.lit("*")).otherwise(F.concat_ws(":", "size", "other"))
-    key_b = F.when(F.col("r_other") == 0, F.lit("*")).otherwise(F.concat_ws(":", "r_other", "r_size"))
-    a, b = a.withColumn("lengths", key_a), b.withColumn("r_lengths", key_b)
-
-    shared = F.array_intersect("tags", "r_tags")
-    need = _need(F.col("size"), F.col("r_size"), F.col("p"), floor)
-    first = F.when(need >= 2, F.concat(F.get(shared, 0), F.get(shared, 1))).when(need == 1, F.get(shared, 0)).otherwise("")
-    same_prefix_only = (F.col("p") == MAX_PREFIX) | (F.col("next") != F.col("r_next")) | (
-        (F.col("name") == F.col("r_name")) & (F.col("p") == F.col("size"))
+    names = sides.filter(F.length("name") > 0).groupBy("name").agg(F.max("l").alias("l"), F.max("r").alias("r"))
+    # distinct names with their sorted characters: used eight times below
+    tagged = materialise(_with_tags(names), "names")
+    a, b = _blocks(tagged.filter("l"), floor, "left"), _blocks(tagged.filter("r"), floor, "right")
+    # a name unfolds into keys only where the other side has such a block at all
+    a_blocks, b_blocks = a.select(_BLOCK).distinct(), b.select(_BLOCK).distinct()
+    a, b = _index(a.join(b_blocks, _BLOCK, "left_semi"), "left"), _index(b.join(a_blocks, _BLOCK, "left_semi"), "right")
+    a, b = _split_hot(a, b)
+    keys = [*_KEY, "part"]
+    # comparing costs far more than moving these rows: keep all tasks, however few the bytes
+    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    a = a.repartition(n, *keys)
+    b = b.select(*keys, *[F.col(c).alias(f"r_{c}") for c in ("name", "tags", "opening")]).repartition(n, *keys)
+    met = a.join(b, keys, "inner").filter(
+        F.col("strong") | (F.col("opening") != F.col("r_opening")) | (F.length("opening") < HEAD)
     )
-    candidates = a.join(
-        b,
-        (F.col("p") == F.col("r_p"))
-        & (F.col("head") == F.col("r_head"))
-        & (F.col("lengths") == F.col("r_lengths"))
-        & (F.col("token") == F.col("r_token"))
-        & fits_length
-        & same_prefix_only
-        & (F.size(shared) >= need)
-        & ((F.col("other") == 0) == (need >= 2))
-        & (F.col("token") == first),
-        "inner",
-    ).select("name", "r_name")
+
+    size, r_size = F.size("tags").cast("double"), F.size("r_tags").cast("double")
+    need = F.ceil(F.col("factor") * size * r_size / (size + r_size) - F.lit(_SLACK))
+    token = F.col("token")
+
+    def first_meeting(shared: Column) -> Column:
+        pair = F.shiftleft(F.get(shared, 0).cast("bigint"), 32) + F.get(shared, 1)
+        first = F.when(token >= F.lit(1 << 32), pair).otherwise(F.get(shared, 0).cast("bigint"))
+        return (F.size(shared) >= need) & (token == first)
+
+    # exists() over a one-element array names the intersection, so it is computed once
+    candidates = met.filter(F.exists(F.array(F.array_intersect("tags", "r_tags")), first_meeting)).select("name", "r_name")
     scored = candidates.withColumn("similarity", similarity(F.col("name"), F.col("r_name")))
     return scored.filter(F.col("similarity") >= floor)
 

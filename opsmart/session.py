@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Adaptive execution does three jobs here: it shrinks the shuffle to the data,
 #: turns a join into a broadcast only once the measured side is small, and
@@ -46,3 +46,14 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="opsmart-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, purpose: str) -> DataFrame:
+    """Compute ``df`` once, into a table in the shared folder, and read it back.
+
+    For results that a plan uses many times over. Unlike a cache, the table
+    survives the loss of executors.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -215,12 +215,14 @@ def _(s):
 @query(
     "densify",
     """with b as (select o_custkey, min(cast(o_orderdate as date)) as a, max(cast(o_orderdate as date)) as z from {orders} group by 1)
-    select o_custkey, cast(d as date) as date from (select o_custkey, unnest(generate_series(a, z, interval 1 day)) as d from b)""",
+    select cast(d as date) as date, count(*) as active_customers, sum(o_custkey) as keys
+    from (select o_custkey, unnest(generate_series(a, z, interval 1 day)) as d from b) group by 1""",
 )
 def _(s):
     day = F.col("o_orderdate").cast("date")
     spans = s.orders.groupBy("o_custkey").agg(F.min(day).alias("a"), F.max(day).alias("z"))
-    return densify(spans, F.col("a"), F.col("z")).select("o_custkey", "date")
+    days = densify(spans, F.col("a"), F.col("z"))
+    return days.groupBy("date").agg(F.count("*").alias("active_customers"), F.sum("o_custkey").alias("keys"))
 
 
 # ---- bills of material -------------------------------------------------------
