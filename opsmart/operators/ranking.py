@@ -1,9 +1,11 @@
-"""Sequence numbers inside a group, without sorting a whole group in one task.
+"""Sequence numbers inside a group, without sorting a hot group in one task.
 
 ``row_number() over (partition by key order by a, b)`` sends all rows of a key
-to one task. Here the order is split into levels: rows are counted per key and
-level value (with map-side partial counts), the counts become offsets, and only
-the rows that agree on every level but the last are numbered together.
+to one task. Keys that hold more rows than a task should sort are found first
+(one count per key, combined map-side); only their rows take the longer way:
+the order is split into levels, rows are counted per key and upper levels, the
+counts added up in order tell how many rows come before, and only the rows that
+agree on every level but the last are numbered together.
 """
 
 from __future__ import annotations
@@ -21,45 +23,57 @@ def stretch_of(number: Column, size: int = STRETCH) -> Column:
     return F.floor(number / F.lit(size))
 
 
+def _before(parent: Column, order: Column, value: str) -> Column:
+    """Sum of ``value`` over the earlier siblings of the same parent."""
+    w = Window.partitionBy(parent).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(value).over(w), F.lit(0))
+
+
 def sequence_in_group(
-    df: DataFrame, keys: Sequence[str], levels: Sequence[tuple[str, Column] | str], name: str, start: int = 1
+    df: DataFrame, keys: Sequence[str], levels: Sequence[tuple[str, Column] | str], name: str, start: int = 1,
+    hot_rows: int = STRETCH,
 ) -> DataFrame:
     """Add ``name``: the position of the row in its key, ordered by ``levels``.
 
     Equal to ``row_number()`` over the same order, minus ``1 - start``. The last
-    level should be unique inside the ones before it.
+    level should be unique inside the ones before it. Keys with more than
+    ``hot_rows`` rows are numbered level by level. Keys travel as structs, in
+    which a NULL equals a NULL, so plain equality joins keep NULL groups.
     """
-    cols = [(f"_l{i}", F.col(x) if isinstance(x, str) else x[1]) for i, x in enumerate(levels)]
-    base = df.withColumns(dict(cols))
-    names = [n for n, _ in cols]
-    upper, last = names[:-1], names[-1]
-    if not upper:
+    exprs = [F.col(x) if isinstance(x, str) else x[1] for x in levels]
+    if len(exprs) < 2:
         raise ValueError("give at least two levels; stretch_of() makes one from a number")
-    safe_keys = [f"_k{i}" for i in range(len(keys))]
-    base = base.withColumns({s: F.col(k) for s, k in zip(safe_keys, keys)})
-
-    counts = base.groupBy(*safe_keys, *upper).agg(F.count(F.lit(1)).alias("_n"))
-    offset = F.lit(0)
-    level_counts = counts
-    for depth in range(len(upper)):
-        # rows of earlier siblings on this level, inside the same parent
-        parent = [*safe_keys, *upper[:depth]]
-        sums = level_counts.groupBy(*parent, upper[depth]).agg(F.sum("_n").alias("_m"))
-        before = F.sum("_m").over(
-            Window.partitionBy(*parent).orderBy(upper[depth]).rowsBetween(Window.unboundedPreceding, -1)
-        )
-        sums = sums.withColumn(f"_o{depth}", F.coalesce(before, F.lit(0))).drop("_m")
-        counts = _null_safe_join(counts, sums, [*parent, upper[depth]])
-        offset = offset + F.col(f"_o{depth}")
-    offsets = counts.select(*safe_keys, *upper, offset.alias("_before"))
+    names = [f"_l{i}" for i in range(len(exprs))]
+    base = df.withColumns(
+        {"_key": F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]), **dict(zip(names, exprs))}
+    )
+    hot = base.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select("_key")
 
-    out = _null_safe_join(base, offsets, [*safe_keys, *upper])
-    local = F.row_number().over(Window.partitionBy(*safe_keys, *upper).orderBy(last))
-    out = out.withColumn(name, (F.col("_before") + local - 1 + start).cast("bigint"))
-    return out.drop(*safe_keys, *names, "_before")
+    plain = F.row_number().over(Window.partitionBy("_key").orderBy(*names))
+    cold = base.join(hot, "_key", "left_anti").withColumn(name, (plain - 1 + start).cast("bigint"))
+    warm = _by_level(base.join(hot, "_key", "left_semi"), names, name, start)
+    drop = ["_key", *names]
+    return cold.drop(*drop).unionByName(warm.drop(*drop))
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    renamed = right.select(*[F.col(c).alias(f"_j_{c}") if c in on else F.col(c) for c in right.columns])
-    cond = [F.col(c).eqNullSafe(F.col(f"_j_{c}")) for c in on]
-    return left.join(renamed, cond, "inner").drop(*[f"_j_{c}" for c in on])
+def _by_level(base: DataFrame, names: list[str], name: str, start: int) -> DataFrame:
+    parts = [F.col("_key").alias("key"), F.col(names[0]).alias("first")]
+    deep = len(names) > 2
+    if deep:
+        parts.append(F.struct(*names[1:-1]).alias("rest"))
+    base = base.withColumn("_g", F.struct(*parts))
+    counts = base.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
+    if not deep:
+        offsets = counts.withColumn("_before", _before(F.col("_g.key"), F.col("_g.first"), "_n"))
+    else:
+        top = F.struct(F.col("_g.key").alias("key"), F.col("_g.first").alias("first"))
+        tops = counts.groupBy(top.alias("_t")).agg(F.sum("_n").alias("_m"))
+        tops = tops.withColumn("_above", _before(F.col("_t.key"), F.col("_t.first"), "_m")).drop("_m")
+        inner = counts.withColumn("_t", top)
+        inner = inner.withColumn("_inside", _before(F.col("_t"), F.col("_g.rest"), "_n"))
+        offsets = inner.join(tops, "_t").withColumn("_before", F.col("_above") + F.col("_inside"))
+    local = F.row_number().over(Window.partitionBy("_g").orderBy(names[-1]))
+    out = base.withColumn("_local", local).join(offsets.select("_g", "_before"), "_g")
+    return out.withColumn(name, (F.col("_before") + F.col("_local") - 1 + start).cast("bigint")).drop(
+        "_g", "_local", "_before"
+    )
