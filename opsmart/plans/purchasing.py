@@ -239,18 +239,17 @@ def cumulative_purchases(inventory_history: DataFrame, costed: DataFrame) -> Dat
 
 def price_timeline(bought: DataFrame) -> DataFrame:
     """Average prices per SKU from each purchase date until the next one."""
-    daily = running_by_day(
-        bought, ["sku"], "purchase_date",
-        {
-            "_cost": F.col("total_purchase_cost"),
-            "total_ordered": F.col("total_ordered"),
-            "total_received": F.col("total_received"),
-            "_unit_sum": F.col("per_unit").cast(MONEY),
-            "_unit_n": F.when(F.col("per_unit").isNotNull(), 1).otherwise(0),
-        },
+    sums = {
+        "_cost": F.col("total_purchase_cost"),
+        "total_ordered": F.col("total_ordered"),
+        "total_received": F.col("total_received"),
+        "_unit_sum": F.col("per_unit").cast(MONEY),
+        "_unit_n": F.when(F.col("per_unit").isNotNull(), 1).otherwise(0),
+    }
+    daily = bought.groupBy("sku", "purchase_date").agg(
+        *[F.sum(v).alias(n) for n, v in sums.items()], F.max("last_updated").alias("_updated")
     )
-    updated = bought.groupBy("sku", "purchase_date").agg(F.max("last_updated").alias("_updated"))
-    daily = daily.join(updated, ["sku", "purchase_date"], "inner")
+    daily = running_sums(daily, ["sku"], ["purchase_date"], {n: n for n in sums})
     per_sku = Window.partitionBy("sku").orderBy("purchase_date")
     return daily.select(
         "sku",

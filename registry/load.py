@@ -208,6 +208,18 @@ def _(s):
     return store.append("counts", total)
 
 
+@query("snapshot_clone", "select 'nation' as name, count(*) as n, sum(n_nationkey) as keys from {nation} union all select 'part', count(*), sum(p_partkey) from {part}")
+def _(s):
+    """Whole-table clones, schema following the source."""
+    store = SnapshotStore(s.spark, shared_dir(s.spark, "clones"))
+    copies = {"nation": store.snapshot("nation", s.nation), "part": store.snapshot("part", s.part)}
+    parts = [
+        copies[t].agg(F.count("*").alias("n"), F.sum(k).alias("keys")).select(F.lit(t).alias("name"), "n", "keys")
+        for t, k in (("nation", "n_nationkey"), ("part", "p_partkey"))
+    ]
+    return parts[0].union(parts[1])
+
+
 @query("read_csv_drop", "select _line, report_date, cast(amount as double) as amount, priority, true as has_lineage from {drops}")
 def _(s):
     """Writes the drops as CSV files and scans them with their lineage."""

@@ -253,9 +253,10 @@ def _(s):
 
 @query(
     "warehouse_map",
-    """select 'SKU-0' as warehouse_sku, 'SKU-9' as sku_ref from (select count(*) from {part})
-    union all select sku, sku_ref from {warehouse_mapping} where not match and sku_ref is not null and sku <> 'SKU-0'""",
+    """select sku as warehouse_sku, upc as sku_ref from {sku_master} where product_group = 'MEDIUM'
+    union all select sku, sku_ref from {warehouse_mapping} where not match and sku_ref is not null
+        and sku not in (select sku from {sku_master} where product_group = 'MEDIUM')""",
 )
 def _(s):
-    stored = s.part.agg(F.count("*")).select(F.lit("SKU-0").alias("warehouse_sku"), F.lit("SKU-9").alias("sku_ref"))
+    stored = s.sku_master.filter("product_group = 'MEDIUM'").select(F.col("sku").alias("warehouse_sku"), F.col("upc").alias("sku_ref"))
     return inventory.warehouse_map(s.warehouse_mapping, stored)

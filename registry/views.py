@@ -5,16 +5,20 @@
 
 VIEWS = {
     # ---- shop ------------------------------------------------------------
+    # money is added up in whole hundredths (or ten-thousandths) of a currency unit
     "order_money": """
-        select l_orderkey,
-               count(*) as n_lines,
-               sum(cast(l_quantity as bigint)) as n_items,
-               sum(case when l_returnflag = 'R' then cast(l_quantity as bigint) else 0 end) as n_returned,
-               sum(cast(l_extendedprice as decimal(18,2))) as gross,
-               sum(cast(l_extendedprice * l_discount as decimal(18,4))) as discount,
-               sum(cast(l_extendedprice * l_tax as decimal(18,4))) as tax,
-               sum(case when l_returnflag = 'R' then cast(l_extendedprice as decimal(18,2)) else 0 end) as refund
-        from {lineitem} group by l_orderkey""",
+        select l_orderkey, n_lines, n_items, n_returned,
+               cast(gross / 100.0 as decimal(18,2)) as gross, cast(discount / 10000.0 as decimal(18,4)) as discount,
+               cast(tax / 10000.0 as decimal(18,4)) as tax, cast(refund / 100.0 as decimal(18,2)) as refund
+        from (select l_orderkey,
+                     count(*) as n_lines,
+                     sum(cast(l_quantity as bigint)) as n_items,
+                     sum(case when l_returnflag = 'R' then cast(l_quantity as bigint) else 0 end) as n_returned,
+                     sum(cast(round(l_extendedprice * 100) as bigint)) as gross,
+                     sum(cast(round(l_extendedprice * l_discount * 10000) as bigint)) as discount,
+                     sum(cast(round(l_extendedprice * l_tax * 10000) as bigint)) as tax,
+                     sum(case when l_returnflag = 'R' then cast(round(l_extendedprice * 100) as bigint) else 0 end) as refund
+              from {lineitem} group by l_orderkey) m""",
     "shop_orders": """
         select o.o_orderkey as order_id,
                concat('SO-', cast(o.o_orderkey as string)) as name,
@@ -48,42 +52,58 @@ VIEWS = {
                l_partkey + 1000000 as product_id,
                cast(l_quantity as bigint) as quantity
         from {lineitem}""",
+    # one row per customer and day first, so that customers are counted without a distinct
+    "customer_days": """
+        select cast(o.o_orderdate as date) as date_day, o.o_custkey, count(*) as n_orders,
+               sum(m.n_items) as n_items, sum(m.n_returned) as n_returned, sum(m.n_lines) as n_lines, count(m.n_lines) as n_filled,
+               max(m.n_lines) as max_lines, sum(m.gross) as gross, sum(m.discount) as discount, sum(m.refund) as refund, sum(m.tax) as tax,
+               sum(case when o.o_orderstatus = 'P' then 1 else 0 end) as n_p,
+               sum(case when o.o_orderstatus = 'O' then 1 else 0 end) as n_o,
+               sum(case when o.o_orderstatus = 'F' then 1 else 0 end) as n_f,
+               sum(case when m.discount > 100 then 1 else 0 end) as n_coded,
+               sum(case when m.discount > 0 then 1 else 0 end) as n_discounted,
+               sum(case when m.refund > 0 then 1 else 0 end) as n_refunded,
+               sum(case when o.o_orderpriority = '1-URGENT' then 1 else 0 end) as n_urgent,
+               sum(case when o.o_orderpriority = '2-HIGH' then 1 else 0 end) as n_high,
+               sum(case when o.o_orderpriority = '3-MEDIUM' then 1 else 0 end) as n_medium,
+               sum(case when o.o_orderpriority = '5-LOW' then 1 else 0 end) as n_low
+        from {orders} o left join {order_money} m on m.l_orderkey = o.o_orderkey
+        group by cast(o.o_orderdate as date), o.o_custkey""",
     "daily_shop": """
-        select cast(o.o_orderdate as date) as date_day,
+        select d.date_day,
                cast(c.c_nationkey as bigint) as shop_id,
                concat('CUR', cast(n.n_regionkey as string)) as currency,
                c.c_nationkey = 24 as is_deleted,
-               count(*) as count_orders,
-               coalesce(sum(m.n_items), 0) as quantity_sold,
-               coalesce(sum(m.n_returned), 0) as quantity_refunded,
-               cast(sum(m.n_lines) as double) / count(m.n_lines) as avg_line_item_count,
-               count(distinct o.o_custkey) as count_customers,
-               coalesce(sum(m.gross), 0) as order_adjusted_total,
-               coalesce(sum(m.discount), 0) as total_discounts,
-               coalesce(sum(m.refund), 0) as refund_subtotal,
-               coalesce(sum(m.tax), 0) as refund_total_tax,
-               cast(coalesce(sum(m.n_lines), 0) as decimal(18,2)) as shipping_cost,
-               cast(count(m.n_lines) as decimal(18,2)) as shipping_discount_amount,
-               cast(sum(case when o.o_orderstatus = 'P' then 1 else 0 end) as decimal(18,2)) as order_adjustment_amount,
-               cast(sum(case when o.o_orderstatus = 'O' then 1 else 0 end) as decimal(18,2)) as order_adjustment_tax_amount,
-               sum(case when m.discount > 100 then 1 else 0 end) as count_discount_codes_applied,
-               sum(case when m.discount > 0 then 1 else 0 end) as count_orders_with_discounts,
-               sum(case when m.refund > 0 then 1 else 0 end) as count_orders_with_refunds,
-               coalesce(sum(m.n_lines), 0) as count_variants_sold,
-               coalesce(max(m.n_lines), 0) as count_products_sold,
-               sum(case when o.o_orderpriority = '1-URGENT' then 1 else 0 end) as quantity_gift_cards_sold,
-               sum(case when o.o_orderpriority = '2-HIGH' then 1 else 0 end) as quantity_requiring_shipping,
-               sum(case when o.o_orderstatus = 'P' then 1 else 0 end) as count_abandoned_checkouts,
-               count(distinct case when o.o_orderstatus = 'P' then o.o_custkey end) as count_customers_abandoned_checkout,
-               sum(case when o.o_orderpriority = '3-MEDIUM' then 1 else 0 end) as count_fulfillment_attempted_delivery,
-               sum(case when o.o_orderstatus = 'F' then 1 else 0 end) as count_fulfillment_delivered,
-               sum(case when o.o_orderpriority = '5-LOW' then 1 else 0 end) as count_fulfillment_failure,
-               sum(case when o.o_orderstatus = 'O' then 1 else 0 end) as count_fulfillment_confirmed
-        from {orders} o
-        join {customer} c on c.c_custkey = o.o_custkey
+               sum(d.n_orders) as count_orders,
+               coalesce(sum(d.n_items), 0) as quantity_sold,
+               coalesce(sum(d.n_returned), 0) as quantity_refunded,
+               cast(sum(d.n_lines) as double) / nullif(sum(d.n_filled), 0) as avg_line_item_count,
+               count(*) as count_customers,
+               coalesce(sum(d.gross), 0) as order_adjusted_total,
+               coalesce(sum(d.discount), 0) as total_discounts,
+               coalesce(sum(d.refund), 0) as refund_subtotal,
+               coalesce(sum(d.tax), 0) as refund_total_tax,
+               cast(coalesce(sum(d.n_lines), 0) as decimal(18,2)) as shipping_cost,
+               cast(sum(d.n_filled) as decimal(18,2)) as shipping_discount_amount,
+               cast(sum(d.n_p) as decimal(18,2)) as order_adjustment_amount,
+               cast(sum(d.n_o) as decimal(18,2)) as order_adjustment_tax_amount,
+               sum(d.n_coded) as count_discount_codes_applied,
+               sum(d.n_discounted) as count_orders_with_discounts,
+               sum(d.n_refunded) as count_orders_with_refunds,
+               coalesce(sum(d.n_lines), 0) as count_variants_sold,
+               coalesce(max(d.max_lines), 0) as count_products_sold,
+               sum(d.n_urgent) as quantity_gift_cards_sold,
+               sum(d.n_high) as quantity_requiring_shipping,
+               sum(d.n_p) as count_abandoned_checkouts,
+               sum(case when d.n_p > 0 then 1 else 0 end) as count_customers_abandoned_checkout,
+               sum(d.n_medium) as count_fulfillment_attempted_delivery,
+               sum(d.n_f) as count_fulfillment_delivered,
+               sum(d.n_low) as count_fulfillment_failure,
+               sum(d.n_o) as count_fulfillment_confirmed
+        from {customer_days} d
+        join {customer} c on c.c_custkey = d.o_custkey
         join {nation} n on n.n_nationkey = c.c_nationkey
-        left join {order_money} m on m.l_orderkey = o.o_orderkey
-        group by cast(o.o_orderdate as date), c.c_nationkey, n.n_regionkey""",
+        group by d.date_day, c.c_nationkey, n.n_regionkey""",
     "daily_shop_total": """
         select cast(o_orderdate as date) as date_day,
                sum(case when o_orderstatus = 'P' then 1 else 0 end) as count_abandoned_checkouts,
