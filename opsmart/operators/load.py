@@ -21,7 +21,7 @@ POLICIES = (
     "flip_true_only",  # as flip_if_new: touching only true rows ends in the same table
     "flip_matched",    # only re-delivered rows lose it; rows absent from the batch keep it
     "max_of_batch",    # flag = newest value of ``order`` over target and batch
-    "max_sync_minute", # old rows lose it; batch rows keep it if synced in the newest minute
+    "max_sync_minute", # flag = synced in the newest minute of the batch
     "keep",            # append only, no flag kept
 )
 
@@ -78,10 +78,10 @@ def incremental_load(
         newest = attach_max(both, F.col(order), "_newest")
         return newest.withColumn("latest", F.coalesce(F.col(order) == F.col("_newest"), F.lit(False))).drop("_newest")
     if latest == "max_sync_minute":
+        both = target.drop("latest").unionByName(fresh.drop("latest"))
         minute = F.date_trunc("minute", F.col(order))
-        newest = attach_max(fresh, minute, "_newest", over=batch)
-        marked = newest.withColumn("latest", F.coalesce(minute == F.col("_newest"), F.lit(False))).drop("_newest")
-        return target.withColumn("latest", F.lit(False)).unionByName(marked.select(target.columns))
+        newest = attach_max(both, minute, "_newest", over=batch)
+        return newest.withColumn("latest", F.coalesce(minute == F.col("_newest"), F.lit(False))).drop("_newest")
 
     fresh = fresh.withColumn("latest", F.lit(True))
     if latest == "flip_all":

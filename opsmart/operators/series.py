@@ -162,17 +162,39 @@ def running_by_day(facts: DataFrame, keys: Sequence[str], day: str, sums: dict[s
     return running_sums(daily, keys, [day], {n: n for n in sums})
 
 
-def rolling_ratios(df: DataFrame, keys: Sequence[str], order: str, rows: int,
-                   ratios: dict[str, tuple[Column, Column, int]]) -> DataFrame:
-    """Ratios of sums over the last ``rows`` rows: ``{name: (top, bottom, digits)}``.
-    Rows, not days: missing days are not filled in."""
-    w = _window(keys, [order]).rowsBetween(-(rows - 1), 0)
+def rolling_ratios(df: DataFrame, keys: Sequence[str], order: str, rows: int, values: dict[str, Column],
+                   ratios: dict[str, tuple[str, str, int]]) -> DataFrame:
+    """Ratios of sums over the last ``rows`` rows: ``{name: (top, bottom, digits)}``
+    over the named ``values``. Rows, not days: missing days are not filled in.
+
+    A sliding sum is the running sum less the running sum ``rows`` rows ago, so
+    the cost per row does not grow with ``rows``. Give values as integers or
+    decimals, for which that is exact.
+    """
+    by = _window(keys, [order])
+    past = by.rowsBetween(Window.unboundedPreceding, 0)
+    out = df.withColumns({f"_v_{n}": v for n, v in values.items()})
+    out = out.withColumns(
+        {
+            **{f"_s_{n}": F.coalesce(F.sum(f"_v_{n}").over(past), F.lit(0)) for n in values},
+            **{f"_n_{n}": F.count(f"_v_{n}").over(past) for n in values},
+        }
+    )
 
-    def one(top: Column, bottom: Column, digits: int) -> Column:
-        a, b = F.sum(top).over(w).cast("double"), F.sum(bottom).over(w).cast("double")
-        return round_half_up(F.try_divide(a, b), digits)
+    def sliding(c: str) -> Column:
+        return F.col(c) - F.coalesce(F.lag(c, rows).over(by), F.lit(0))
 
-    return df.withColumns({n: one(*r) for n, r in ratios.items()})
+    # a sum over no value at all is NULL
+    out = out.withColumns(
+        {f"_r_{n}": F.when(sliding(f"_n_{n}") > 0, sliding(f"_s_{n}")).cast("double") for n in values}
+    )
+    out = out.withColumns(
+        {
+            name: round_half_up(F.try_divide(F.col(f"_r_{top}"), F.col(f"_r_{bottom}")), digits)
+            for name, (top, bottom, digits) in ratios.items()
+        }
+    )
+    return out.drop(*[f"_{kind}_{n}" for kind in "vsnr" for n in values])
 
 
 def weighted_age(df: DataFrame, order: Sequence[str], value: str, name: str, cumulative: str) -> DataFrame:

@@ -101,16 +101,23 @@ def rolling_shop_metrics(spine: DataFrame, key: DataFrame, rows: int = 30) -> Da
     """Ratios over the shop's last ``rows`` reported days, in date order."""
     days = spine.select("date")
     joined = days.join(key, days["date"] == key["date_day"], "inner")
-    sales, orders = money(F.col("gross_sales")), F.col("order_count")
+    values = {
+        "orders": F.col("order_count"),
+        "items": F.col("items_sold"),
+        "sales": money(F.col("gross_sales")),
+        "discounts": money(F.col("total_discounts")),
+        "refunds": money(F.col("refund_subtotal")),
+        "shipping": money(F.col("shipping_cost")),
+    }
     suffix = f"_{rows}_day"
     ratios = {
-        f"average_order_value{suffix}": (sales, orders, 2),
-        f"items_per_order{suffix}": (F.col("items_sold"), orders, 2),
-        f"discount_percentage{suffix}": (money(F.col("total_discounts")), sales, 6),
-        f"refund_percentage{suffix}": (money(F.col("refund_subtotal")), sales, 6),
-        f"shipping_revenue_per_order{suffix}": (money(F.col("shipping_cost")), orders, 2),
+        f"average_order_value{suffix}": ("sales", "orders", 2),
+        f"items_per_order{suffix}": ("items", "orders", 2),
+        f"discount_percentage{suffix}": ("discounts", "sales", 6),
+        f"refund_percentage{suffix}": ("refunds", "sales", 6),
+        f"shipping_revenue_per_order{suffix}": ("shipping", "orders", 2),
     }
-    out = rolling_ratios(joined, ["shop_id", "currency"], "date", rows, ratios)
+    out = rolling_ratios(joined, ["shop_id", "currency"], "date", rows, values, ratios)
     return out.select("date", "shop_id", "currency", *ratios).orderBy("date")
 
 
