@@ -1,9 +1,9 @@
 """Incremental loads over immutable tables.
 
 Parquet has no UPDATE, so every load is a pure function ``(batch, target) ->
-next target``; :class:`opsmart.sources.store.SnapshotStore` writes the result
-as the next version. The anti join on the row id is the only wide step: ids are
-SHA-256 text, so it spreads evenly whatever the business keys look like.
+next target``. :class:`opsmart.sources.store.SnapshotStore` keeps tables by the
+same rules but appends only. The anti join on the row id is the only wide step:
+ids are SHA-256 text, so it spreads evenly whatever the business keys look like.
 """
 
 from __future__ import annotations
@@ -34,8 +34,14 @@ class LoadStats:
 
 
 def new_rows(batch: DataFrame, target: DataFrame, key: str = "_row_id") -> DataFrame:
-    """Rows of ``batch`` whose key is not in ``target`` (a NULL key is never in it)."""
-    return batch.join(target.select(key), key, "left_anti")
+    """Rows of ``batch`` whose key is not in ``target`` (a NULL key is never in it).
+
+    The target is narrowed to the keys of the batch first. A small batch is
+    broadcast for that, so a huge target is scanned but never shuffled; a large
+    one shuffles both on the evenly spread row id.
+    """
+    seen = target.select(key).join(batch.select(key), key, "left_semi")
+    return batch.join(seen, key, "left_anti")
 
 
 def _any_row(df: DataFrame) -> Column:

@@ -1,97 +1,200 @@
-"""Versioned tables on a shared file system.
+"""Versioned tables on a shared file system, with append-only loads.
 
-Each write lands in ``<root>/<table>/v=<n>``. The committer adds ``_SUCCESS``
-only after every task has finished, so the newest folder holding that file is
-the current version: a job that dies half-way leaves the old one in force, and
-a table may be read while its successor is being computed from it.
+A table is a folder of numbered parts:
+
+* ``v=<n>``               a whole snapshot; it replaces everything before it,
+* ``b=<n>.<policy>[.<column>]``  the unseen rows of one incremental load,
+* ``s=<n>``               ids of stored rows that load delivered again.
+
+Its content is the newest snapshot and the batches after it. The ``latest`` flag
+of loaded rows is never rewritten: it follows from the part a row lies in, from
+a maximum, or from the re-delivered ids, and is worked out when the table is
+read. So a load costs as much as its batch, not as its table; ``compact`` folds
+the batches into a new snapshot when they have become many.
+
+The committer adds ``_SUCCESS`` to a part only after every task has finished.
+Parts without it are not read: a job that dies half-way leaves the table as it
+was, and a table may be read while its successor is computed from it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from opsmart.operators import load as ops
 
+_VOID = "_VOID"  # marks a batch that turned out to hold nothing new
+
+
+@dataclass(frozen=True)
+class _Part:
+    kind: str
+    number: int
+    path: str
+    policy: str = ""
+    column: str | None = None
+
 
 class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _versions(self, table: str) -> list[tuple[int, bool]]:
-        """(number, finished) of every version folder."""
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}")
-        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+    # ---- parts ------------------------------------------------------------
+
+    def _fs(self, path: str):
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()), folder
+
+    def _child(self, path: str, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+
+    def _scan(self, table: str) -> tuple[list[_Part], int]:
+        """Finished parts in order, and the highest number taken so far."""
+        fs, folder = self._fs(f"{self.root}/{table}")
         if not fs.exists(folder):
-            return []
-        found = []
+            return [], 0
+        parts, top = [], 0
         for status in fs.listStatus(folder):
-            name = status.getPath().getName()
-            if name.startswith("v="):
-                done = fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
-                found.append((int(name[2:]), done))
-        return sorted(found)
+            kind, _, rest = status.getPath().getName().partition("=")
+            if kind not in ("v", "b", "s"):
+                continue
+            number, *tags = rest.split(".")
+            path = f"{self.root}/{table}/{kind}={rest}"
+            top = max(top, int(number))
+            if fs.exists(self._child(path, "_SUCCESS")) and not fs.exists(self._child(path, _VOID)):
+                parts.append(_Part(kind, int(number), path, *tags))
+        return sorted(parts, key=lambda p: p.number), top
+
+    def _current(self, table: str) -> tuple[_Part | None, list[_Part], list[_Part]]:
+        """Newest snapshot, the batches after it, and their re-delivered ids."""
+        parts, _ = self._scan(table)
+        bases = [p for p in parts if p.kind == "v"]
+        base = bases[-1] if bases else None
+        batches = [p for p in parts if p.kind == "b" and (base is None or p.number > base.number)]
+        numbers = {p.number for p in batches}
+        return base, batches, [p for p in parts if p.kind == "s" and p.number in numbers]
+
+    def _parquet(self, *parts: _Part) -> DataFrame:
+        return self.spark.read.parquet(*[p.path for p in parts])
 
     def version(self, table: str) -> int | None:
-        done = [n for n, finished in self._versions(table) if finished]
-        return done[-1] if done else None
+        """Number of the newest part that counts, or None for no table."""
+        base, batches, _ = self._current(table)
+        return batches[-1].number if batches else base.number if base else None
 
     def exists(self, table: str) -> bool:
         return self.version(table) is not None
 
+    # ---- reading ----------------------------------------------------------
+
+    def _ids(self, table: str, key: str) -> DataFrame:
+        base, batches, _ = self._current(table)
+        return self._parquet(*([base] if base else []), *batches).select(key)
+
     def read(self, table: str) -> DataFrame:
-        n = self.version(table)
-        if n is None:
-            raise FileNotFoundError(f"{table} has no finished version below {self.root}")
-        return self.spark.read.parquet(f"{self.root}/{table}/v={n}")
+        base, batches, seen = self._current(table)
+        if base is None and not batches:
+            raise FileNotFoundError(f"{table} has no finished part below {self.root}")
+        if not batches:
+            return self._parquet(base)
+        policy, column = batches[-1].policy, batches[-1].column
+        if policy == "keep":
+            return self._merge(base, batches, lambda df, _: df)
+        if policy in ("flip_all", "flip_if_new", "flip_true_only"):
+            newest = batches[-1]
+            return self._merge(base, batches, lambda df, part: df.withColumn("latest", F.lit(part is newest)))
+        if policy == "flip_matched":
+            loaded = self._merge(base, batches, lambda df, part: df if part is base else df.withColumn("latest", F.lit(True)))
+            if not seen:
+                return loaded
+            again = self._parquet(*seen).distinct()
+            (key,) = again.columns
+            marked = loaded.join(again.withColumn("_again", F.lit(True)), key, "left")
+            return marked.withColumn("latest", F.col("latest") & F.col("_again").isNull()).select(loaded.columns)
+        order = F.col(column)
+        loaded = self._merge(base, batches, lambda df, _: df.drop("latest"))
+        if policy == "max_of_batch":
+            marked = ops.attach_max(loaded, order, "_newest")
+        else:
+            order = F.date_trunc("minute", order)
+            marked = ops.attach_max(loaded, order, "_newest", over=self._parquet(batches[-1]))
+        return marked.withColumn("latest", F.coalesce(order == F.col("_newest"), F.lit(False))).drop("_newest")
+
+    def _merge(self, base: _Part | None, batches: list[_Part], flag: Callable[[DataFrame, _Part], DataFrame]) -> DataFrame:
+        """Base, older batches and newest batch: three scans however many batches."""
+        groups = [[base]] if base else []
+        groups += [batches[:-1]] if len(batches) > 1 else []
+        groups.append([batches[-1]])
+        return ops.union_sources(*[flag(self._parquet(*g), g[-1]) for g in groups])
+
+    # ---- writing ----------------------------------------------------------
 
     def write(self, table: str, df: DataFrame) -> DataFrame:
-        """Write the next version and return it as read back (lineage cut)."""
-        taken = self._versions(table)
-        n = taken[-1][0] + 1 if taken else 1
-        df.write.mode("error").parquet(f"{self.root}/{table}/v={n}")
+        """Write a whole new snapshot and return it as read back (lineage cut)."""
+        _, top = self._scan(table)
+        df.write.mode("error").parquet(f"{self.root}/{table}/v={top + 1}")
         return self.read(table)
 
     # Full refresh and whole-table clone are the same act here.
     full_refresh = write
     snapshot = write
 
+    def compact(self, table: str) -> DataFrame:
+        """Fold all batches into one snapshot."""
+        return self.write(table, self.read(table))
+
+    def _settle(self, table: str, policy: str, column: str | None) -> None:
+        """Fold batches of another policy in before a part of this one is added."""
+        _, batches, _ = self._current(table)
+        if batches and (batches[-1].policy, batches[-1].column) != (policy, column):
+            self.compact(table)
+
     def append(self, table: str, df: DataFrame) -> DataFrame:
-        """Append without looking for duplicates."""
-        if self.exists(table):
-            df = self.read(table).unionByName(df)
-        return self.write(table, df)
+        """Append without looking for duplicates; a ``latest`` column is data here."""
+        self._settle(table, "keep", None)
+        _, top = self._scan(table)
+        df.write.mode("error").parquet(f"{self.root}/{table}/b={top + 1}.keep")
+        return self.read(table)
 
     def update(self, table: str, column: str, value: Column) -> DataFrame:
         return self.write(table, ops.update_column(self.read(table), column, value))
 
     def load(self, table: str, batch: DataFrame, key: str = "_row_id", latest: str = "flip_if_new",
              order: str | None = None) -> ops.LoadStats:
-        """Incremental load with counts. Writes nothing when nothing can change.
+        """Incremental load with counts: appends the rows whose key is new.
 
-        The batch is computed once: its unseen rows are persisted, counted,
-        and then written.
+        The batch is computed once: its new rows are counted while they are
+        written. A load without any leaves the table as it is, except under
+        ``flip_all``, which takes the flag off all rows even then.
         """
-        if "latest" not in batch.columns and latest != "keep":
-            batch = batch.withColumn("latest", F.lit(True))
-        if not self.exists(table):
-            self.write(table, batch.limit(0))
-        target = self.read(table)
-        fresh = ops.new_rows(batch, target, key).persist()
-        try:
-            new, before = fresh.count(), target.count()
-            if new or latest in ("flip_all", "max_sync_minute"):
-                self.write(table, ops.incremental_load(batch, target, key, latest, order, fresh))
-        finally:
-            fresh.unpersist()
+        if latest not in ops.POLICIES:
+            raise ValueError(f"unknown policy {latest!r}")
+        batch = batch if latest == "keep" else batch.drop("latest")
+        self._settle(table, latest, order)
+        _, top = self._scan(table)
+        number, stored = top + 1, self.exists(table)
+        before = self._ids(table, key).count() if stored else 0
+        fresh = ops.new_rows(batch, self._ids(table, key), key) if stored else batch
+        if stored and latest == "flip_matched":
+            again = self._ids(table, key).join(batch.select(key), key, "left_semi").distinct()
+            again.write.mode("error").parquet(f"{self.root}/{table}/s={number}")
+        counted = Observation()
+        path = f"{self.root}/{table}/b={number}.{latest}" + (f".{order}" if order else "")
+        fresh.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("error").parquet(path)
+        new = counted.get["n"]
+        if not new and latest != "flip_all" and stored:
+            fs, _ = self._fs(path)
+            fs.create(self._child(path, _VOID)).close()
         return ops.LoadStats(new, before, before + new)
 
     def replace_if_changed(self, table: str, new: DataFrame, symmetric: bool = False) -> tuple[bool, int]:
         """Replace the table only when rows were added or altered."""
         if not self.exists(table):
-            self.write(table, new)
-            return True, new.count()
+            return True, self.write(table, new).count()
         n = ops.changed_rows(new, self.read(table), symmetric).count()
         if n:
             self.write(table, new)

@@ -110,16 +110,53 @@ def test_store(spark, tmp_path, target, batch):
     assert store.load("t", batch) == load.LoadStats(2, 3, 5)
     assert store.version("t") == 2
     assert store.load("t", batch) == load.LoadStats(0, 5, 5)
-    assert store.version("t") == 2  # nothing new: nothing written
+    assert store.version("t") == 2  # nothing new: the table stays as it is
+    assert {k: v[1] for k, v in rows(store.read("t")).items()} == {"a": False, "b": False, "c": False, "d": True, "e": True}
     assert store.append("t", store.read("t")).count() == 10
     assert store.update("t", "v", F.lit(7)).filter("v = 7").count() == 10
-    # an unfinished version is not read
+    # an unfinished part is not read
     (tmp_path / "t" / "v=9").mkdir()
-    assert store.version("t") == 4
+    assert store.version("t") == 6
     store.write("t", target)
     assert store.version("t") == 10
 
 
+@pytest.mark.parametrize("policy, order", [
+    ("flip_all", None), ("flip_if_new", None), ("flip_true_only", None), ("flip_matched", None), ("max_of_batch", "day"),
+    ("max_sync_minute", "synced"), ("keep", None),
+])
+def test_store_reads_what_the_pure_load_gives(spark, tmp_path, target, batch, policy, order):
+    """Loads, a replay and a compaction, against the same steps as pure functions."""
+    store = SnapshotStore(spark, str(tmp_path))
+    store.write("t", target)
+    third = spark.createDataFrame([("a", dt.date(2023, 1, 1), T1, 1, None), ("f", dt.date(2023, 1, 2), T2, 6, None), (None, None, None, 0, None)], SCHEMA).drop("latest")
+    want = target
+    flagged = (lambda df: df.withColumn("latest", F.lit(True))) if policy == "keep" else (lambda df: df)
+    for part in (batch, third):
+        stats = store.load("t", flagged(part), latest=policy, order=order)
+        want = load.incremental_load(flagged(part), want, latest=policy, order=order).select(target.columns)
+        assert stats.after == want.count()
+        assert rows(store.read("t")) == rows(want)
+    again = batch.filter("v < 20")
+    assert store.load("t", flagged(again), latest=policy, order=order).new == 0
+    if policy in ("flip_if_new", "flip_true_only", "keep", "max_of_batch"):
+        assert rows(store.read("t")) == rows(want)
+    if policy == "flip_all":
+        assert not any(v[1] for v in rows(store.read("t")).values())
+    kept = rows(store.read("t"))
+    assert rows(store.compact("t")) == kept
+
+
+def test_store_load_from_nothing(spark, tmp_path, batch):
+    store = SnapshotStore(spark, str(tmp_path))
+    assert store.load("t", batch.limit(0)) == load.LoadStats(0, 0, 0)
+    assert store.load("t", batch) == load.LoadStats(3, 0, 3)
+    assert all(v[1] for v in rows(store.read("t")).values())
+    # another policy starts from a snapshot of what is there
+    store.load("t", batch, latest="max_of_batch", order="day")
+    assert store.read("t").count() == 3
+
+
 def test_store_replace_if_changed(spark, tmp_path):
     store = SnapshotStore(spark, str(tmp_path))
     mk = lambda d: spark.createDataFrame(d, "k int, v string")
