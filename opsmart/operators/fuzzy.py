@@ -160,8 +160,12 @@ def similar_pairs(left: DataFrame, right: DataFrame, floor: int) -> DataFrame:
     # a name unfolds into keys only where the other side has such a block at all
     a_blocks, b_blocks = a.select(_BLOCK).distinct(), b.select(_BLOCK).distinct()
     a, b = _index(a.join(b_blocks, _BLOCK, "left_semi"), "left"), _index(b.join(a_blocks, _BLOCK, "left_semi"), "right")
-    a, b = _split_hot(a, b)
-    keys = [*_KEY, "part"]
+    # fewer pairs than that in all: no key can be hot
+    sizes = tagged.agg(F.count_if("l").alias("l"), F.count_if("r").alias("r")).first()
+    keys = _KEY
+    if sizes["l"] * sizes["r"] > MEETINGS:
+        a, b = _split_hot(a, b)
+        keys = [*_KEY, "part"]
     # comparing costs far more than moving these rows: keep all tasks, however few the bytes
     n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     a = a.repartition(n, *keys)

@@ -57,7 +57,8 @@ def dedupe_within(stream: DataFrame, key: str, ts: str, delay: str) -> DataFrame
 
 
 def daily_event_counts(stream: DataFrame, ts: str, event: str, delay: str, values: dict[str, Column] | None = None) -> DataFrame:
-    """Tumbling one-day windows per event: row count, plus sums of ``values``."""
+    """Tumbling one-day windows per event: row count, plus sums of ``values``.
+    Windows are UTC days, so run this in a UTC session."""
     sums = [F.sum(v).alias(n) for n, v in (values or {}).items()]
     return (
         _event_time(stream, ts, delay)

@@ -130,7 +130,8 @@ def _(s):
     from {{edi_log}} r left join {{partner_map}} m on m.tc_name = r.edipartner_name""",
 )
 def _(s):
-    return edi.parse_integration(s.edi_log, s.partner_map).drop("_modified", "_file", "_fivetran_synced")
+    out = edi.parse_integration(s.edi_log, s.partner_map).drop("_modified", "_file", "_fivetran_synced")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("document_date", "log_time")})
 
 
 _MEMBERS = """mb as (select c.id, email, first_name, last_name, city, zip, country, country_code, phone from {people} c

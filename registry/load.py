@@ -273,7 +273,8 @@ _AS_OF = ["2001-08-02 12:00:00", "2001-08-03 13:30:00", "2001-08-05 01:00:00"]
 @query("freshness", " union all ".join(_fresh_sql(a) for a in _AS_OF))
 def _(s):
     parts = [quality.freshness(s.orders, "o_orderdate", a) for a in _AS_OF]
-    return parts[0].union(parts[1]).union(parts[2])
+    out = parts[0].union(parts[1]).union(parts[2])
+    return out.withColumn("newest", F.col("newest").cast("timestamp_ntz"))
 
 
 _UPDATES = """select 'sales' as schema_name, 'orders' as table_name, max(o_orderdate) as last_updated from {orders}
@@ -291,18 +292,21 @@ def _updates(s):
     )
 
 
+def _wall_clock(df):
+    return df.withColumn("last_updated", F.col("last_updated").cast("timestamp_ntz"))
+
+
 @query("last_updated", _UPDATES)
 def _(s):
-    return _updates(s)
+    return _wall_clock(_updates(s))
 
 
 @query("object_array", _UPDATES)
 def _(s):
     """The last-updated list packed into an array of objects and unfolded again."""
     packed = quality.as_object_array(_updates(s))
-    return quality.flatten_objects(
-        packed, "updates", {"schema_name": "string", "table_name": "string", "last_updated": "timestamp"}
-    )
+    types = {"schema_name": "string", "table_name": "string", "last_updated": "timestamp"}
+    return _wall_clock(quality.flatten_objects(packed, "updates", types))
 
 
 @query("variant_flatten", """select event_id, cast(json_extract_string(props, '$.k') as bigint) as k, event_type as kind from {events}""")

@@ -111,8 +111,8 @@ def _(s):
 @query("parse_timestamps", f"select _line, stamp, {us_stamp('stamp')} as parsed, {us_stamp('textbox_15')} as junk from {{edi_register}}")
 def _(s):
     return s.edi_register.select(
-        "_line", "stamp", dates.parse_us_timestamp(F.col("stamp")).alias("parsed"),
-        dates.parse_us_timestamp(F.col("textbox_15")).alias("junk"),
+        "_line", "stamp", dates.parse_us_timestamp(F.col("stamp")).cast("timestamp_ntz").alias("parsed"),
+        dates.parse_us_timestamp(F.col("textbox_15")).cast("timestamp_ntz").alias("junk"),
     )
 
 
