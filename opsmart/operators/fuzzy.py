@@ -34,7 +34,7 @@ from opsmart.session import materialise
 #: Characters of common prefix that put a pair into the strong class.
 HEAD = 3
 #: Pairs one task compares under one key before the key is split.
-MEETINGS = 2_000_000
+MEETINGS = 10_000_000
 STEP = 1.25
 _SLACK = 1e-9
 

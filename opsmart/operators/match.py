@@ -9,7 +9,6 @@ partitions of hot keys.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -107,6 +106,3 @@ def share_matched(df: DataFrame, flags: Sequence[str]) -> DataFrame:
         aggs += [hits.alias(f"{f}_rows"), (F.try_divide(hits, total) * 100).alias(f"{f}_pct")]
     return df.agg(*aggs)
 
-
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
