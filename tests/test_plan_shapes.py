@@ -65,6 +65,6 @@ def test_calendar_fill_shuffles_snapshots_only(no_broadcast):
 
 def test_small_batch_leaves_a_big_target_unshuffled(spark):
     target = spark.read.parquet(f"{FOLDER}/lineitem.parquet").select(F.col("l_orderkey").cast("string").alias("_row_id"))
-    batch = spark.createDataFrame([("1",), ("x",)], "_row_id string")
+    batch = spark.read.parquet(f"{FOLDER}/supplier.parquet").select(F.col("s_suppkey").cast("string").alias("_row_id"), "s_name")
     tree = plan(load.new_rows(batch, target)).split("\n\n")[0]
-    assert "hashpartitioning" not in tree and "SortMergeJoin" not in tree
+    assert "SortMergeJoin" not in tree and tree.count("BroadcastExchange") == tree.count("Exchange")
