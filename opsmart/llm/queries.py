@@ -26,8 +26,22 @@ def _bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_round_trip(table(spark, folder, "documents"))
 
 
+def _secrets(spark: SparkSession, folder: str) -> DataFrame:
+    from opsmart.llm.secrets import secret_spans
+
+    return secret_spans(table(spark, folder, "documents"))
+
+
+def _simhash(spark: SparkSession, folder: str) -> DataFrame:
+    from opsmart.llm.simhash import near_duplicate_components
+
+    return near_duplicate_components(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Run] = {
+    "op6_secret_scans": _secrets,
     "op7_token_counts": _token_counts,
+    "op8_simhash_near_duplicates": _simhash,
     "op9_bpe_round_trip": _bpe,
 }
 
