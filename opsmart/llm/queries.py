@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from opsmart.llm import decontaminate
 from opsmart.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +27,12 @@ def _bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_round_trip(table(spark, folder, "documents"))
 
 
+def _decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    from opsmart.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def _secrets(spark: SparkSession, folder: str) -> DataFrame:
     from opsmart.llm.secrets import secret_spans
 
@@ -39,10 +46,11 @@ def _simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Run] = {
+    "op2_benchmark_decontamination": _decontamination,
     "op6_secret_scans": _secrets,
     "op7_token_counts": _token_counts,
     "op8_simhash_near_duplicates": _simhash,
     "op9_bpe_round_trip": _bpe,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_benchmark_decontamination": decontaminate.SQL}
