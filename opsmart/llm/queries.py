@@ -33,6 +33,12 @@ def _decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def _licenses(spark: SparkSession, folder: str) -> DataFrame:
+    from opsmart.llm.licenses import license_labels
+
+    return license_labels(table(spark, folder, "documents"))
+
+
 def _secrets(spark: SparkSession, folder: str) -> DataFrame:
     from opsmart.llm.secrets import secret_spans
 
@@ -47,6 +53,7 @@ def _simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Run] = {
     "op2_benchmark_decontamination": _decontamination,
+    "op3_license_scans": _licenses,
     "op6_secret_scans": _secrets,
     "op7_token_counts": _token_counts,
     "op8_simhash_near_duplicates": _simhash,
