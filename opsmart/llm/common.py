@@ -61,13 +61,15 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> list[tuple[str, int]]:
-    """At most ``per_class`` labelled texts of each class, chosen by a hash of the id.
-
-    Held-out rows, rows without a label or text and ids with contradictory labels
-    are left out. The ids are drawn from the narrow label table first, so the join
-    with the documents has a side of at most ``2 * per_class`` rows. The order is
-    fixed, so that a fit gives the same model every time.
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, per_class: int, longest: int = 20_000
+) -> list[tuple[object, str, int]]:
+    """``(doc_id, text, label)`` of at most ``per_class`` labelled rows of each class, chosen by a hash of the id.
+
+    Held-out rows, rows without a label or text, ids with contradictory labels and texts of more
+    than ``longest`` characters are left out, so the sample has a size that does not depend on the input. The ids are
+    drawn from the narrow label table first: the join with the documents has a side of
+    at most ``2 * per_class`` rows. The order is fixed, so that a fit gives the same model every time.
     """
     one = (
         labels.where(~held_out(F.col("doc_id")) & F.col(label).isNotNull() & F.col("doc_id").isNotNull())
@@ -82,10 +84,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
         ids = part if ids is None else ids.unionByName(part)
     rows = (
         docs.select("doc_id", "text")
-        .where(F.col("text").isNotNull())
+        .where(F.length("text") <= longest)
         .join(F.broadcast(ids), "doc_id")
-        .select("_draw", "doc_id", "_label", "text")
-        .dropDuplicates(["doc_id"])
+        .groupBy("_draw", "doc_id", "_label")
+        .agg(F.min("text").alias("text"))
         .collect()
     )
-    return [(r["text"], int(r["_label"])) for r in sorted(rows, key=lambda r: (r["_draw"], r["doc_id"]))]
+    return [(r["doc_id"], r["text"], int(r["_label"])) for r in sorted(rows, key=lambda r: (r["_draw"], r["doc_id"]))]

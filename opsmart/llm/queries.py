@@ -39,6 +39,18 @@ def _licenses(spark: SparkSession, folder: str) -> DataFrame:
     return license_labels(table(spark, folder, "documents"))
 
 
+def _quality(spark: SparkSession, folder: str) -> DataFrame:
+    from opsmart.llm.quality_cnn import classify
+
+    return classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def _toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from opsmart.llm.toxicity import classify
+
+    return classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def _secrets(spark: SparkSession, folder: str) -> DataFrame:
     from opsmart.llm.secrets import secret_spans
 
@@ -54,6 +66,8 @@ def _simhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Run] = {
     "op2_benchmark_decontamination": _decontamination,
     "op3_license_scans": _licenses,
+    "op4_quality_classifier": _quality,
+    "op5_toxicity": _toxicity,
     "op6_secret_scans": _secrets,
     "op7_token_counts": _token_counts,
     "op8_simhash_near_duplicates": _simhash,
