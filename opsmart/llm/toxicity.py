@@ -1,8 +1,9 @@
 """Toxicity from the nearest labelled examples, by exact TF-IDF cosine.
 
 The examples are a bounded sample of the labelled rows that may be learned from. The vector space has
-the words that tell the classes apart in the sample (chi-square); their document frequencies are counted
-over all documents. The examples stand in an inverted index whose posting lists are cut into blocks of
+the words and beginnings of words that tell the classes apart in the sample (chi-square), their document
+frequencies counted over all documents, and one term for all other words, which sets what is telling in a text
+against its length. The examples stand in an inverted index whose posting lists are cut into blocks of
 examples, each with the largest weight in it. A text is compared block by block, those with the largest
 possible similarity first, until no block left can hold a nearer example than those found, so the
 neighbours are exact. They vote with weights that fall with their distance, and the share of the votes
@@ -25,42 +26,75 @@ from pyspark.sql.types import DoubleType, StringType, StructField
 from opsmart.llm.common import held_out, labelled_sample, map_texts
 
 _WORD = re.compile(r"\w+")
+#: Besides whole words, their beginnings of these lengths are terms.
+_HEADS = (5, 7)
 _BLOCK = 64
 #: What a neighbour's vote falls by with its distance, and the weight of the vote for the prior.
-_NEAR, _PRIOR_VOTE = 0.2, 0.5
+_NEAR, _PRIOR_VOTE = 0.15, 0.3
 
 
 def words(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-def telling_words(sample: list[tuple[list[str], int]], least: float = 20.0, rows: int = 5) -> list[str]:
-    """Words whose presence depends on the class: a chi-square of ``least`` or more, in at least ``rows`` texts."""
+def terms_of(word: str) -> list[str]:
+    """The word, and its longer beginnings marked by a star."""
+    return [word, *(word[:n] + "*" for n in _HEADS if len(word) > n)]
+
+
+def telling_terms(sample: list[tuple[list[str], int]], least: float = 20.0, rows: int = 5) -> list[str]:
+    """Terms whose presence depends on the class: a chi-square of ``least`` or more, in at least ``rows`` texts."""
     sizes = [0, 0]
     seen: tuple[Counter, Counter] = (Counter(), Counter())
     for found, label in sample:
         sizes[label] += 1
-        seen[label].update(set(found))
+        seen[label].update({t for w in set(found) for t in terms_of(w)})
     total = sum(sizes)
     kept = []
-    for word in seen[0].keys() | seen[1].keys():
-        n0, n1 = seen[0][word], seen[1][word]
+    for term in seen[0].keys() | seen[1].keys():
+        n0, n1 = seen[0][term], seen[1][term]
         n = n0 + n1
         if n < rows or n == total or not all(sizes):
             continue
         gap = abs(n1 * (sizes[0] - n0) - n0 * (sizes[1] - n1)) - total / 2
         if gap > 0 and total * gap * gap / (n * (total - n) * sizes[0] * sizes[1]) >= least:
-            kept.append(word)
+            kept.append(term)
     return sorted(kept)
 
 
+class Vocabulary:
+    """Telling terms by number; the number after the last stands for all other words."""
+
+    def __init__(self, terms: list[str]):
+        self.number = {t: i for i, t in enumerate(terms)}
+        #: A word can only hold a term if it begins like one.
+        self.heads = {t[: _HEADS[0]].rstrip("*") for t in terms}
+        self.other = len(terms)
+
+    def count(self, found: list[str]) -> Counter:
+        """How often each term occurs; a word without any counts as other."""
+        heads, number, size = self.heads, self.number, _HEADS[0]
+        near = [w for w in found if w[:size] in heads]
+        counts: Counter = Counter()
+        plain = len(found) - len(near)
+        for w in near:
+            have = [number[t] for t in terms_of(w) if t in number]
+            counts.update(have)
+            plain += not have
+        if plain:
+            counts[self.other] = plain
+        return counts
+
+
 @dataclass
 class Index:
     """Block-max inverted index of labelled examples."""
 
-    vocabulary: dict[str, int]
+    vocabulary: Vocabulary
     idf: np.ndarray
+    #: Examples with equal vectors are one: the share of toxic ones among them, their number, a name.
     labels: np.ndarray
+    sizes: np.ndarray
     names: list[str]
     prior: float
     neighbours: int = 15
@@ -70,18 +104,17 @@ class Index:
     curve: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.zeros(1), np.zeros(1)))
 
     def vector(self, found: list[str]) -> dict[int, float]:
-        """Unit TF-IDF vector over the vocabulary; empty if no word is in it."""
-        vocabulary = self.vocabulary
-        counts = Counter([vocabulary[w] for w in found if w in vocabulary])
-        raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in counts.items()}
+        """Unit TF-IDF vector; empty for a text without words."""
+        raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in sorted(self.vocabulary.count(found).items())}
         norm = math.sqrt(sum(x * x for x in raw.values()))
         return {t: x / norm for t, x in raw.items()}
 
     def add(self, vectors: list[dict[int, float]]) -> None:
         blocks = -(-len(vectors) // _BLOCK)
-        holders: list[list[int]] = [[] for _ in self.vocabulary]
-        weights: list[list[float]] = [[] for _ in self.vocabulary]
-        self.block_max = np.zeros((len(self.vocabulary), blocks))
+        size = self.vocabulary.other + 1
+        holders: list[list[int]] = [[] for _ in range(size)]
+        weights: list[list[float]] = [[] for _ in range(size)]
+        self.block_max = np.zeros((size, blocks))
         for i, vector in enumerate(vectors):
             for t, x in vector.items():
                 holders[t].append(i)
@@ -94,12 +127,13 @@ class Index:
         ]
 
     def nearest(self, vector: dict[int, float], without: int = -1) -> list[tuple[float, int]]:
-        """``(similarity, example)`` of the nearest examples, ties by position; ``without`` is passed over."""
+        """``(similarity, example)`` of the nearest examples, ties by position; ``without`` is passed over if it is a single one."""
         if not vector:
             return []
         terms = list(vector)
         bound = np.array([vector[t] for t in terms]) @ self.block_max[terms]
         best: list[tuple[float, int]] = []
+        skipped = without if without >= 0 and self.sizes[without] == 1 else -1
         for block in np.argsort(-bound, kind="stable"):
             if bound[block] <= 0 or (len(best) == self.neighbours and bound[block] < -best[-1][0] - 1e-9):
                 break
@@ -109,17 +143,23 @@ class Index:
                 part = slice(starts[block], starts[block + 1])
                 similar[holders[part] - block * _BLOCK] += vector[t] * weights[part]
             at = np.flatnonzero(similar)
-            best += [(-similar[i], int(block * _BLOCK + i)) for i in at if block * _BLOCK + i != without]
+            best += [(-similar[i], int(block * _BLOCK + i)) for i in at if block * _BLOCK + i != skipped]
             best = sorted(best)[: self.neighbours]
         return [(-s, i) for s, i in best]
 
-    def votes(self, near: list[tuple[float, int]]) -> float:
-        """Share of the votes for toxic; a neighbour's vote falls with its distance, and the prior votes too."""
+    def votes(self, near: list[tuple[float, int]], without: int = -1, label: int = 0) -> float:
+        """Share of the votes for toxic; a neighbour's vote falls with its distance, and the prior votes too.
+
+        One row with ``label`` is taken out of the example ``without``.
+        """
         total, toxic = _PRIOR_VOTE, _PRIOR_VOTE * self.prior
         for similarity, i in near:
-            vote = _NEAR / (_NEAR + max(0.0, 1 - similarity))
+            vote = (_NEAR / (_NEAR + max(0.0, 1 - similarity))) ** 2
+            share = self.labels[i]
+            if i == without:
+                share = (share * self.sizes[i] - label) / (self.sizes[i] - 1)
             total += vote
-            toxic += vote * self.labels[i]
+            toxic += vote * share
         return toxic / total
 
     def score(self, near: list[tuple[float, int]]) -> float:
@@ -140,30 +180,24 @@ def isotonic(raw: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[np
     return np.array([p[0] / p[2] for p in pools]), np.array([p[1] / p[2] for p in pools])
 
 
-def document_frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[int, np.ndarray]:
-    """How many documents there are, and in how many of them each word of the vocabulary stands."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # at most the words of the sample
+def document_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[int, np.ndarray]:
+    """How many documents there are, and in how many of them each term stands."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # at most the terms of the sample
 
     def count(batches):
         known = shared.value
         seen: Counter = Counter()
-        rows = 0
         for batch in batches:
+            seen[-1] += batch.num_rows
             for text in batch.column(0).to_pylist():
-                seen.update({w for w in words(text) if w in known})
-                rows += 1
-        terms = [-1] + [known[w] for w in seen]
-        yield pa.RecordBatch.from_pydict({"term": pa.array(terms, pa.int64()), "n": pa.array([rows, *seen.values()], pa.int64())})
+                seen.update(known.count(words(text)).keys())
+        yield pa.RecordBatch.from_pydict(
+            {"term": pa.array(list(seen.keys()), pa.int64()), "n": pa.array(list(seen.values()), pa.int64())}
+        )
 
     rows = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(len(vocabulary))
-    total = 0
-    for r in rows:
-        if r["term"] < 0:
-            total = r["n"]
-        else:
-            out[r["term"]] = r["n"]
-    return total, out
+    found = {r["term"]: r["n"] for r in rows}
+    return found.get(-1, 0), np.array([found.get(t, 0) for t in range(vocabulary.other + 1)], float)
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, neighbours: int = 15) -> Index:
@@ -172,25 +206,37 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, neighbours: i
     for name, text, label in labelled_sample(docs, labels, "toxic", per_class):
         once.setdefault(text, (str(name), words(text), label))
     examples = list(once.values())
-    vocabulary = {w: i for i, w in enumerate(telling_words([(found, label) for _, found, label in examples]))}
+    vocabulary = Vocabulary(telling_terms([(found, label) for _, found, label in examples]))
     total, counts = document_frequencies(docs, vocabulary)
     usable = labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1))
     prior = usable.agg(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
-    index = Index(
-        vocabulary,
-        np.log((1 + total) / (1 + counts)) + 1,
-        np.array([label for _, _, label in examples], np.int64),
-        [name for name, _, _ in examples],
-        prior,
-        neighbours,
-    )
-    vectors = [index.vector(found) for _, found, _ in examples]
+    return build(vocabulary, np.log((1 + total) / (1 + counts)) + 1, examples, prior, neighbours)
+
+
+def build(vocabulary: Vocabulary, idf: np.ndarray, examples: list[tuple[str, list[str], int]], prior: float, neighbours: int) -> Index:
+    """Index and calibration from ``(name, words, label)`` examples."""
+    index = Index(vocabulary, idf, np.zeros(0), np.zeros(0, np.int64), [], prior, neighbours)
+    place: dict[tuple, int] = {}
+    vectors, members, held = [], [], []
+    for name, found, label in examples:
+        vector = index.vector(found)
+        key = tuple((t, round(x, 9)) for t, x in vector.items())
+        if key not in place:
+            place[key] = len(vectors)
+            vectors.append(vector)
+            index.names.append(name)
+            held.append([])
+        held[place[key]].append(label)
+        members.append((place[key], label))
+    index.labels = np.array([sum(x) / len(x) for x in held])
+    index.sizes = np.array([len(x) for x in held], np.int64)
     index.add(vectors)
-    raw = np.array([index.votes(index.nearest(v, without=i)) for i, v in enumerate(vectors)])
-    share = index.labels.mean() if len(index.labels) else 0.0
+    raw = np.array([index.votes(index.nearest(vectors[i], without=i), i, label) for i, label in members])
+    labels = np.array([label for _, label in members], float)
+    share = labels.mean() if len(labels) else 0.0
     # The sample is balanced; weights bring it back to the share of toxic rows.
-    weight = np.where(index.labels == 1, prior / max(share, 1e-9), (1 - prior) / max(1 - share, 1e-9))
-    index.curve = isotonic(raw, index.labels.astype(float), np.maximum(weight, 1e-9))
+    weight = np.where(labels == 1, prior / max(share, 1e-9), (1 - prior) / max(1 - share, 1e-9))
+    index.curve = isotonic(raw, labels, np.maximum(weight, 1e-9))
     return index
 
 
@@ -200,14 +246,24 @@ def score_toxicity(docs: DataFrame, index: Index) -> DataFrame:
 
     def worker():
         own = shared.value
+        plain: dict[tuple, tuple[float, str]] = {}  # texts of one kind of term all have the same vector
+
+        def judge(vector: dict[int, float]) -> tuple[float, str]:
+            near = own.nearest(vector)
+            return own.score(near), ",".join(f"{own.names[i]}:{own.labels[i]:.2f}:{s:.3f}" for s, i in near[:3])
 
         def score(texts: list) -> dict:
-            scores, evidence = [], []
+            found = []
             for text in texts:
-                near = own.nearest(own.vector(words(text)))
-                scores.append(own.score(near))
-                evidence.append(",".join(f"{own.names[i]}:{own.labels[i]}:{s:.3f}" for s, i in near[:3]))
-            return {"score": scores, "evidence": evidence}
+                vector = own.vector(words(text))
+                if len(vector) > 1:
+                    found.append(judge(vector))
+                else:
+                    key = tuple(vector)
+                    if key not in plain:
+                        plain[key] = judge(vector)
+                    found.append(plain[key])
+            return {"score": [x[0] for x in found], "evidence": [x[1] for x in found]}
 
         return score
 
@@ -217,8 +273,7 @@ def score_toxicity(docs: DataFrame, index: Index) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame, per_class: int = 1500, threshold: float = 0.7) -> DataFrame:
     """``doc_id, held_out, score, predicted, evidence`` for every row of ``docs``.
 
-    A text with none of the telling words (a null or empty one too) has no neighbour: its score is what such
-    examples have. Rows without ``doc_id`` count as not held out, but no label is learned from them. Repeated rows
+    A text without words (null or empty) has no neighbour; the prior decides. Rows without ``doc_id`` count as not held out, but no label is learned from them. Repeated rows
     get the same score, an empty table gives an empty result, and without labels every score is 0.
     Only ``text`` goes into a score.
     """
