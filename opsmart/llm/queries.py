@@ -27,6 +27,12 @@ def _bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_round_trip(table(spark, folder, "documents"))
 
 
+def _perplexity(spark: SparkSession, folder: str) -> DataFrame:
+    from opsmart.llm.perplexity import quality_rules
+
+    return quality_rules(table(spark, folder, "documents"))
+
+
 def _decontamination(spark: SparkSession, folder: str) -> DataFrame:
     from opsmart.llm.decontaminate import contaminated
 
@@ -64,6 +70,7 @@ def _simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Run] = {
+    "op1_perplexity_rules": _perplexity,
     "op2_benchmark_decontamination": _decontamination,
     "op3_license_scans": _licenses,
     "op4_quality_classifier": _quality,
