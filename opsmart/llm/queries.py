@@ -69,6 +69,12 @@ def _simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicate_components(table(spark, folder, "documents"))
 
 
+def _windows(spark: SparkSession, folder: str) -> DataFrame:
+    from opsmart.llm.suffix_dedup import removed_windows
+
+    return removed_windows(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Run] = {
     "op1_perplexity_rules": _perplexity,
     "op2_benchmark_decontamination": _decontamination,
@@ -79,6 +85,7 @@ QUERIES: dict[str, Run] = {
     "op7_token_counts": _token_counts,
     "op8_simhash_near_duplicates": _simhash,
     "op9_bpe_round_trip": _bpe,
+    "op10_suffix_dedup": _windows,
 }
 
 SQL: dict[str, str] = {"op2_benchmark_decontamination": decontaminate.SQL}
