@@ -227,10 +227,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataF
 
 def clean(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
     """The rows of ``docs``, with all their columns, in which no window of the benchmark occurs."""
-    leaks = phrase_matches(docs, benchmark, size).select(
-        F.col("_doc.doc_id").alias("_leak_id"), F.col("_doc.text_hash").alias("_leak_hash")
-    ).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("_leak_id")) & (F.xxhash64(docs["text"]) == F.col("_leak_hash"))
+    hits = materialise(phrase_matches(docs, benchmark, size), "hits")
+    leaks = hits.select(F.col("_doc.doc_id").alias("_leak_id"), F.col("_doc.text_hash").alias("_leak_hash")).distinct()
+    same = docs["doc_id"].eqNullSafe(leaks["_leak_id"]) & (F.xxhash64(docs["text"]) == leaks["_leak_hash"])
     return docs.join(leaks, same, "left_anti")
 
 

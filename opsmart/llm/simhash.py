@@ -188,9 +188,5 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     kept = found.groupBy("root").agg(F.min(order).alias("k")).select(
         F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_hash")
     )
-    marked = docs.withColumn("_own_hash", F.xxhash64("text"))
-    return (
-        marked.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own_hash") == F.col("_hash")), "left_semi")
-        .dropDuplicates(["doc_id", "_own_hash"])
-        .drop("_own_hash")
-    )
+    same = docs["doc_id"].eqNullSafe(kept["_id"]) & (F.xxhash64(docs["text"]) == kept["_hash"])
+    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
