@@ -112,11 +112,16 @@ class Rule:
 
 
 def _needed(pattern: str) -> tuple[str, ...]:
-    """The words a match must hold: those outside every group and not followed by a quantifier."""
-    flat = pattern
-    while (shorter := re.sub(r"\([^()]*\)(?:[?*]|\{[^}]*\})?", " ", flat)) != flat:
+    """The words a match must hold: whole words outside every group. A group that ends or begins with a blank leaves
+    its neighbours whole; with any other group, or an optional blank, they may be parts of words."""
+
+    def gone(m: re.Match) -> str:
+        return " " if m["body"][:1] == " " or m["body"][-1:] == " " else "\0"
+
+    flat = pattern.replace(" ?", "\0")
+    while (shorter := re.sub(r"\((?:\?[:!])?(?P<body>[^()]*)\)(?:[?*]|\{[^}]*\})?", gone, flat)) != flat:
         flat = shorter
-    return tuple(dict.fromkeys(w for w in flat.split() if re.fullmatch(r"[a-z0-9]+", w)))
+    return tuple(dict.fromkeys(w for w in flat.split(" ") if re.fullmatch(r"[a-z0-9]+", w)))
 
 
 def _version(v: str) -> str:
