@@ -38,6 +38,12 @@ class _Part:
     column: str | None = None
 
 
+def _once(batch: DataFrame, key: str) -> DataFrame:
+    """One row for each key; rows without a key are told apart by a number of their own."""
+    lone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    return batch.withColumn("_lone", lone).dropDuplicates([key, "_lone"]).drop("_lone")
+
+
 class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -167,13 +173,14 @@ class SnapshotStore:
              order: str | None = None) -> ops.LoadStats:
         """Incremental load with counts: appends the rows whose key is new.
 
-        The batch is computed once: its new rows are counted while they are
+        Rows that repeat a key inside the batch are cut to one; rows without a key
+        all stay. The batch is computed once: its new rows are counted while they are
         written. A load without any leaves the table as it is, except under
         ``flip_all``, which takes the flag off all rows even then.
         """
         if latest not in ops.POLICIES:
             raise ValueError(f"unknown policy {latest!r}")
-        batch = batch if latest == "keep" else batch.drop("latest")
+        batch = _once(batch if latest == "keep" else batch.drop("latest"), key)
         self._settle(table, latest, order)
         _, top = self._scan(table)
         number, stored = top + 1, self.exists(table)

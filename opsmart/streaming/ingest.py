@@ -1,8 +1,10 @@
 """File drops as streams.
 
-``ingest_drops`` is exact for late data: it looks the row id up in the stored
-table. ``dedupe_within`` and ``daily_event_counts`` keep bounded state instead,
-so rows later than the watermark are dropped.
+``ingest_drops`` and ``dedupe_into`` are exact for late data: they look ids up in
+the stored table, which is their only state. ``daily_event_counts`` keeps
+windows in Spark's state; ``run_to_store`` runs it in complete mode, in which the
+watermark evicts nothing and late rows still count, at the price of rewriting the
+(small) table of days with every batch.
 """
 
 from __future__ import annotations
@@ -30,13 +32,11 @@ def ingest_drops(stream: DataFrame, parse: Callable[[DataFrame], DataFrame], sto
     """Run all waiting drops through ``parse`` and the incremental load.
 
     Exactly once: a batch replayed after a failure finds its row ids already in
-    the table. Rows repeated inside one batch are cut to one first.
+    the table. Rows repeated inside one batch are cut to one by the load.
     """
 
     def load(batch: DataFrame, _: int) -> None:
-        parsed = parse(batch)
-        once = parsed.filter(F.col(key).isNotNull()).dropDuplicates([key])
-        store.load(table, once.unionByName(parsed.filter(F.col(key).isNull())), key, latest, order)
+        store.load(table, parse(batch), key, latest, order)
 
     return (
         stream.writeStream.foreachBatch(load)
@@ -51,9 +51,23 @@ def _event_time(stream: DataFrame, ts: str, delay: str) -> DataFrame:
     return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 
 
-def dedupe_within(stream: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
-    """Drop repeats of ``key`` that arrive within ``delay`` of each other."""
-    return _event_time(stream, ts, delay).dropDuplicatesWithinWatermark([key])
+def dedupe_into(stream: DataFrame, key: str, store: SnapshotStore, table: str, checkpoint: str) -> StreamingQuery:
+    """Append the first delivery of every ``key`` to ``table``, however late it comes.
+
+    Repeats inside a batch are cut to one row, repeats across batches are found in
+    the table, where only the ids of the batch are looked up. A batch that is replayed after a
+    failure finds its own rows there. Rows without a key are kept as they are.
+    """
+
+    def load(batch: DataFrame, _: int) -> None:
+        store.load(table, batch, key, "keep")
+
+    return (
+        stream.writeStream.foreachBatch(load)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 def daily_event_counts(stream: DataFrame, ts: str, event: str, delay: str, values: dict[str, Column] | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from opsmart.functions.keys import file_line_id, row_id, sync_line_id
@@ -9,7 +10,7 @@ from opsmart.operators import load, quality
 from opsmart.session import shared_dir
 from opsmart.sources.store import SnapshotStore
 from opsmart.sources.tables import read_drop
-from opsmart.streaming import daily_event_counts, dedupe_within, file_stream, ingest_drops, run_to_folder, run_to_store
+from opsmart.streaming import daily_event_counts, dedupe_into, file_stream, ingest_drops, run_to_store
 from registry import Sources, query
 
 _ID = "sha256(_file || '-' || cast(_line as varchar)) as _row_id"
@@ -346,15 +347,27 @@ def _(s):
     return store.read("events")
 
 
+def _files_newest_first(s: Sources, home: str, copies: int = 2, parts: int = 5) -> str:
+    """The events, each ``copies`` times, in files of ascending age: the latest events are delivered first."""
+    share = F.ntile(parts).over(Window.orderBy(F.col("day").desc()))
+    days = s.events.select(F.to_date("ts").alias("day")).distinct().select("day", share.alias("part"))  # one row a day
+    rows = s.events.withColumn("day", F.to_date("ts")).join(days, "day")
+    twice = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    # The second copy of an event comes one file later, with still older events.
+    twice = twice.withColumn("part", F.col("part") + F.col("copy") - 1)
+    for k in range(1, parts + copies):
+        twice.where(F.col("part") == k).select(*s.events.columns).coalesce(1).write.mode("append").parquet(f"{home}/drops")
+    return f"{home}/drops"
+
+
 @query("stream_dedupe", "select event_id, event_type, value from {events}")
 def _(s):
-    """Every event sent twice; repeats inside the watermark are dropped."""
+    """Every event sent twice, newest first, a file a batch: late first deliveries stay, repeats go."""
     home = shared_dir(s.spark, "dedupe")
-    stream = file_stream(s.spark, _event_files(s), s.events.schema)
-    twice = stream.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
-    return run_to_folder(
-        dedupe_within(twice, "event_id", "ts", "1 day").select("event_id", "event_type", "value"), f"{home}/out", f"{home}/checkpoint"
-    )
+    store = SnapshotStore(s.spark, f"{home}/tables")
+    stream = file_stream(s.spark, _files_newest_first(s, home), s.events.schema, files_per_trigger=1)
+    dedupe_into(stream.select("event_id", "event_type", "value"), "event_id", store, "events", f"{home}/checkpoint").awaitTermination()
+    return store.read("events")
 
 
 @query(

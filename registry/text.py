@@ -179,3 +179,41 @@ def _(s):
     pattern = _PHONE.replace("{{", "{").replace("}}", "}")
     found = s.documents.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("raw"))
     return found.withColumn("phone", phone.e164(F.col("raw"), F.lit("US")))
+
+
+# A phone for each customer, written as at home or from abroad, in regions of every zone of the numbering plan.
+_REGIONS = {
+    "US": "1 1", "BD": "880 0", "AM": "374 0", "BG": "359 0", "DE": "49 0", "FR": "33 0", "GB": "44 0", "IT": "39", "ES": "34", "PT": "351",
+    "PL": "48", "CZ": "420", "HU": "36 06", "RU": "7 8", "BY": "375 8", "EG": "20 0", "NG": "234 0", "SN": "221", "ZM": "260 0", "BO": "591 0",
+    "GT": "502", "UY": "598 0", "NP": "977 0", "KH": "855 0", "SG": "65", "UZ": "998 0",
+}
+_PHONES = "select c_custkey, ['" + "', '".join(_REGIONS) + f"'][1 + c_custkey % {len(_REGIONS)}] as region, cast(200000000 + c_custkey * 7 as varchar) as number, c_custkey % 4 as form from {{customer}}"
+_PLAN = ", ".join(f"('{r}', '{x.split()[0]}', '{(x.split() + [''])[1]}')" for r, x in _REGIONS.items())
+
+
+@query(
+    "phone_regions",
+    f"""with p as ({_PHONES}), plan(region, code, trunk) as (values {_PLAN}),
+    written as (select c_custkey, region, code, if(region = 'US', '2' || number, number) as national, form, trunk from p join plan using (region))
+    select c_custkey, region, case form when 0 then trunk || national when 1 then '+' || code || ' ' || national
+            when 2 then '+999 ' || national else '+' || code || '-' || left(national, 3) || '-' || substr(national, 4) end as raw,
+        if(form = 2, null, '+' || code || national) as phone from written""",
+)
+def _(s):
+    """National form, two international ones, and an unassigned code, which gives NULL."""
+    plan = {r: (x.split()[0], (x.split() + [""])[1]) for r, x in _REGIONS.items()}
+    regions = F.array(*map(F.lit, plan))
+    lookup = lambda k: F.create_map(*[F.lit(x) for r, v in plan.items() for x in (r, v[k])])
+    made = s.customer.select(
+        "c_custkey", F.element_at(regions, (1 + F.col("c_custkey") % len(plan)).cast("int")).alias("region"),
+        (200000000 + F.col("c_custkey") * 7).cast("string").alias("number"), (F.col("c_custkey") % 4).alias("form"),
+    )
+    national = F.when(F.col("region") == "US", F.concat(F.lit("2"), "number")).otherwise(F.col("number"))
+    code, trunk = F.element_at(lookup(0), F.col("region")), F.element_at(lookup(1), F.col("region"))
+    raw = (
+        F.when(F.col("form") == 0, F.concat(trunk, national))
+        .when(F.col("form") == 1, F.concat(F.lit("+"), code, F.lit(" "), national))
+        .when(F.col("form") == 2, F.concat(F.lit("+999 "), national))
+        .otherwise(F.concat(F.lit("+"), code, F.lit("-"), F.substring(national, 1, 3), F.lit("-"), F.substr(national, F.lit(4))))
+    )
+    return made.select("c_custkey", "region", raw.alias("raw")).withColumn("phone", phone.e164(F.col("raw"), F.col("region")))

@@ -52,8 +52,9 @@ def test_dedupe_and_daily(spark, tmp_path):
     write(spark, src, "x", rows)
     schema = spark.createDataFrame([], SCHEMA).schema
     stream = lambda: streaming.file_stream(spark, f"{src}/*", schema)
-    once = streaming.run_to_folder(streaming.dedupe_within(stream(), "file", "at", "1 day"), str(tmp_path / "o1"), str(tmp_path / "c1"))
-    assert sorted(r.file for r in once.collect()) == ["e1", "e2", "e3"]
+    store = SnapshotStore(spark, str(tmp_path / "o1"))
+    streaming.dedupe_into(stream(), "file", store, "once", str(tmp_path / "c1")).awaitTermination()
+    assert sorted(r.file for r in store.read("once").collect()) == ["e1", "e2", "e3"]
     counts = streaming.daily_event_counts(stream(), "at", "line", "2 days", {"v": F.col("v")})
     out = streaming.run_to_store(counts, SnapshotStore(spark, str(tmp_path / "t")), "d", str(tmp_path / "c2"))
     assert {(r.date, r.event_count, r.v) for r in out.collect()} == {(dt.date(2023, 1, 1), 2, 2), (dt.date(2023, 1, 2), 2, 12)}
@@ -62,3 +63,21 @@ def test_dedupe_and_daily(spark, tmp_path):
 def test_shared_dir_follows_the_session(spark, tmp_path):
     path = shared_dir(spark, "x")
     assert "/x-" in path and path != shared_dir(spark, "x")
+
+
+def test_dedupe_keeps_late_first_deliveries(spark, tmp_path):
+    src, t0 = str(tmp_path / "src"), dt.datetime(2023, 1, 1)
+    for k in range(5):  # the newest file first, each repeating an event of the one before
+        write(spark, src, f"f{k}", [(f"e{k}", 1, t0 - dt.timedelta(days=30 * k), k), (f"e{max(0, k - 1)}", 1, t0, k), (None, 1, t0, 9)])
+    store = SnapshotStore(spark, str(tmp_path / "tables"))
+    stream = streaming.file_stream(spark, f"{src}/*", spark.createDataFrame([], SCHEMA).schema, files_per_trigger=1)
+    streaming.dedupe_into(stream, "file", store, "t", str(tmp_path / "cp")).awaitTermination()
+    got = [r.file for r in store.read("t").collect()]
+    assert sorted(x for x in got if x) == [f"e{k}" for k in range(5)] and got.count(None) == 5
+
+
+def test_load_cuts_repeats_inside_a_batch(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path))
+    batch = spark.createDataFrame([("a", 1), ("a", 1), (None, 2), (None, 2)], "_row_id string, v int")
+    assert store.load("t", batch).new == 3
+    assert store.load("t", batch).new == 2
