@@ -125,7 +125,8 @@ def _free_flips() -> Column:
 def links(fps: DataFrame, long_list: int = 32) -> DataFrame:
     """``a, b``: links that connect exactly the fingerprints reachable from each other."""
     postings = materialise(_postings(fps), "postings")
-    long = postings.groupBy("list", "key").count().where(F.col("count") > long_list).select("list", "key")
+    # Written, so that adaptive execution can split a long list in the joins below.
+    long = materialise(postings.groupBy("list", "key").count().where(F.col("count") > long_list).select("list", "key"), "long-lists")
     short_lists = postings.join(long, ["list", "key"], "left_anti")
     other = short_lists.select(F.col("fp").alias("b"), "list", "key")
     diff = F.col("a").bitwiseXOR(F.col("b"))

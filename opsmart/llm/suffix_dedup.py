@@ -13,9 +13,12 @@ repeated window. The digits are chosen so that a whole stretch of neighbouring s
    Only anchors with runs of different content need another pass, with one run of each content.
 3. The last digit is the window itself, digested for all suffixes of the runs that share an anchor.
 
-Buckets of an anchor are cut into salted parts of ``part`` runs at most. Digests that stay single in a part are then
-counted across the parts of their anchor. Counts are aggregated before they are shuffled, and no bucket is gathered
-except for such a part. A run's content is told apart by 64 bits within the bucket of a 64-bit anchor, a window by 128 bits.
+Buckets of an anchor are cut into salted parts of ``part`` runs at most, and no bucket is gathered except for such a part.
+Windows that stay single in their part may have an equal in another. They are put off by a digit that stands between
+the second and the last: what all windows of ``BLOCK`` neighbouring offsets have in common. Only where another part
+has the same, the windows left in the block are digested one by one and counted across the parts. Counts are
+aggregated before they are shuffled. A run's content is told apart by 64 bits within the bucket of a 64-bit anchor, a
+window by 128 bits.
 """
 
 from __future__ import annotations
@@ -34,6 +37,8 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 from opsmart.session import materialise
 
 KMER = 32
+#: Neighbouring offsets that are told apart together across the parts of a bucket.
+BLOCK = 8
 #: Odd constants of the hash.
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 _STIR = np.uint64(0xBF58476D1CE4E5B9)
@@ -197,21 +202,29 @@ def _contexts(docs: DataFrame, chosen: DataFrame, size: int) -> DataFrame:
 
 
 def _settle(contexts: DataFrame, size: int) -> DataFrame:
-    """Windows that stand twice in a part of a bucket, as spans; and for buckets of several parts, each part's digests.
+    """Windows that stand twice in a part of a bucket, as spans; and what other parts of the bucket have to know.
 
-    ``digest`` is null for a span ``start:end``; else the row says that the part holds this window, once (``start`` tells where)
-    or more often (``start`` is null). Rows come in sorted by bucket and part.
+    ``kind`` says what a row is. ``span``: repeated windows cover ``start:end``. For buckets of several parts, ``window``: the
+    part holds the window ``digest`` more than once; ``seen``: some run of the part has the common bytes ``digest`` in a block; ``left``:
+    so has this run, and of the block's windows those in the bits of ``mask`` are single, the first bit standing for a
+    window at byte ``start``. Rows come in sorted by bucket and part.
     """
-    fields = [*contexts.schema.fields[:2]]
     schema = StructType(
-        [*fields, StructField("anchor", LongType()), StructField("digest", BinaryType()), StructField("start", LongType()), StructField("end", LongType())]
+        [
+            *contexts.schema.fields[:2],
+            *[StructField(n, LongType()) for n in ("run", "anchor", "salt")],
+            StructField("kind", StringType()),
+            StructField("digest", BinaryType()),
+            *[StructField(n, LongType()) for n in ("mask", "start", "end")],
+        ]
     )
     arrow = to_arrow_schema(schema)
+    digest = xxhash.xxh3_128_digest
 
     def settle_part(part: list[dict], out: list[tuple]) -> None:
-        if len(part) == 1 and part[0]["salts"] == 1:
+        several = part[0]["salts"] > 1
+        if len(part) == 1 and not several:
             return
-        digest = xxhash.xxh3_128_digest
         first: dict[bytes, tuple[int, int]] = {}
         often: set[bytes] = set()
         marks = []
@@ -231,14 +244,25 @@ def _settle(contexts: DataFrame, size: int) -> DataFrame:
                 low = row["run"] >> (2 * _BITS)
                 edges = np.flatnonzero(np.diff(np.concatenate(([False], mark)).astype(np.int8)))
                 for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
-                    out.append((row["doc_id"], row["text_hash"], row["anchor"], None, low + a, low + b - 1 + size))
-        if part[0]["salts"] > 1:
-            for d, (i, j) in first.items():
-                row = part[i]
-                # A run that is known to be repeated as a whole needs no answer.
-                alone = d not in often and row["single"]
-                start = (row["run"] >> (2 * _BITS)) + j if alone else None
-                out.append((row["doc_id"], row["text_hash"], row["anchor"], d, start, None))
+                    out.append((row["doc_id"], row["text_hash"], None, row["anchor"], None, "span", None, None, low + a, low + b - 1 + size))
+        if several:
+            anchor, salt = part[0]["anchor"], part[0]["salt"]
+            out += [(None, None, None, anchor, salt, "window", d, None, None, None) for d in often]
+            seen_blocks: set[bytes] = set()
+            for row, mark in zip(part, marks, strict=True):
+                low, at = row["run"] >> (2 * _BITS), row["run"] & _MASK
+                n = len(mark) - 1
+                data = row["bytes"]
+                for block in range((at - n + 1) // BLOCK, at // BLOCK + 1):
+                    # A window at j has its anchor at offset at - j; the block's offsets go from block * BLOCK up.
+                    begin, end = at - block * BLOCK, at - block * BLOCK - BLOCK + 1
+                    d = digest(data[begin : end + size])
+                    seen_blocks.add(d)
+                    places = range(max(0, end), min(n - 1, begin) + 1)
+                    mask = sum(1 << (j - places[0]) for j in places if not mark[j])
+                    if mask:
+                        out.append((row["doc_id"], row["text_hash"], row["run"], anchor, salt, "left", d, mask, low + places[0], None))
+            out += [(None, None, None, anchor, salt, "seen", d, None, None, None) for d in seen_blocks]
 
     def settle(batches):
         part: list[dict] = []
@@ -265,13 +289,68 @@ def _settle(contexts: DataFrame, size: int) -> DataFrame:
     return contexts.mapInArrow(settle, schema)
 
 
+def _across(settled: DataFrame, contexts: DataFrame, size: int) -> DataFrame:
+    """``doc_id, text_hash, start``: windows single in their part that another part of their bucket has as well.
+
+    A run that is repeated as a whole needs no answer (its ``start`` is null here), but others may equal its windows.
+    """
+    key = ["doc_id", "text_hash"]
+    shared = settled.where("kind = 'seen'").groupBy("anchor", "digest").agg(F.count("*").alias("n")).where("n > 1")
+    asked = (
+        settled.where("kind = 'left'")
+        .join(shared.select("anchor", "digest"), ["anchor", "digest"], "left_semi")
+        .groupBy(*key, "run")
+        .agg(F.collect_list(F.struct("start", "mask")).alias("asked"))  # the blocks of one run
+    )
+    known = _by_run(contexts.where("salts > 1"), asked)
+    schema = StructType(
+        [*contexts.schema.fields[:2], StructField("anchor", LongType()), StructField("salt", LongType()), StructField("digest", BinaryType()), StructField("start", LongType())]
+    )
+    arrow = to_arrow_schema(schema)
+
+    def digests(batches):
+        digest = xxhash.xxh3_128_digest
+        for batch in batches:
+            for row in batch.to_pylist():
+                low = row["run"] >> (2 * _BITS)
+                data = row["bytes"]
+                places = [a["start"] + k for a in row["asked"] for k in range(BLOCK) if a["mask"] >> k & 1]
+                n = len(places)
+                if n:
+                    columns = [
+                        [row["doc_id"]] * n,
+                        [row["text_hash"]] * n,
+                        [row["anchor"]] * n,
+                        [row["salt"]] * n,
+                        [digest(data[j - low : j - low + size]) for j in places],
+                        places if row["single"] else [None] * n,
+                    ]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+
+    open_windows = materialise(known.mapInArrow(digests, schema), "windows")
+    every = open_windows.select("anchor", "salt", "digest").unionByName(settled.where("kind = 'window'").select("anchor", "salt", "digest"))
+    again = every.distinct().groupBy("anchor", "digest").agg(F.count("*").alias("n")).where("n > 1").select("anchor", "digest")
+    return open_windows.where("start IS NOT NULL").join(again, ["anchor", "digest"], "left_semi").select(*key, "start")
+
+
+def _by_run(contexts: DataFrame, asked: DataFrame) -> DataFrame:
+    asked = asked.select(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash"), F.col("run").alias("_run"), "asked")
+    same = (
+        contexts["doc_id"].eqNullSafe(asked["_doc_id"])
+        & (contexts["text_hash"] == asked["_text_hash"])
+        & (contexts["run"] == asked["_run"])
+    )
+    return contexts.join(asked, same).drop("_doc_id", "_text_hash", "_run")
+
+
 def repeated_spans(docs: DataFrame, size: int = 400, part: int = 2048) -> DataFrame:
     """``doc_id, text_hash, start, end``: byte spans, possibly overlapping, that repeated windows cover."""
     if not KMER < size <= 1 << _BITS:
         raise ValueError(f"size must be above {KMER} and at most {1 << _BITS}")
     key = ["doc_id", "text_hash"]
     every = materialise(_scan(docs, size), "runs")
-    shared = every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # Written, so that the join below has two plain shuffles, of which adaptive execution splits the hot keys.
+    shared = materialise(every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
     left = materialise(every.join(shared, "anchor", "left_semi"), "shared-anchors")
     contents = materialise(
         left.groupBy("anchor", "content").agg(
@@ -283,21 +362,18 @@ def repeated_spans(docs: DataFrame, size: int = 400, part: int = 2048) -> DataFr
     start_of = F.shiftright("run", 2 * _BITS).alias("start")
     whole = left.join(contents.where("n > 1").select("anchor", "content"), ["anchor", "content"], "left_semi").select(*key, start_of, size_of)
     whole = whole.select(*key, "start", (F.col("start") + F.col("len")).alias("end"))
-    mixed = contents.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 AND least = 1")
+    mixed = materialise(
+        contents.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 AND least = 1"), "mixed"
+    )
     salts = F.ceil(F.col("kinds") / part).cast("long")
     chosen = contents.join(mixed, "anchor").select(
         *key, "run", "anchor", F.pmod(F.xxhash64("content"), salts).alias("salt"), salts.alias("salts"), (F.col("n") == 1).cast("long").alias("single")
     )
-    contexts = _contexts(docs, chosen, size).repartition("anchor", "salt").sortWithinPartitions("anchor", "salt")
-    settled = materialise(_settle(contexts, size), "settled")
-    local = settled.where("digest IS NULL").select(*key, "start", "end")
-    digests = settled.where("digest IS NOT NULL")
-    across = digests.groupBy("anchor", "digest").agg(F.count("*").alias("n")).where("n > 1").select("anchor", "digest")
-    far = (
-        digests.where("start IS NOT NULL")
-        .join(across, ["anchor", "digest"], "left_semi")
-        .select(*key, "start", (F.col("start") + size).alias("end"))
-    )
+    contexts = materialise(_contexts(docs, chosen, size), "contexts")
+    parts = contexts.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt")
+    settled = materialise(_settle(parts, size), "settled")
+    local = settled.where("kind = 'span'").select(*key, "start", "end")
+    far = _across(settled, contexts, size).select(*key, "start", (F.col("start") + size).alias("end"))
     return whole.unionByName(local).unionByName(far)
 
 
