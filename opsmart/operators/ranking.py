@@ -1,79 +1,39 @@
 """Sequence numbers inside a group, without sorting a hot group in one task.
 
 ``row_number() over (partition by key order by a, b)`` sends all rows of a key
-to one task. Keys that hold more rows than a task should sort are found first
-(one count per key, combined map-side); only their rows take the longer way:
-the order is split into levels, rows are counted per key and upper levels, the
-counts added up in order tell how many rows come before, and only the rows that
-agree on every level but the last are numbered together.
+to one task. Here the rows are range-partitioned by key and order, so a large key
+lies in several neighbouring partitions, each with a stretch of its order. Rows
+are numbered inside their partition, and each (key, partition) gets the number of
+the key's rows in the partitions before it, which is a sum over one row for every
+partition that the key reaches. There is one way for all keys, large and small.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-#: Rows of one stretch of a numeric last level are numbered in one task.
-STRETCH = 1 << 20
+from opsmart.session import materialise
 
 
-def stretch_of(number: Column, size: int = STRETCH) -> Column:
-    """Order-preserving coarse value of a number: the level above the number."""
-    return F.floor(number / F.lit(size))
+def sequence_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, start: int = 1) -> DataFrame:
+    """Add ``name``: the position of the row in its key, in ``order``.
 
-
-def _before(parent: Column, order: Column, value: str) -> Column:
-    """Sum of ``value`` over the earlier siblings of the same parent."""
-    w = Window.partitionBy(parent).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(value).over(w), F.lit(0))
-
-
-def sequence_in_group(
-    df: DataFrame, keys: Sequence[str], levels: Sequence[tuple[str, Column] | str], name: str, start: int = 1,
-    hot_rows: int = STRETCH,
-) -> DataFrame:
-    """Add ``name``: the position of the row in its key, ordered by ``levels``.
-
-    Equal to ``row_number()`` over the same order, minus ``1 - start``. The last
-    level should be unique inside the ones before it. Keys with more than
-    ``hot_rows`` rows are numbered level by level. Keys travel as structs, in
-    which a NULL equals a NULL, so plain equality joins keep NULL groups.
+    Equal to ``row_number()`` over the same order, minus ``1 - start``; the order
+    should be unique inside the key. The ranges are sampled, so the partitioned
+    rows are written to the shared folder and read from there for the count and
+    for the numbers: the input itself is computed once. Keys travel as structs, in which a
+    NULL equals a NULL, so plain equality joins keep NULL groups.
     """
-    exprs = [F.col(x) if isinstance(x, str) else x[1] for x in levels]
-    if len(exprs) < 2:
-        raise ValueError("give at least two levels; stretch_of() makes one from a number")
-    names = [f"_l{i}" for i in range(len(exprs))]
-    base = df.withColumns(
-        {"_key": F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]), **dict(zip(names, exprs))}
-    )
-    hot = base.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select("_key")
-
-    plain = F.row_number().over(Window.partitionBy("_key").orderBy(*names))
-    cold = base.join(hot, "_key", "left_anti").withColumn(name, (plain - 1 + start).cast("bigint"))
-    warm = _by_level(base.join(hot, "_key", "left_semi"), names, name, start)
-    drop = ["_key", *names]
-    return cold.drop(*drop).unionByName(warm.drop(*drop))
-
-
-def _by_level(base: DataFrame, names: list[str], name: str, start: int) -> DataFrame:
-    parts = [F.col("_key").alias("key"), F.col(names[0]).alias("first")]
-    deep = len(names) > 2
-    if deep:
-        parts.append(F.struct(*names[1:-1]).alias("rest"))
-    base = base.withColumn("_g", F.struct(*parts))
-    counts = base.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
-    if not deep:
-        offsets = counts.withColumn("_before", _before(F.col("_g.key"), F.col("_g.first"), "_n"))
-    else:
-        top = F.struct(F.col("_g.key").alias("key"), F.col("_g.first").alias("first"))
-        tops = counts.groupBy(top.alias("_t")).agg(F.sum("_n").alias("_m"))
-        tops = tops.withColumn("_above", _before(F.col("_t.key"), F.col("_t.first"), "_m")).drop("_m")
-        inner = counts.withColumn("_t", top)
-        inner = inner.withColumn("_inside", _before(F.col("_t"), F.col("_g.rest"), "_n"))
-        offsets = inner.join(tops, "_t").withColumn("_before", F.col("_above") + F.col("_inside"))
-    local = F.row_number().over(Window.partitionBy("_g").orderBy(names[-1]))
-    out = base.withColumn("_local", local).join(offsets.select("_g", "_before"), "_g")
-    return out.withColumn(name, (F.col("_before") + F.col("_local") - 1 + start).cast("bigint")).drop(
-        "_g", "_local", "_before"
-    )
+    names = [f"_o{i}" for i in range(len(order))]
+    key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    base = df.withColumns({"_key": key, **{n: F.col(c) for n, c in zip(names, order)}})
+    ranged = materialise(base.repartitionByRange("_key", *names).withColumn("_part", F.spark_partition_id()), "sequence")
+    counts = ranged.groupBy("_key", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("_key", "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    local = F.row_number().over(Window.partitionBy("_key", "_part").orderBy(*names))
+    numbered = ranged.withColumn("_local", local).join(before, ["_key", "_part"])
+    position = (F.col("_before") + F.col("_local") - 1 + start).cast("bigint")
+    return numbered.withColumn(name, position).drop("_key", "_part", "_local", "_before", *names)

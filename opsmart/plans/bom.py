@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from opsmart.operators.match import enrich_roles
 from opsmart.operators.metrics import count_if, presence_matrix
-from opsmart.operators.ranking import sequence_in_group, stretch_of
+from opsmart.operators.ranking import sequence_in_group
 
 FINISHED = "Finished Good"
 
@@ -24,11 +24,15 @@ COMPONENT_TYPES = {
 def bom_enrich(raw: DataFrame, sku: DataFrame) -> DataFrame:
     """BOM lines with the master data of the component and of the finished good,
     numbered inside the finished good by component (then by line)."""
-    numbered = sequence_in_group(
-        raw, ["fg_sku"], ["component_sku", ("stretch", stretch_of(F.col("_line"))), "_line"], "component_index"
-    )
+    return bom_lines(sequence_in_group(raw, ["fg_sku"], ["component_sku", "_line"], "component_index"), sku)
+
+
+def bom_lines(raw: DataFrame, sku: DataFrame) -> DataFrame:
+    """BOM lines with master data; with their numbers if ``raw`` has them. Reports that show no
+    number take the lines as they are."""
+    number = ["component_index"] if "component_index" in raw.columns else []
     joined = enrich_roles(
-        numbered,
+        raw,
         sku,
         "sku",
         {
@@ -47,7 +51,7 @@ def bom_enrich(raw: DataFrame, sku: DataFrame) -> DataFrame:
         "component_sku", "component_name",
         F.coalesce(F.col("_type") == FINISHED, F.lit(False)).alias("is_fg"),
         "usage", "fg_sku", "fg_sku_name", "fg_upc", "fg_product_code", "fg_product_group", "fg_manufacturer",
-        "fg_status", "component_index", "component_type", "component_version", "component_unit",
+        "fg_status", *number, "component_type", "component_version", "component_unit",
         "component_vendor", "component_vendor_id",
         (F.col("_line") + 1).alias("index"),
         F.lit(True).alias("latest"),

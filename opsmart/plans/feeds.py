@@ -15,7 +15,7 @@ from opsmart.functions.keys import file_line_id
 from opsmart.functions.numbers import parse_amount, parse_count, parse_int, parse_wide_integer
 from opsmart.functions.text import is_cancelled, without_cancel_mark
 from opsmart.operators.match import first_per_key
-from opsmart.operators.ranking import sequence_in_group, stretch_of
+from opsmart.operators.ranking import sequence_in_group
 
 #: Load policy of each feed, and the column it orders by.
 POLICY = {
@@ -106,13 +106,7 @@ def parse_transaction_lines(raw: DataFrame) -> DataFrame:
     transaction id, ``tracking_number`` the PO number, ``materials`` the quantity.
     """
     kept = raw.filter(F.col("qty_in").isNotNull())
-    numbered = sequence_in_group(
-        kept,
-        ["qty_in"],
-        ["textbox_12", "_file", ("stretch", stretch_of(F.col("_line"))), "_line"],
-        "index",
-        start=0,
-    )
+    numbered = sequence_in_group(kept, ["qty_in"], ["textbox_12", "_file", "_line"], "index", start=0)
     return numbered.select(
         *_with_lineage(
             F.col("qty_in").alias("transaction_id"),

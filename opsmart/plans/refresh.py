@@ -1,15 +1,15 @@
 """Whole refreshes: the tables of one area, loaded in dependency order.
 
 ``raw`` holds the raw frames by feed name; ``store`` keeps the curated tables.
-Each function returns what every step reported, and stops at the first error
-with the earlier steps done and the failing table unchanged.
+Each function returns what every step reported (the rows it added, for loads), and
+stops at the first error with the earlier steps done and the failing table unchanged.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from opsmart.plans import bom, edi, feeds, purchasing, sku
 from opsmart.schemas import schema
@@ -53,7 +53,7 @@ def refresh_purchasing(store: SnapshotStore, raw: Mapping[str, DataFrame]):
 
     def prices():
         new = purchasing.average_price(store.read("po_tracker"), store.read("sku_master"), store.read("brands"))
-        return store.append("average_price", _unflagged(store, "average_price", new)).count()
+        return store.append_batch("average_price", new)
 
     return refresh_in_order(
         {
@@ -67,13 +67,6 @@ def refresh_purchasing(store: SnapshotStore, raw: Mapping[str, DataFrame]):
     )
 
 
-def _unflagged(store: SnapshotStore, table: str, batch: DataFrame) -> DataFrame:
-    """Take the flag off the stored batches before a new one is appended."""
-    if store.exists(table):
-        store.update(table, "latest", F.lit(False))
-    return batch
-
-
 def refresh_sku_reference(store: SnapshotStore, raw: Mapping[str, DataFrame]):
     """SKU master and its companions, each replaced only when something changed."""
     return refresh_in_order(
@@ -89,11 +82,7 @@ def refresh_sku_reference(store: SnapshotStore, raw: Mapping[str, DataFrame]):
 def refresh_boms(store: SnapshotStore, raw: Mapping[str, DataFrame]):
     """BOM lines: a new flagged batch every time."""
     return refresh_in_order(
-        {
-            "boms": lambda: store.append(
-                "boms", _unflagged(store, "boms", bom.bom_enrich(raw["boms"], store.read("sku_master")))
-            ).count()
-        }
+        {"boms": lambda: store.append_batch("boms", bom.bom_enrich(raw["boms"], store.read("sku_master")))}
     )
 
 

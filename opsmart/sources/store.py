@@ -166,6 +166,19 @@ class SnapshotStore:
         df.write.mode("error").parquet(f"{self.root}/{table}/b={top + 1}.keep")
         return self.read(table)
 
+    def append_batch(self, table: str, df: DataFrame, latest: str = "flip_all") -> int:
+        """Append all rows of a batch, which then is the latest one; the number of its rows.
+
+        Stored rows are not touched: their flag goes out because a newer part is there.
+        A batch that fails half-way leaves the table as it was.
+        """
+        self._settle(table, latest, None)
+        _, top = self._scan(table)
+        counted = Observation()
+        rows = df.drop("latest").observe(counted, F.count(F.lit(1)).alias("n"))
+        rows.write.mode("error").parquet(f"{self.root}/{table}/b={top + 1}.{latest}")
+        return counted.get["n"]
+
     def update(self, table: str, column: str, value: Column) -> DataFrame:
         return self.write(table, ops.update_column(self.read(table), column, value))
 

@@ -238,6 +238,10 @@ def _boms(s):
     return bom.bom_enrich(s.bom_raw, s.sku_known)
 
 
+def _lines(s):
+    return bom.bom_lines(s.bom_raw, s.sku_known)
+
+
 @query("bom_enrich", f"with {_BOM} select *, true as latest from bm")
 def _(s):
     return _boms(s).drop("_fivetran_synced")
@@ -258,12 +262,12 @@ _USAGE = f"""with {_BOM} select fg_sku as sku, fg_sku_name as sku_name, fg_upc a
 
 @query("bom_usage_summary", _USAGE)
 def _(s):
-    return bom.bom_usage_summary(_boms(s))
+    return bom.bom_usage_summary(_lines(s))
 
 
 @query("bom_missing_usage", _USAGE + " having sum(case when usage is null then 1 else 0 end) > 0")
 def _(s):
-    return bom.bom_usage_summary(_boms(s), only_missing=True)
+    return bom.bom_usage_summary(_lines(s), only_missing=True)
 
 
 _TYPES = {"small": "SMALL", "medium": "MEDIUM", "large": "LARGE", "promo": "PROMO", "standard": "STANDARD", "unseen": "BTCP"}
@@ -275,12 +279,12 @@ _TYPES = {"small": "SMALL", "medium": "MEDIUM", "large": "LARGE", "promo": "PROM
     from bm join {{groups}} g on g.group_id = component_type group by 1, 2""",
 )
 def _(s):
-    return bom.component_matrix(_boms(s), s.groups, _TYPES)
+    return bom.component_matrix(_lines(s), s.groups, _TYPES)
 
 
 @query("component_type_matches", f"with {_BOM} select distinct component_type, g.group_id as product_type from bm left join {{groups}} g on g.group_id = component_type")
 def _(s):
-    return bom.component_type_matches(_boms(s), s.groups)
+    return bom.component_type_matches(_lines(s), s.groups)
 
 
 def _prices(s):
@@ -298,7 +302,7 @@ _PRICE = "pr as (select sku, p_retailprice as average_price from {sku_known} joi
     where sku_type = 'Finished Good' and status = 'Active'""",
 )
 def _(s):
-    return bom.bom_cost(_boms(s), _prices(s), s.sku_known)
+    return bom.bom_cost(_lines(s), _prices(s), s.sku_known)
 
 
 @query(
@@ -309,7 +313,7 @@ def _(s):
     where sku_type = 'Finished Good' and status = 'Active'""",
 )
 def _(s):
-    return bom.bom_cost(_boms(s), _prices(s), s.sku_known, weight_by_usage=True).withColumn("total_cost", F.round("total_cost", 2))
+    return bom.bom_cost(_lines(s), _prices(s), s.sku_known, weight_by_usage=True).withColumn("total_cost", F.round("total_cost", 2))
 
 
 @query("component_vendor_sku", "select b.component_sku, k.vendor_sku from {bom_raw} b left join {sku_known} k on k.sku = b.component_sku")

@@ -120,8 +120,7 @@ def _(s):
 )
 def _(s):
     """Three huge groups, numbered without sorting any of them in one task."""
-    stretch = ("stretch", ranking.stretch_of(F.col("o_orderkey"), 1000))
-    out = ranking.sequence_in_group(s.orders, ["o_orderpriority"], ["o_orderstatus", "o_orderdate", stretch, "o_orderkey"], "position", hot_rows=1000)
+    out = ranking.sequence_in_group(s.orders, ["o_orderpriority"], ["o_orderstatus", "o_orderdate", "o_orderkey"], "position")
     out = out.withColumn("g", F.nullif(F.col("o_orderstatus"), F.lit("P")))
     out = ranking.sequence_in_group(out, ["g"], ["o_orderdate", "o_orderkey"], "index", start=0)
     return out.select("o_orderpriority", "o_orderkey", "position", "index")

@@ -104,15 +104,22 @@ def test_first_per_key_and_remap(spark):
     assert {r["k"] for r in match.remap_key(df, mapping, "k", "alias", "ref").collect()} == {"A", "b"}
 
 
-@pytest.mark.parametrize("hot_rows", [0, 3, 10_000])
-@pytest.mark.parametrize("deep", [False, True])
-def test_sequence_equals_row_number(spark, deep, hot_rows):
-    levels = ["a", ("s", ranking.stretch_of(F.col("n"), 4)), "n"] if deep else ["a", "n"]
+def test_sequence_equals_row_number(spark):
     rnd = random.Random(7)
     rows = [(rnd.choice(["x", "x", "x", "y", None]), rnd.choice(["p", "q", None]), i) for i in range(60)]
     df = spark.createDataFrame(rows, "k string, a string, n int")
-    got = ranking.sequence_in_group(df, ["k"], levels, "pos", start=0, hot_rows=hot_rows)
+    got = ranking.sequence_in_group(df.repartition(5), ["k"], ["a", "n"], "pos", start=0)
     df.createOrReplaceTempView("seq_rows")
     want = spark.sql("select *, row_number() over (partition by k order by a, n) - 1 as pos from seq_rows")
     order = lambda d: sorted((str(r["k"]), r["n"], r["pos"]) for r in d.collect())
     assert order(got) == order(want)
+
+
+def test_hot_key_is_numbered_over_several_partitions(spark):
+    df = spark.range(20_000).withColumn("k", F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(-1))
+    got = ranking.sequence_in_group(df, ["k"], ["id"], "pos")
+    hot = got.filter("k = -1").orderBy("id").collect()
+    assert [r["pos"] for r in hot] == list(range(1, len(hot) + 1))
+    assert got.filter("k <> -1 and pos <> 1").count() == 0 and got.count() == 20_000
+    empty = ranking.sequence_in_group(df.limit(0), ["k"], ["id"], "pos")
+    assert empty.count() == 0 and empty.columns == ["id", "k", "pos"]

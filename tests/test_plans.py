@@ -453,15 +453,19 @@ def test_refresh_purchasing_and_reference(spark, tmp_path):
     out = refresh.refresh_purchasing(store, raw)
     assert out["po_status"] == 2 and out["vendor_mapping"] == 2 and out["po_tracker"].new == 5 and out["average_price"] == 1
     again = refresh.refresh_purchasing(store, raw)
-    assert again["po_tracker"].new == 0 and again["average_price"] == 2
+    assert again["po_tracker"].new == 0 and again["average_price"] == 1
     # the same sync delivered again stays the latest one
     assert store.read("po_tracker").filter("latest").count() == 4
     assert store.read("average_price").filter("latest").count() == 1
     boms = make(spark, [{"fg_sku": "F", "component_sku": "C1", "usage": 1.0, "_line": 0}],
                 "fg_sku string, component_sku string, usage double, _line bigint, _fivetran_synced timestamp")
     assert refresh.refresh_boms(store, {"boms": boms}) == {"boms": 1}
-    assert refresh.refresh_boms(store, {"boms": boms}) == {"boms": 2}
-    assert store.read("boms").filter("latest").count() == 1
+    assert refresh.refresh_boms(store, {"boms": boms}) == {"boms": 1}
+    assert store.read("boms").filter("latest").count() == 1 and store.read("boms").count() == 2
+    broken = boms.withColumn("usage", F.raise_error(F.lit("no usage")).cast("double"))
+    with pytest.raises(Exception, match="no usage"):
+        refresh.refresh_boms(store, {"boms": broken})
+    assert store.read("boms").filter("latest").count() == 1 and store.read("boms").count() == 2
 
 
 def test_refresh_reference_and_edi(spark, tmp_path):
