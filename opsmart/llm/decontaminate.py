@@ -42,11 +42,21 @@ def _items(benchmark: DataFrame) -> DataFrame:
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
-    """Every word of every document: its place (from 0), its key, and the document's words."""
-    words = _documents(docs).select("_doc", words_of(F.col("text")).alias("words"))
+    """Every word of every document: its place (from 1), its key, and the document's words.
+
+    Each document begins with an empty word at place 0, whose row stands for the document itself.
+    """
+    words = _documents(docs).select("_doc", F.concat(F.array(F.lit("")), words_of(F.col("text"))).alias("words"))
     return words.select("_doc", "words", F.posexplode("words").alias("pos", "word")).withColumn("key", F.lower("word"))
 
 
+def _found(occurrences: DataFrame, terms: DataFrame) -> DataFrame:
+    """The occurrences of ``terms`` (a column ``key`` and others), met through a 64-bit hash and then compared."""
+    hashed = terms.withColumn("_h", F.xxhash64("key")).withColumnRenamed("key", "_term")
+    met = occurrences.withColumn("_h", F.xxhash64("key")).join(hashed, "_h")
+    return met.where("key = _term").drop("_h", "_term")
+
+
 def _windows(items: DataFrame, counts: DataFrame, size: int) -> DataFrame:
     """Distinct places of the two rarest words of each window: ``item, words, first, second``.
 
@@ -102,25 +112,30 @@ def _index(docs: DataFrame, benchmark: DataFrame, size: int) -> tuple[DataFrame,
     vocabulary = materialise(
         items.select(F.explode("words").alias("word")).select(F.lower("word").alias("key")).distinct(), "vocabulary"
     )
-    counts = materialise(
-        _occurrences(docs).select("key").join(vocabulary, "key").groupBy("key").agg(F.count("*").alias("n")), "counts"
-    )
+    counts = materialise(_found(_occurrences(docs).select("key"), vocabulary).groupBy("key").agg(F.count("*").alias("n")), "counts")
     windows = materialise(_windows(items, counts, size), "windows")
     needed = (
         windows.select(F.col("first_key").alias("key"), F.lit(1).alias("leads"))
         .unionByName(windows.select(F.col("second_key").alias("key"), F.lit(0).alias("leads")))
+        .unionByName(docs.sparkSession.sql("SELECT '' AS key, 0 AS leads"))
         .groupBy("key")
         .agg(F.max("leads").alias("leads"))
     )
     after, before = _around(F.col("words"), F.col("pos"), size)
-    found = (
-        _occurrences(docs)
-        .select("_doc", "pos", "key", after.alias("after"), before.alias("before"))
-        .join(materialise(needed, "needed"), "key")
+    places = _occurrences(docs).select(
+        "_doc", "pos", "key", after.alias("after"), before.alias("before"), (F.size("words") - 1).cast("long").alias("n_words")
     )
+    found = _found(places, materialise(needed, "needed"))
     leads = F.col("leads") == 1  # only the rarest word of some window needs its surroundings
     postings = materialise(
-        found.select("key", "_doc", "pos", F.when(leads, _lowered("after")).alias("after"), F.when(leads, _lowered("before")).alias("before")),
+        found.select(
+            "key",
+            "_doc",
+            (F.col("pos") - 1).alias("pos"),
+            F.when(leads, _lowered("after")).alias("after"),
+            F.when(leads, _lowered("before")).alias("before"),
+            F.when(F.col("key") == "", F.col("n_words")).alias("n_words"),
+        ),
         "postings",
     )
     return windows, postings
@@ -145,7 +160,10 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Dat
     Each row is a stretch of ``size`` words or more (at most ``2 * size - 1``; longer passages give
     several rows), or a whole item if the item is shorter. ``_doc`` has ``doc_id`` and ``text_hash``.
     """
-    windows, postings = _index(docs, benchmark, size)
+    return _matches(*_index(docs, benchmark, size), size)
+
+
+def _matches(windows: DataFrame, postings: DataFrame, size: int) -> DataFrame:
     first, second = _lists(windows, postings)
     both = first.join(second, ["item", "first", "second", "_doc", "shift"])
     after, before = _around(F.col("words"), F.col("first"), size)
@@ -198,7 +216,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataF
     item without id marks words but is not listed. Rows that repeat an id and text get the same
     result each; rows with one id and different texts get their own. Further columns are not read.
     """
-    hits = materialise(phrase_matches(docs, benchmark, size), "hits")
+    windows, postings = _index(docs, benchmark, size)
+    hits = materialise(_matches(windows, postings, size), "hits")
     by_start = Window.partitionBy("_doc").orderBy("start", "end")
     reach = F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     covered = (
@@ -209,14 +228,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataF
         .agg(F.sum(F.greatest(F.col("end") - F.col("from"), F.lit(0))).alias("n_hit"))
     )
     named = hits.groupBy("_doc").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("ids"))
-    per_doc = covered.join(named, "_doc").select(
-        F.col("_doc.doc_id").alias("_id"), F.col("_doc.text_hash").alias("_hash"), "n_hit", "ids"
-    )
-    rows = docs.select("doc_id", F.xxhash64("text").alias("_own"), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
-    joined = rows.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash")), "left")
+    rows = postings.where("key = ''").select("_doc", "n_words")
+    joined = rows.join(covered.join(named, "_doc"), "_doc", "left")
     ids = F.coalesce("ids", F.array().cast("array<string>"))
     return joined.select(
-        "doc_id",
+        "_doc.doc_id",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.size(ids).cast("long").alias("n_items"),
