@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from opsmart.functions.dates import parse_us_timestamp
+from opsmart.functions.dates import parse_slash_date, parse_us_timestamp
 from opsmart.functions.keys import file_line_id, row_id
 from opsmart.functions.numbers import parse_amount
 from opsmart.functions.text import code_of, label_of
@@ -31,7 +31,7 @@ def partner_mapping(customers: DataFrame, register: DataFrame, target: DataFrame
 
 def parse_register(raw: DataFrame, mapping: DataFrame) -> DataFrame:
     """Register lines; lines without a partner, date or document are dropped."""
-    day = F.to_date(F.col("textbox_17"), "M/d/yyyy")
+    day = parse_slash_date(F.col("textbox_17"))  # NULL for a malformed date, which must not stop the load
     keyed = raw.withColumn("transaction_id", row_id("textbox_23", "textbox_17", "textbox_19"))
     keyed = keyed.filter(F.col("transaction_id").isNotNull())
     joined = enrich(keyed, mapping, "textbox_23", "tc_name", {"qb_id": "trading_partner_qb_id"})

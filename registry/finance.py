@@ -134,6 +134,29 @@ def _(s):
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("document_date", "log_time")})
 
 
+_ALIKE = "cast(floor(100 * jaro_winkler_similarity(lower(t.tc_name), lower(c.display_name)) + 1e-9) as integer)"
+
+
+@query(
+    "edi_chain",
+    f"""with scored as (select t.tc_name, c.id, {_ALIKE} as similarity, row_number() over (partition by t.tc_name order by c.display_name, c.id, c.fully_qualified_name) as place
+            from (select distinct textbox_23 as tc_name from {{edi_register}}) t, {{fin_customers}} c where {_ALIKE} >= 85),
+        chosen as (select tc_name, arg_max(id, (similarity, -place)) as qb_id from scored group by tc_name),
+        single as (select qb_id, tc_name from chosen)
+    select textbox_23 as trading_partner, m.qb_id as trading_partner_qb_id, count(*) as n_lines, cast(sum(cast({_AMOUNT.format('txn_amount')} as decimal(18,2))) as double) as amount, min({slash('textbox_17')}) as first_day
+    from {{edi_register}} r left join single m on m.tc_name = r.textbox_23 where textbox_23 is not null and textbox_17 is not null and textbox_19 is not null group by all""",
+)
+def _(s):
+    """Partners matched by similarity, and the register built on that map, summed by partner."""
+    from opsmart.session import materialise
+
+    partners = materialise(edi.best_partners(s.fin_customers, s.edi_register), "partner-map")
+    register = edi.parse_register(s.edi_register, partners)
+    return register.groupBy("trading_partner", "trading_partner_qb_id").agg(
+        F.count("*").alias("n_lines"), F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("amount"), F.min("creation_date").alias("first_day")
+    )
+
+
 _MEMBERS = """mb as (select c.id, email, first_name, last_name, city, zip, country, country_code, phone from {people} c
     join {addresses} a on a.customer_id = c.id where email is not null and is_default)"""
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from opsmart.functions.keys import file_line_id, row_id, sync_line_id
 from opsmart.operators import load, quality
-from opsmart.session import shared_dir
+from opsmart.session import materialise, shared_dir
 from opsmart.sources.store import SnapshotStore
 from opsmart.sources.tables import read_drop
 from opsmart.streaming import daily_event_counts, dedupe_into, file_stream, ingest_drops, run_to_store
@@ -35,7 +35,9 @@ def shown(df):
 def _load(policy: str, order: str | None = None):
     def build(s: Sources):
         batch, target = with_id(s.arriving_drops), flagged(with_id(s.stored_drops))
-        return shown(load.incremental_load(batch, target, latest=policy, order=order))
+        # The new rows are asked for several times; written once, the big tables are scanned once for them.
+        fresh = materialise(load.new_rows(batch, target), "fresh")
+        return shown(load.incremental_load(batch, target, latest=policy, order=order, fresh=fresh))
 
     return build
 
