@@ -29,6 +29,8 @@ _WORD = re.compile(r"\w+")
 #: Besides whole words, their beginnings of these lengths are terms.
 _HEADS = (5, 7)
 _BLOCK = 64
+#: Blocks looked at first, those that may hold the nearest examples.
+_FIRST = 3
 #: What a neighbour's vote falls by with its distance, and the weight of the vote for the prior.
 _NEAR, _PRIOR_VOTE = 0.15, 0.3
 
@@ -132,20 +134,41 @@ class Index:
             return []
         terms = list(vector)
         bound = np.array([vector[t] for t in terms]) @ self.block_max[terms]
-        best: list[tuple[float, int]] = []
         skipped = without if without >= 0 and self.sizes[without] == 1 else -1
-        for block in np.argsort(-bound, kind="stable"):
-            if bound[block] <= 0 or (len(best) == self.neighbours and bound[block] < -best[-1][0] - 1e-9):
-                break
-            similar = np.zeros(_BLOCK)
+        order = np.argsort(-bound, kind="stable")
+        likely, rest = order[:_FIRST], order[_FIRST:]
+        best = self._closest(self._similar(vector, terms, likely), skipped)
+        least = best[-1][0] - 1e-9 if len(best) == self.neighbours else 0.0
+        rest = rest[bound[rest] >= max(least, 1e-12)]
+        if len(rest):  # blocks that may hold a nearer example, or one as near
+            best = self._closest(self._similar(vector, terms, np.concatenate((likely, rest))), skipped)
+        return best
+
+    def _similar(self, vector: dict[int, float], terms: list[int], blocks: np.ndarray) -> np.ndarray:
+        """Similarities of the examples in some blocks, from the parts of the posting lists in them; 0 elsewhere."""
+        similar = np.zeros(len(self.sizes))
+        if 2 * len(blocks) > self.block_max.shape[1]:  # most of each list: go through it in one piece
+            for t in terms:
+                holders, weights, _ = self.lists[t]
+                similar[holders] += vector[t] * weights
+            wanted = np.zeros(self.block_max.shape[1], bool)
+            wanted[blocks] = True
+            return np.where(np.repeat(wanted, _BLOCK)[: len(similar)], similar, 0)
+        for block in blocks:
             for t in terms:
                 holders, weights, starts = self.lists[t]
                 part = slice(starts[block], starts[block + 1])
-                similar[holders[part] - block * _BLOCK] += vector[t] * weights[part]
-            at = np.flatnonzero(similar)
-            best += [(-similar[i], int(block * _BLOCK + i)) for i in at if block * _BLOCK + i != skipped]
-            best = sorted(best)[: self.neighbours]
-        return [(-s, i) for s, i in best]
+                similar[holders[part]] += vector[t] * weights[part]
+        return similar
+
+    def _closest(self, similar: np.ndarray, skipped: int) -> list[tuple[float, int]]:
+        at = np.flatnonzero(similar)
+        at = at[at != skipped]
+        if len(at) > self.neighbours:  # all that are as near as the last neighbour stay in
+            least = np.partition(similar[at], -self.neighbours)[-self.neighbours]
+            at = at[similar[at] >= least]
+        at = at[np.lexsort((at, -similar[at]))][: self.neighbours]
+        return list(zip(similar[at].tolist(), at.tolist(), strict=True))
 
     def votes(self, near: list[tuple[float, int]], without: int = -1, label: int = 0) -> float:
         """Share of the votes for toxic; a neighbour's vote falls with its distance, and the prior votes too.
