@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -34,17 +37,24 @@ def get_spark(app: str = "opsmart", master: str | None = None, **extra: str) ->
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_root() -> str:
+    root = tempfile.mkdtemp(prefix="opsmart-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir`` that all executors can reach.
 
     A machine-local folder is used only where the session names no checkpoint
-    folder, which is the case in unit tests on ``local[n]``.
+    folder, which is the case in unit tests on ``local[n]``; it goes with the process.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="opsmart-")
+        root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
