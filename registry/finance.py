@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from opsmart.operators import load, quality
 from opsmart.plans import audience, edi, finance, sales
 from registry import query
 from registry.text import _AMOUNT, slash, us_stamp
@@ -134,6 +135,37 @@ def _(s):
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("document_date", "log_time")})
 
 
+_KEYED = "(textbox_23 || '-' || textbox_17 || '-' || textbox_19)"
+
+
+@query(
+    "edi_quality",
+    f"""with ids as (select {_KEYED} as id, textbox_17, {slash('textbox_17')} as day from {{edi_register}} where {_KEYED} is not null),
+    logged as (select edipartner_name || '-' || document_date || '-' || alt_doc_id as id from {{edi_log}})
+    select 'edi_register unique(transaction_id)' as "check", count(*) as failures, count(*) = 0 as passed from (select id from ids group by id having count(*) > 1)
+    union all select 'edi_register not_null(transaction_id)', count(*) - count(id), count(*) = count(id) from ids
+    union all select 'edi_register not_null(creation_date)', count(*) - count(day), count(*) = count(day) from ids
+    union all select 'edi_integration unique(transaction_id)', count(*), count(*) = 0 from (select id from logged where id is not null group by id having count(*) > 1)
+    union all select 'edi_integration not_null(transaction_id)', count(*) - count(id), count(*) = count(id) from logged""",
+)
+def _(s):
+    """Checks of the curated EDI tables; lines whose date cannot be read are counted, not lost."""
+    register = edi.parse_register(s.edi_register, s.partner_map)
+    log = edi.parse_integration(s.edi_log, s.partner_map)
+    checks = [
+        (name, check(df, column))
+        for name, df, check, column in (
+            ("edi_register", register, quality.unique_check, "transaction_id"),
+            ("edi_register", register, quality.not_null_check, "transaction_id"),
+            ("edi_register", register, quality.not_null_check, "creation_date"),
+            ("edi_integration", log, quality.unique_check, "transaction_id"),
+            ("edi_integration", log, quality.not_null_check, "transaction_id"),
+        )
+    ]
+    rows = [df.withColumn("check", F.concat(F.lit(f"{name} "), "check")) for name, df in checks]
+    return load.union_sources(*rows)
+
+
 _ALIKE = "cast(floor(100 * jaro_winkler_similarity(lower(t.tc_name), lower(c.display_name)) + 1e-9) as integer)"
 
 
