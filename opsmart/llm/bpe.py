@@ -34,8 +34,8 @@ _SEPARATORS = re.compile("[\x1c-\x1f]")
 #: The splitter's pattern; a fixed value. What it does not match is dropped.
 _PIECES = regex.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[\\p{{L}}]+|[\\p{{N}}]|[^{_WS}\\p{{L}}\\p{{N}}]+")
 #: Runs, words and token pairs that a worker remembers at most; then it starts anew. Workers live as long as their
-#: executor, so this is what they hold (about 120 MB) whatever runs in them next.
-_REMEMBERED = 100_000
+#: executor, so this is what they hold (about 230 MB) whatever runs in them next.
+_REMEMBERED = 200_000
 _FOREVER = 1 << 60
 #: The last symbol of a word is a symbol of its own; it is moved by this much.
 _FINAL = 0x10000
