@@ -16,6 +16,7 @@ import math
 import re
 from collections import Counter
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StringType, StructField
@@ -49,20 +50,23 @@ _PLACEHOLDER = re.compile(
     r"|os\.environ.*|getenv.*|env\..*|process\.env.*)$",
     re.IGNORECASE,
 )
-_NAME = r"[A-Za-z_][A-Za-z0-9_\-]{0,79}(?:\.[A-Za-z_][A-Za-z0-9_\-]{0,79}){0,8}"
+#: Of any length: a name is read from one place only, as is an element, whose parts hold no "<".
+_NAME = r"[A-Za-z_][A-Za-z0-9_\-]*(?:\.[A-Za-z_][A-Za-z0-9_\-]*)*"
 _STRING = r"\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`"
 _BARE = r"[A-Za-z0-9+/_.=\-$~@!%^&*]+"
 _BINDING = re.compile(
     rf"(?<![\w.\-])(?:(?P<q>[\"'`])(?P<quoted>{_NAME})(?P=q)|(?P<name>{_NAME}))"
-    rf"(?:\[[\"']?(?P<item>[\w\-]{{1,80}})[\"']?\])?\x20*(?::\x20*[A-Za-z_][\w.]{{0,40}}\x20*=|:=|=>|\?=|\+=|->|=|:)(?!=)[\x20\t]*"
+    rf"(?:\[[\"']?(?P<item>[\w\-]+)[\"']?\])?\x20*(?::\x20*[A-Za-z_][\w.]{{0,40}}\x20*=|:=|=>|\?=|\+=|->|=|:)(?!=)[\x20\t]*"
 )
 _PART = re.compile(rf"(?P<string>{_STRING})|(?P<bare>{_BARE})")
 _JOIN = re.compile(r"[\x20\t]*(?:\+|\.\.?)[\x20\t]*(?=[\"'`A-Za-z_])")
-_ELEMENT = re.compile(rf"<(?P<name>{_NAME})(?:\s[^<>\n]{{0,200}})?>(?P<value>[^<>\n]{{4,400}})</(?P=name)>")
+_ELEMENT = re.compile(rf"<(?P<name>{_NAME})(?:\s[^<>\n]*)?>(?P<value>[^<>\n]{{4,}})</(?P=name)>")
 _CALL = re.compile(rf"\(\s{{0,8}}(?P<q>[\"'])(?P<name>{_NAME})(?P=q)\s{{0,8}},\s{{0,8}}(?P<value>{_STRING})")
 _CAMEL = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
-#: Longer values are scored but not put in for their names, else "a = a + a" would grow without bound.
-_LONGEST_CONSTANT, _MOST_PARTS = 4096, 64
+#: Longer chains are known by their parts and not written out, else "a = a + a" would grow without bound.
+_WRITTEN_OUT = 4096
+#: Characters at the start of a chain in which a stand-in for a secret shows.
+_HEAD = 64
 #: A pair is reported from this score on.
 THRESHOLD = 0.5
 
@@ -77,13 +81,82 @@ class Span:
     value: tuple[int, int]
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
+class Chain:
+    """What scoring needs of a text that is not written out."""
+
+    #: Characters without white space, as a number that may be too large for an index, and the share of each.
+    size: float
+    shares: dict[str, float]
+    #: The first characters, and which others there are.
+    head: str
+    rest: frozenset[str]
+    #: White space at the start, at the end, and between other characters.
+    before: bool
+    after: bool
+    inside: bool
+
+    @staticmethod
+    def of(text: str) -> Chain:
+        core = text.strip()
+        counts = Counter("".join(core.split()))
+        size = sum(counts.values())
+        bare = text.lstrip()
+        return Chain(
+            size, {c: n / size for c, n in counts.items()}, bare[:_HEAD], frozenset(bare[_HEAD:].strip()),
+            text[:1].isspace(), text[-1:].isspace(), any(c.isspace() for c in core),
+        )
+
+    def then(self, other: Chain) -> Chain:
+        if not (self.size and other.size):
+            one = self if self.size else other
+            return Chain(
+                one.size, one.shares, one.head, one.rest, self.before or (not self.size and other.before),
+                other.after or (not other.size and (self.after or other.before)), one.inside,
+            )
+        size = self.size + other.size
+        shares = {c: x * (self.size / size) for c, x in self.shares.items()}
+        for c, x in other.shares.items():
+            shares[c] = shares.get(c, 0.0) + x * (other.size / size)
+        head = self.head + other.head if self.size < _HEAD else self.head
+        rest = self.rest | other.rest | frozenset(head[_HEAD:] if self.size < _HEAD else other.head)
+        inside = self.inside or other.inside or self.after or other.before
+        return Chain(min(size, 1e300), shares, head[:_HEAD], rest, self.before, other.after, inside)
+
+
+@dataclass(frozen=True, eq=False)
 class Literal:
-    """Text of a value and where its parts stand."""
+    """A value: its text or, of a long chain, what scoring needs; where it stands, or the values it is made of."""
 
-    text: str
+    text: str | None
     places: tuple[tuple[int, int], ...]
     quoted: bool
+    parts: tuple[Literal, ...] = ()
+    chain: Chain | None = None
+
+    @staticmethod
+    def joined(parts: list[Literal]) -> Literal:
+        if len(parts) == 1:
+            return parts[0]
+        quoted = any(p.quoted for p in parts)
+        if all(p.text is not None for p in parts) and sum(len(p.text) for p in parts) <= _WRITTEN_OUT:
+            return Literal("".join(p.text for p in parts), (), quoted, tuple(parts))
+        chain = reduce(Chain.then, (p.chain or Chain.of(p.text) for p in parts))
+        return Literal(None, (), quoted, tuple(parts), chain)
+
+
+def places(literals: list[Literal]) -> set[tuple[int, int]]:
+    """Where the literals and all that they are made of stand; each is looked at once."""
+    found: set[tuple[int, int]] = set()
+    seen: set[int] = set()
+    left = list(literals)
+    while left:
+        literal = left.pop()
+        if id(literal) not in seen:
+            seen.add(id(literal))
+            found.update(literal.places)
+            left += literal.parts
+    return found
 
 
 def base_spans(text: str) -> list[Span]:
@@ -122,6 +195,8 @@ def name_sensitivity(name: str) -> float:
 
 def literal_quality(literal: Literal) -> float:
     """How much a literal looks like key material: its length, variety and kinds of characters."""
+    if literal.text is None:
+        return _chain_quality(literal)
     text = literal.text.strip()
     if len(text) < 6 or _PLACEHOLDER.match(text) or any(c.isspace() for c in text):
         return 0.0
@@ -133,35 +208,38 @@ def literal_quality(literal: Literal) -> float:
     return min(1.0, 0.25 * min(len(text) / 12, 1) + 0.5 * min(entropy / 3.2, 1) + 0.1 * kinds)
 
 
+def _chain_quality(literal: Literal) -> float:
+    """The same for a long chain that is not written out."""
+    chain = literal.chain
+    if chain.size < 6 or chain.inside or _PLACEHOLDER.match(chain.head + "".join(sorted(chain.rest))):
+        return 0.0
+    if not literal.quoted and not any(c.isdigit() for c in chain.shares):
+        return 0.0
+    entropy = -sum(x * math.log2(x) for x in chain.shares.values() if x)
+    kinds = sum(any(test(c) for c in chain.shares) for test in (str.islower, str.isupper, str.isdigit)) + any(not c.isalnum() for c in chain.shares)
+    return min(1.0, 0.25 * min(chain.size / 12, 1) + 0.5 * min(entropy / 3.2, 1) + 0.1 * kinds)
+
+
 def _value(text: str, at: int, known: dict[str, Literal]) -> tuple[Literal | None, int]:
     """The literal that starts at ``at``, with known names put in."""
-    parts: list[str] = []
-    places: list[tuple[int, int]] = []
-    quoted = False
+    parts: list[Literal] = []
     while m := _PART.match(text, at):
         if m["string"] is not None:
-            parts.append(m["string"][1:-1])
-            places.append((m.start() + 1, m.end() - 1))
-            quoted = True
+            parts.append(Literal(m["string"][1:-1], ((m.start() + 1, m.end() - 1),), True))
         else:
             bare = m["bare"].rstrip(".,")
             constant = known.get(bare) or known.get(bare.rpartition(".")[2])
             if constant is not None:
-                parts.append(constant.text)
-                places += constant.places
-                quoted = quoted or constant.quoted
+                parts.append(constant)
             elif parts:
                 break  # an unknown name: the literals so far are what is known
             else:
-                parts.append(bare)
-                places.append((m.start(), m.start() + len(bare)))
+                parts.append(Literal(bare, ((m.start(), m.start() + len(bare)),), False))
         at = m.end()
         if not (join := _JOIN.match(text, at)):
             break
         at = join.end()
-    if not parts:
-        return None, at
-    return Literal("".join(parts), tuple(places), quoted), at
+    return (Literal.joined(parts) if parts else None), at
 
 
 def pairs(text: str) -> list[tuple[str, Literal]]:
@@ -176,9 +254,8 @@ def pairs(text: str) -> list[tuple[str, Literal]]:
                 name = f"{name}.{m['item']}"
             literal, end = _value(text, m.end(), known)
             if literal is not None:
-                if len(literal.text) <= _LONGEST_CONSTANT and len(literal.places) <= _MOST_PARTS:
-                    known[name] = literal
-                    known.setdefault(name.rpartition(".")[2], literal)
+                known[name] = literal
+                known.setdefault(name.rpartition(".")[2], literal)
                 found.append((m.start(), name, literal))
             at = m.end()  # a value may itself begin a binding, as in "a: b = c"
     if "</" in text:
@@ -193,12 +270,12 @@ def pairs(text: str) -> list[tuple[str, Literal]]:
 
 def lexed_spans(text: str, threshold: float = THRESHOLD) -> list[Span]:
     """Where the literals of sensitive pairs stand."""
-    found = set()
+    secret = []
     for name, literal in pairs(text):
         weight = name_sensitivity(name)
         if weight and weight * literal_quality(literal) >= threshold:
-            found.update(Span(a, b, "literal", (a, b)) for a, b in literal.places if b > a)
-    return list(found)
+            secret.append(literal)
+    return [Span(a, b, "literal", (a, b)) for a, b in places(secret) if b > a]
 
 
 def scan(text: str | None) -> tuple[list[Span], list[Span]]:
