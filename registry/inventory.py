@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from opsmart.operators.load import union_sources
 from opsmart.operators.series import densify, fill_calendar, forward_fill
 from opsmart.plans import bom, feeds, inventory
 from registry import query
@@ -179,11 +180,19 @@ f as (select x.sku, x.sku_name, h.upc, h.product_type, h.status, x.warehouse, x.
     window w as (partition by x.warehouse, x.sku order by x.date rows between unbounded preceding and current row))"""
 
 
-def _history(s):
-    lo, hi = F.lit(_START).cast("date"), F.lit(_END).cast("date")
+def _history(s, lo=None, hi=None):
+    """From ``lo`` to ``hi``; without them, over the days of the counterpart SQL."""
+    lo = F.lit(_START).cast("date") if lo is None else lo
+    hi = F.lit(_END).cast("date") if hi is None else hi
     return inventory.inventory_history(_history_feeds(s), _mapping(s), s.sku_known, lo, hi)
 
 
+def history_all_days(s):
+    """From the first to the last snapshot of all feeds."""
+    days = union_sources(*[f.df.select("inv_date") for f in _history_feeds(s)])
+    return _history(s, days.agg(F.min("inv_date")).scalar(), days.agg(F.max("inv_date")).scalar())
+
+
 @query("inventory_history", f"with {_HISTORY} select * from f")
 def _(s):
     return _history(s)
@@ -195,7 +204,11 @@ def _(s):
 )
 def _(s):
     """Only days not stored yet are added; stored ones keep their old figures."""
-    full = _history(s)
+    return load_of(_history(s))
+
+
+def load_of(full):
+    """``full`` loaded into a table that holds its days before February 1999."""
     stored = full.filter("date < date '1999-02-01'").withColumn("total_on_hand", F.lit(-1).cast("bigint"))
     return inventory.load_inventory_history(full, stored).select("sku", "warehouse", "date", "total_on_hand", "_row_id")
 
