@@ -343,9 +343,18 @@ def _(s):
         cast(v as double) as today from j""",
 )
 def _(s):
+    return _order_days(s, F.lit("1997-06-01").cast("date"), F.lit("1997-09-30").cast("date"))
+
+
+def _order_days(s, lo, hi):
     daily = s.orders.groupBy("o_custkey", F.col("o_orderdate").cast("date").alias("day")).agg(
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("last_total")
     )
     daily = daily.withColumn("today", F.col("last_total"))
-    lo, hi = F.lit("1997-06-01").cast("date"), F.lit("1997-09-30").cast("date")
     return fill_calendar(daily, ["o_custkey"], "day", ["last_total"], lo, hi, only_on_day=["today"])
+
+
+def order_all_days(s):
+    """From the first to the last order day of the table."""
+    days = s.orders.select(F.col("o_orderdate").cast("date").alias("day"))
+    return _order_days(s, days.agg(F.min("day")).scalar(), days.agg(F.max("day")).scalar())
