@@ -1,9 +1,9 @@
 """Toxicity from the nearest labelled examples, by exact TF-IDF cosine.
 
 The examples are a bounded sample of the labelled rows that may be learned from. The vector space has
-the words and beginnings of words that tell the classes apart in the sample (chi-square), their document
-frequencies counted over all documents, and one term for all other words, which sets what is telling in a text
-against its length. The examples stand in an inverted index whose posting lists are cut into blocks of
+all words of the examples and those beginnings of words that tell the classes apart in the sample (chi-square), with
+document frequencies counted over all documents; the terms that tell the classes apart count three times. Words that no example has are one more term: they cannot
+change which example is nearest, they only set what a text shares with the examples against its length. The examples stand in an inverted index whose posting lists are cut into blocks of
 examples, each with the largest weight in it. A text is compared block by block, those with the largest
 possible similarity first, until no block left can hold a nearer example than those found, so the
 neighbours are exact. They vote with weights that fall with their distance, and the share of the votes
@@ -31,6 +31,8 @@ _HEADS = (5, 7)
 _BLOCK = 64
 #: Blocks looked at first, those that may hold the nearest examples.
 _FIRST = 3
+#: How much more a term that tells the classes apart counts: of 3, 6, 12 and 24 the one that finds most when the examples are left out.
+_TELLING = 3.0
 #: What a neighbour's vote falls by with its distance, and the weight of the vote for the prior.
 _NEAR, _PRIOR_VOTE = 0.15, 0.3
 
@@ -64,27 +66,38 @@ def telling_terms(sample: list[tuple[list[str], int]], least: float = 20.0, rows
     return sorted(kept)
 
 
+def all_terms(sample: list[tuple[list[str], int]]) -> list[str]:
+    """Every word of the sample, and the telling beginnings of words."""
+    return sorted({w for found, _ in sample for w in found}.union(telling_terms(sample)))
+
+
 class Vocabulary:
-    """Telling terms by number; the number after the last stands for all other words."""
+    """Terms by number; the number after the last stands for all words without a term."""
 
     def __init__(self, terms: list[str]):
         self.number = {t: i for i, t in enumerate(terms)}
-        #: A word can only hold a term if it begins like one.
-        self.heads = {t[: _HEADS[0]].rstrip("*") for t in terms}
+        self.known = {w: self._of(w) for w in terms}
+        #: A word that is no term itself can only hold one if it begins like one.
+        self.heads = {t[: _HEADS[0]] for t in terms if t.endswith("*")}
         self.other = len(terms)
 
+    def _of(self, word: str) -> tuple[int, ...]:
+        return tuple(self.number[t] for t in terms_of(word) if t in self.number)
+
     def count(self, found: list[str]) -> Counter:
         """How often each term occurs; a word without any counts as other."""
-        heads, number, size = self.heads, self.number, _HEADS[0]
-        near = [w for w in found if w[:size] in heads]
         counts: Counter = Counter()
-        plain = len(found) - len(near)
-        for w in near:
-            have = [number[t] for t in terms_of(w) if t in number]
-            counts.update(have)
-            plain += not have
-        if plain:
-            counts[self.other] = plain
+        other = 0
+        for w, n in Counter(found).items():
+            have = self.known.get(w)
+            if have is None:
+                have = self._of(w) if w[: _HEADS[0]] in self.heads else ()
+            for t in have:
+                counts[t] += n
+            if not have:
+                other += n
+        if other:
+            counts[self.other] = other
         return counts
 
 
@@ -100,8 +113,10 @@ class Index:
     names: list[str]
     prior: float
     neighbours: int = 15
-    #: For each word: the examples that have it, in order, their weights, and where each block starts.
-    lists: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
+    #: The posting lists one after the other: examples, their weights, and where each block of each list starts.
+    holders: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    starts: np.ndarray = field(default_factory=lambda: np.zeros((0, 1), np.int64))
     block_max: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     curve: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.zeros(1), np.zeros(1)))
 
@@ -112,21 +127,20 @@ class Index:
         return {t: x / norm for t, x in raw.items()}
 
     def add(self, vectors: list[dict[int, float]]) -> None:
-        blocks = -(-len(vectors) // _BLOCK)
-        size = self.vocabulary.other + 1
-        holders: list[list[int]] = [[] for _ in range(size)]
-        weights: list[list[float]] = [[] for _ in range(size)]
+        blocks, size = -(-len(vectors) // _BLOCK), self.vocabulary.other + 1
+        lengths = [len(v) for v in vectors]
+        terms = np.fromiter((t for v in vectors for t in v), np.int64, sum(lengths))
+        weights = np.fromiter((x for v in vectors for x in v.values()), float, sum(lengths))
+        holders = np.repeat(np.arange(len(vectors)), lengths)
+        order = np.lexsort((holders, terms))
+        terms, self.holders, self.weights = terms[order], holders[order].astype(np.int32), weights[order]
         self.block_max = np.zeros((size, blocks))
-        for i, vector in enumerate(vectors):
-            for t, x in vector.items():
-                holders[t].append(i)
-                weights[t].append(x)
-                self.block_max[t, i // _BLOCK] = max(self.block_max[t, i // _BLOCK], x)
-        starts = np.arange(blocks + 1) * _BLOCK
-        self.lists = [
-            (np.array(h, np.int64), np.array(w), np.searchsorted(np.array(h, np.int64), starts))
-            for h, w in zip(holders, weights, strict=True)
-        ]
+        np.maximum.at(self.block_max, (terms, self.holders // _BLOCK), self.weights)
+        cells = np.bincount(terms * blocks + self.holders // _BLOCK, minlength=size * blocks)
+        self.starts = np.zeros((size, blocks + 1), np.int32)
+        ends = np.cumsum(cells).reshape(size, blocks)
+        self.starts[:, 1:] = ends
+        self.starts[1:, 0] = ends[:-1, -1] if blocks else 0
 
     def nearest(self, vector: dict[int, float], without: int = -1) -> list[tuple[float, int]]:
         """``(similarity, example)`` of the nearest examples, ties by position; ``without`` is passed over if it is a single one."""
@@ -146,20 +160,15 @@ class Index:
 
     def _similar(self, vector: dict[int, float], terms: list[int], blocks: np.ndarray) -> np.ndarray:
         """Similarities of the examples in some blocks, from the parts of the posting lists in them; 0 elsewhere."""
-        similar = np.zeros(len(self.sizes))
-        if 2 * len(blocks) > self.block_max.shape[1]:  # most of each list: go through it in one piece
-            for t in terms:
-                holders, weights, _ = self.lists[t]
-                similar[holders] += vector[t] * weights
-            wanted = np.zeros(self.block_max.shape[1], bool)
-            wanted[blocks] = True
-            return np.where(np.repeat(wanted, _BLOCK)[: len(similar)], similar, 0)
-        for block in blocks:
-            for t in terms:
-                holders, weights, starts = self.lists[t]
-                part = slice(starts[block], starts[block + 1])
-                similar[holders[part]] += vector[t] * weights[part]
-        return similar
+        rows, own = self.starts[terms], np.array([vector[t] for t in terms])
+        if len(blocks) == self.block_max.shape[1]:
+            first, last = rows[:, 0], rows[:, -1]
+        else:
+            first, last = rows[:, blocks].ravel(), rows[:, blocks + 1].ravel()
+            own = np.repeat(own, len(blocks))
+        sizes = (last - first).astype(np.int64)
+        at = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        return np.bincount(self.holders[at], np.repeat(own, sizes) * self.weights[at], len(self.sizes))
 
     def _closest(self, similar: np.ndarray, skipped: int) -> list[tuple[float, int]]:
         at = np.flatnonzero(similar)
@@ -205,7 +214,7 @@ def isotonic(raw: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[np
 
 def document_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[int, np.ndarray]:
     """How many documents there are, and in how many of them each term stands."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # at most the terms of the sample
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # the words of the sample
 
     def count(batches):
         known = shared.value
@@ -229,11 +238,14 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, neighbours: i
     for name, text, label in labelled_sample(docs, labels, "toxic", per_class):
         once.setdefault(text, (str(name), words(text), label))
     examples = list(once.values())
-    vocabulary = Vocabulary(telling_terms([(found, label) for _, found, label in examples]))
+    sample = [(found, label) for _, found, label in examples]
+    vocabulary = Vocabulary(all_terms(sample))
     total, counts = document_frequencies(docs, vocabulary)
+    idf = np.log((1 + total) / (1 + counts)) + 1
+    idf[[vocabulary.number[t] for t in telling_terms(sample)]] *= _TELLING
     usable = labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1))
     prior = usable.agg(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
-    return build(vocabulary, np.log((1 + total) / (1 + counts)) + 1, examples, prior, neighbours)
+    return build(vocabulary, idf, examples, prior, neighbours)
 
 
 def build(vocabulary: Vocabulary, idf: np.ndarray, examples: list[tuple[str, list[str], int]], prior: float, neighbours: int) -> Index:
