@@ -10,7 +10,7 @@ from opsmart.plans import bom, feeds, inventory
 from registry import query
 from registry.sqltext import rnd
 from registry.text import (
-    _CURRENT_PLACE, _CURRENT_SKU, _CURRENT_UPC, _HISTORY_PLACE, _HISTORY_SKU, _HISTORY_UPC, _NAME, slash, us_stamp,
+    _CURRENT_PLACE, _CURRENT_SKU, _CURRENT_UPC, _HISTORY_PLACE, _HISTORY_SKU, _HISTORY_UPC, _NAME, cut, slash, us_stamp,
 )
 
 _ID = "sha256(_file || '-' || cast(_line as varchar)) as _row_id"
@@ -33,11 +33,11 @@ _STOCK = ["hdc_sku", "sku", "upc", "misc_supply", "sku_name", "warehouse", "ware
 
 @query(
     "wms_inventory",
-    f"""select sku as hdc_sku, {_CURRENT_SKU} as sku, {_CURRENT_UPC} as upc, starts_with(sku, 'MISC SUPPLY') as misc_supply,
+    f"""with {cut('wms_report')} select sku as hdc_sku, {_CURRENT_SKU} as sku, {_CURRENT_UPC} as upc, starts_with(sku, 'MISC SUPPLY') as misc_supply,
         item_description as sku_name, warehouse, {_CURRENT_PLACE} as warehouse_location, customer as brand_name,
         {_whole('detail_on_hand')} as on_hand, {_whole('textbox_39')} as on_hold, {_whole('detail_available')} as available, {_TAIL},
         {_RUN} as inv_run, coalesce(last_day({_RUN}) = {_RUN}, false) as month_end, last_day({_RUN}) as month_end_date, {_ID}
-    from {{wms_report}} where customer is not null""",
+    from bits where customer is not null""",
 )
 def _(s):
     return feeds.parse_inventory(s.wms_report).select(*_STOCK)
@@ -45,12 +45,12 @@ def _(s):
 
 @query(
     "wms_inventory_history",
-    f"""with p as (select sku as hdc_sku, {_HISTORY_SKU} as sku, {_HISTORY_UPC} as upc, starts_with(sku, 'MISC SUPPLY') as misc_supply,
+    f"""with {cut('wms_report')}, p as (select sku as hdc_sku, {_HISTORY_SKU} as sku, {_HISTORY_UPC} as upc, starts_with(sku, 'MISC SUPPLY') as misc_supply,
         {_NAME} as sku_name, split_part(replace(warehouse, 'Warehouse: ', ''), 'From', 1) as warehouse, {_HISTORY_PLACE} as warehouse_location,
         'Brand' as brand_name, {_whole('detail_on_hand')} as on_hand, {_whole('detail_quarantine_on_hold')} as on_hold,
         {_whole('detail_available')} as available, {_TAIL}, {_HEAD_RUN} as inv_run, {_HEAD_RUN} = last_day({_HEAD_RUN}) as month_end,
         last_day({_HEAD_RUN}) as month_end_date, {_ID}, _modified, _line
-    from {{wms_report}} where customer is not null)
+    from bits where customer is not null)
     select p.* exclude (_modified, _line), _modified = (select max(_modified) from p) as latest from p""",
 )
 def _(s):

@@ -9,10 +9,15 @@ from registry import query
 
 # The rules, on lists. A SKU is cut at its mark into head and tail, the tail at its slashes into bin and UPC; an unmarked SKU has
 # no tail, so whatever comes from the tail is null. Squeezing splits a text at what has to go and joins the rest.
-_CUT = """cut as (select *, string_split(sku, 'SKU#:') as halves, array_to_string(string_split(item_description, 'DELETED'), '') as item from {dirty_items}),
+def cut(table: str) -> str:
+    """CTE ``bits``: the rows of ``table`` with the pieces that the expressions below are made of."""
+    return f"""cut as (select *, string_split(sku, 'SKU#:') as halves, array_to_string(string_split(item_description, 'DELETED'), '') as item from {{{table}}}),
     bits as (select *, string_split(halves[1], '/')[1] as head, halves[2] as tail, string_split(halves[2], '/') as segments from cut)"""
 
 
+_CUT = cut("dirty_items")
+
+
 def _without(text: str, pattern: str) -> str:
     return f"array_to_string(regexp_split_to_array({text}, '{pattern}'), '')"
 
