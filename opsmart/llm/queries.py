@@ -75,6 +75,12 @@ def _windows(spark: SparkSession, folder: str) -> DataFrame:
     return removed_windows(table(spark, folder, "documents"))
 
 
+def _files(spark: SparkSession, folder: str) -> DataFrame:
+    from opsmart.llm.token_files import token_files
+
+    return token_files(table(spark, folder, "documents"), with_ids=False)
+
+
 QUERIES: dict[str, Run] = {
     "op1_perplexity_rules": _perplexity,
     "op2_benchmark_decontamination": _decontamination,
@@ -86,6 +92,7 @@ QUERIES: dict[str, Run] = {
     "op8_simhash_near_duplicates": _simhash,
     "op9_bpe_round_trip": _bpe,
     "op10_suffix_dedup": _windows,
+    "op11_token_files": _files,
 }
 
 SQL: dict[str, str] = {"op2_benchmark_decontamination": decontaminate.SQL}
