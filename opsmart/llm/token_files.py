@@ -28,7 +28,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -146,32 +145,75 @@ _WS = "\\t-\\r\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\
 _AMBIGUOUS = re.compile(f"[{_WS}] ")
 _UNITS = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
 #: Units of each kind that a worker remembers, twice: those in use, and those in use before these.
-_REMEMBERED = 300_000
+_REMEMBERED = 500_000
 _LONGEST = 64
 #: Characters of text that are encoded together (or one longer text).
-_AT_ONCE = 1 << 24
+_AT_ONCE = 1 << 23
+#: Units in a line, and lines that the library is given at once.
+_LINE, _LINES = 256, 64
 
 
 class _Units:
-    """Ids of units (with ``before`` in front), of which the lately used ones are remembered."""
+    """Ids of units (with ``before`` in front), of which the lately used ones are remembered.
+
+    Units with a blank in front are encoded in lines of many: the library's work for a call is
+    saved, and the ids of a line fall apart where the bytes of its tokens add up to the end of a unit.
+    """
 
     def __init__(self, tokenizer, before: str, remembered: int):
         self.tokenizer, self.before, self.remembered = tokenizer, before, remembered
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
-
-    def ids(self, units: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each of these distinct units."""
+        added = {i: t.content for i, t in tokenizer.get_added_tokens_decoder().items()}
+        self._marks = list(added.values())
+        vocabulary = tokenizer.get_vocab()
+        self._bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, i in vocabulary.items():  # a character of a byte-level token is a byte
+            self._bytes[i] = len(added[i].encode()) if i in added else len(token)
+
+    def join(self, texts: list[list[str]]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text, given as its units."""
+        if len(self._known) > self.remembered:
+            self._known, self._older = {}, self._known
         known, older = self._known, self._older
-        found = [known.get(x) or older.get(x) for x in units]
-        gaps = [k for k, b in enumerate(found) if b is None]
-        got = self.tokenizer.encode_batch_fast([self.before + units[k] for k in gaps], add_special_tokens=False)
-        for k, e in zip(gaps, got, strict=True):
-            found[k] = np.array(e.ids, "<u4").tobytes()
-        known.update((x, b) for x, b in zip(units, found, strict=True) if len(x) <= _LONGEST)
-        if len(known) > self.remembered:
-            self._known, self._older = {}, known if len(known) <= 2 * self.remembered else {}
-        return found
+        missing = set().union(*texts).difference(known)
+        for x in [x for x in missing if x in older]:
+            known[x] = older[x]
+            missing.discard(x)
+        new = list(missing)
+        known.update(zip(new, self._encode(new), strict=True))
+        out = [b"".join(map(known.__getitem__, units)) for units in texts]
+        for x in new:
+            if len(x) > _LONGEST:
+                del known[x]
+        return out
+
+    def _encode(self, units: list[str]) -> list[bytes]:
+        out: list[bytes | None] = [None] * len(units)
+        if self.before == " ":
+            # In a line, white space at either end of a unit would meet its neighbour's.
+            fit = [k for k, x in enumerate(units) if x and not (x[0].isspace() or x[-1].isspace() or any(m in x for m in self._marks))]
+            for at in range(0, len(fit), _LINE * _LINES):
+                some = fit[at : at + _LINE * _LINES]
+                for k, b in zip(some, self._in_lines([" " + units[k] for k in some]), strict=True):
+                    out[k] = b
+        rest = [k for k, b in enumerate(out) if b is None]
+        got = self.tokenizer.encode_batch_fast([self.before + units[k] for k in rest], add_special_tokens=False)
+        for k, e in zip(rest, got, strict=True):
+            out[k] = np.array(e.ids, "<u4").tobytes()
+        return out
+
+    def _in_lines(self, units: list[str]) -> list[bytes | None]:
+        lines = ["".join(units[k : k + _LINE]) for k in range(0, len(units), _LINE)]
+        got = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, "<u4") for e in got])
+        upto = np.cumsum(self._bytes[ids])
+        ends = np.cumsum([len(x.encode()) for x in units])
+        cuts = np.searchsorted(upto, ends)
+        if upto[-1] != ends[-1] or (upto[cuts] != ends).any():
+            return [None] * len(units)  # not a byte-level vocabulary
+        data, cuts = ids.tobytes(), [0, *(4 * (cuts + 1)).tolist()]
+        return [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 class IdEncoder:
@@ -193,45 +235,28 @@ class IdEncoder:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """A blank after a character other than white space begins a unit, so most texts fall apart at their blanks."""
-        odd = [k for k, t in enumerate(texts) if _AMBIGUOUS.search(t)]
-        out = dict(zip(odd, self._gather([_UNITS.findall(texts[k]) for k in odd]), strict=True))
-        rest = [k for k in range(len(texts)) if k not in out]
-        some: list[int] = []
+        out: list[bytes] = []
+        some: list[str] = []
         size = 0
-        for k in rest:
-            if some and size + len(texts[k]) > _AT_ONCE:
-                out.update(zip(some, self._at_blanks([texts[i] for i in some]), strict=True))
+        for text in texts:
+            if some and size + len(text) > _AT_ONCE:
+                out += self._together(some)
                 some, size = [], 0
-            some.append(k)
-            size += len(texts[k])
-        out.update(zip(some, self._at_blanks([texts[i] for i in some]), strict=True))
-        return [out[k] for k in range(len(texts))]
-
-    def _gather(self, units: list[list[str]]) -> list[bytes]:
-        distinct = list({x for u in units for x in u})
-        ids = dict(zip(distinct, self._plain.ids(distinct), strict=True))
-        return [b"".join([ids[x] for x in u]) for u in units]
-
-    def _at_blanks(self, texts: list[str]) -> list[bytes]:
-        if not texts:
-            return []
-        parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
-        offsets = np.asarray(parts.offsets)
-        words = parts.flatten().dictionary_encode()
-        codes = np.asarray(words.indices).astype(np.int64)
-        # The first word of a text has no blank before it.
-        heads = pc.take(words, pa.array(offsets[:-1])).to_pylist()
-        lone = [x for x in dict.fromkeys(heads) if x]
-        place = {x: len(words.dictionary) + i for i, x in enumerate(["", *lone])}
-        codes[offsets[:-1]] = [place[x] for x in heads]
-        ids = [*self._after_blank.ids(words.dictionary.to_pylist()), b"", *self._plain.ids(lone)]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        pool, begins = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
-        each = sizes[codes]
-        ends = np.cumsum(each)
-        got = pool[np.repeat(begins[codes] - (ends - each), each) + np.arange(len(each) and ends[-1])]
-        upto = np.concatenate([[0], ends])[offsets]
-        return [got[a:b].tobytes() for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)]
+            some.append(text)
+            size += len(text)
+        return out + self._together(some)
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        heads, rests = [], []
+        for text in texts:
+            if _AMBIGUOUS.search(text):
+                heads.append(_UNITS.findall(text))
+                rests.append([])
+            else:
+                first, *rest = text.split(" ")
+                heads.append([first] if first else [])
+                rests.append(rest)
+        return [a + b for a, b in zip(self._plain.join(heads), self._after_blank.join(rests), strict=True)]
 
 
 _ENCODERS: dict[str, IdEncoder] = {}
