@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsmart.llm import decontaminate
+from opsmart.llm import decontaminate, hard_negatives, vector_codes
 from opsmart.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,14 @@ def _files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files(table(spark, folder, "documents"), with_ids=False)
 
 
+def _negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, folder, "embeddings"))
+
+
+def _codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Run] = {
     "op1_perplexity_rules": _perplexity,
     "op2_benchmark_decontamination": _decontamination,
@@ -93,6 +101,12 @@ QUERIES: dict[str, Run] = {
     "op9_bpe_round_trip": _bpe,
     "op10_suffix_dedup": _windows,
     "op11_token_files": _files,
+    "op12_hard_negatives": _negatives,
+    "op13_vector_codes": _codes,
 }
 
-SQL: dict[str, str] = {"op2_benchmark_decontamination": decontaminate.SQL}
+SQL: dict[str, str] = {
+    "op2_benchmark_decontamination": decontaminate.SQL,
+    "op12_hard_negatives": hard_negatives.SQL,
+    "op13_vector_codes": vector_codes.SQL,
+}
