@@ -31,14 +31,14 @@ _STOCK = ["hdc_sku", "sku", "upc", "misc_supply", "sku_name", "warehouse", "ware
           "on_hold", "available", "dim_quantity", "packed", "cu_ft", "weight", "inv_run", "month_end", "month_end_date", "_row_id"]
 
 
-@query(
-    "wms_inventory",
-    f"""with {cut('wms_report')} select sku as hdc_sku, {_CURRENT_SKU} as sku, {_CURRENT_UPC} as upc, starts_with(sku, 'MISC SUPPLY') as misc_supply,
+WMS_SQL = f"""with {cut('wms_report')} select sku as hdc_sku, {_CURRENT_SKU} as sku, {_CURRENT_UPC} as upc, starts_with(sku, 'MISC SUPPLY') as misc_supply,
         item_description as sku_name, warehouse, {_CURRENT_PLACE} as warehouse_location, customer as brand_name,
         {_whole('detail_on_hand')} as on_hand, {_whole('textbox_39')} as on_hold, {_whole('detail_available')} as available, {_TAIL},
         {_RUN} as inv_run, coalesce(last_day({_RUN}) = {_RUN}, false) as month_end, last_day({_RUN}) as month_end_date, {_ID}
-    from bits where customer is not null""",
-)
+    from bits where customer is not null"""
+
+
+@query("wms_inventory", WMS_SQL)
 def _(s):
     return feeds.parse_inventory(s.wms_report).select(*_STOCK)
 
