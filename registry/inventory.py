@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from opsmart.operators.intervals import clipped, to_intervals
 from opsmart.operators.load import union_sources
 from opsmart.operators.series import densify, fill_calendar, forward_fill
 from opsmart.plans import bom, feeds, inventory
+from opsmart.session import materialise
 from registry import query
 from registry.sqltext import rnd
 from registry.text import (
@@ -141,9 +144,7 @@ def _(s):
     return feeds.target_reasons(raw)
 
 
-# ---- inventory history: the counterpart densifies with a cross join ----------
-
-_START, _END = "1999-01-01", "1999-03-31"
+# ---- inventory history: intervals; the counterpart looks figures up as of a day ----
 
 
 def _history_feeds(s):
@@ -162,49 +163,109 @@ def _mapping(s):
 
 _SNAP = """select coalesce(m.sku_ref, w.sku) as sku, inv_date, max(sku_name) as feed_name, sum(on_hand) as oh, sum(on_hold) as hold, sum(available) as av
     from {{{0}}} w left join (select * from {{warehouse_mapping}} where not match and sku_ref is not null) m on m.sku = w.sku group by 1, 2"""
-_HISTORY = f"""h as (
+_H = f"""h as (
     select 'Reno' as warehouse, a.sku, coalesce(k.sku_name, a.sku) as sku_name, k.upc,
         case when a.sku like 'SKU-1%' then 'Component' when a.sku like '%99' then 'Return' else k.sku_type end as product_type,
         coalesce(k.status, 'Active') as status, oh, hold, av, inv_date from ({_SNAP.format('wms_snapshots')}) a left join {{sku_known}} k on k.sku = a.sku where oh is not null
     union all
     select 'North', a.sku, coalesce(k.sku_name, a.feed_name), k.upc, coalesce(k.sku_type, 'Component'), coalesce(k.status, 'Active'), oh, hold, av, inv_date
-    from ({_SNAP.format('tpl_snapshots')}) a left join {{sku_known}} k on k.sku = a.sku),
-items as (select warehouse, sku, max(sku_name) as sku_name from h group by 1, 2),
-days as (select cast(d as date) as date from (select unnest(generate_series(date '{_START}', date '{_END}', interval 1 day)) as d)),
-dense as (select i.*, d.date from items i, days d),
-f as (select x.sku, x.sku_name, h.upc, h.product_type, h.status, x.warehouse, x.date,
-    last_value(oh ignore nulls) over w as total_on_hand, last_value(hold ignore nulls) over w as total_on_hold, last_value(av ignore nulls) over w as total_available,
-    case when h.inv_date is not null then h.inv_date = last_day(h.inv_date) end as month_end,
-    sha256(x.warehouse || '-' || cast(x.date as varchar) || '-' || x.sku) as _row_id
-    from dense x left join h on h.warehouse = x.warehouse and h.sku = x.sku and h.inv_date = x.date
-    window w as (partition by x.warehouse, x.sku order by x.date rows between unbounded preceding and current row))"""
-
-
-def _history(s, lo=None, hi=None):
-    """From ``lo`` to ``hi``; without them, over the days of the counterpart SQL."""
-    lo = F.lit(_START).cast("date") if lo is None else lo
-    hi = F.lit(_END).cast("date") if hi is None else hi
-    return inventory.inventory_history(_history_feeds(s), _mapping(s), s.sku_known, lo, hi)
+    from ({_SNAP.format('tpl_snapshots')}) a left join {{sku_known}} k on k.sku = a.sku)"""
+
+
+def _as_of(value: str) -> str:
+    return f"asof left join (select warehouse, sku, inv_date, {value} from h where {value} is not null) _{value} on _{value}.warehouse = h.warehouse and _{value}.sku = h.sku and _{value}.inv_date <= h.inv_date"
+
+
+_INTERVALS = f"""{_H}, v as (
+    select h.warehouse, h.sku, n.sku_name, h.upc, h.product_type, h.status, h.inv_date, h.inv_date = last_day(h.inv_date) as month_end,
+        h.inv_date as valid_from, next.inv_date - 1 as valid_to, h.inv_date = n.since as is_first, _oh.oh as total_on_hand, _hold.hold as total_on_hold,
+        _av.av as total_available, h.oh as seen_total_on_hand, h.hold as seen_total_on_hold, h.av as seen_total_available
+    from h join (select warehouse, sku, max(sku_name) as sku_name, min(inv_date) as since from h group by 1, 2) n on n.warehouse = h.warehouse and n.sku = h.sku
+    {_as_of('oh')} {_as_of('hold')} {_as_of('av')}
+    asof left join (select warehouse, sku, inv_date from h) next on next.warehouse = h.warehouse and next.sku = h.sku and next.inv_date > h.inv_date)"""
+
+
+def _intervals(s):
+    return inventory.inventory_intervals(_history_feeds(s), _mapping(s), s.sku_known)
 
 
 def history_all_days(s):
-    """From the first to the last snapshot of all feeds."""
+    """Dense days from the first to the last snapshot of all feeds."""
     days = union_sources(*[f.df.select("inv_date") for f in _history_feeds(s)])
-    return _history(s, days.agg(F.min("inv_date")).scalar(), days.agg(F.max("inv_date")).scalar())
+    lo, hi = (days.agg(f("inv_date")).scalar() for f in (F.min, F.max))
+    return inventory.inventory_history(_history_feeds(s), _mapping(s), s.sku_known, lo, hi)
 
 
-@query("inventory_history", f"with {_HISTORY} select * from f")
+@query("inventory_history", f"with {_INTERVALS} select * from v")
 def _(s):
-    return _history(s)
+    return _intervals(s)
+
+
+@query(
+    "inventory_history_repaired",
+    f"with {_INTERVALS} select * from v",
+)
+def _(s):
+    """A history of the snapshots of all but every fifth day, into which those of the other days come late."""
+    rows = materialise(inventory.stock_snapshots(_history_feeds(s), _mapping(s), s.sku_known), "snapshots")
+    day = F.datediff("inv_date", F.lit("1970-01-01").cast("date"))
+    early = to_intervals(rows.where(day % 5 != 0), inventory.ITEM, "inv_date", inventory.MEASURES)
+    early = early.withColumn("sku_name", F.max("sku_name").over(Window.partitionBy(*inventory.ITEM)))
+    return inventory.repair_inventory(early, rows.where(day % 5 == 0))
+
+
+_UNTIL = "1998-06-30"
 
 
 @query(
     "inventory_history_load",
-    f"""with {_HISTORY} select sku, warehouse, date, case when date < date '1999-02-01' then -1 else total_on_hand end as total_on_hand, _row_id from f""",
+    f"""with {_INTERVALS},
+    stored as (select *, -1 as shown, valid_from as a, least(coalesce(valid_to, date '{_UNTIL}'), date '{_UNTIL}') as b, is_first as f from v where valid_from <= date '{_UNTIL}'),
+    known as (select distinct warehouse, sku from stored),
+    later as (select v.*, total_on_hand as shown, case when k.sku is null then valid_from else greatest(valid_from, date '{_UNTIL}' + 1) end as a, valid_to as b,
+            is_first and (k.sku is null or valid_from > date '{_UNTIL}') as f
+        from v left join known k on k.warehouse = v.warehouse and k.sku = v.sku where k.sku is null or valid_to is null or valid_to > date '{_UNTIL}')
+    select warehouse, sku, inv_date, a as valid_from, b as valid_to, f as is_first, shown as total_on_hand from stored
+    union all select warehouse, sku, inv_date, a, b, f, shown from later""",
 )
 def _(s):
-    """Only days not stored yet are added; stored ones keep their old figures."""
-    return load_of(_history(s))
+    """Days up to mid-1998 are stored, with other figures; the load adds the days after them and leaves those alone."""
+    until = F.lit(_UNTIL).cast("date")
+    full = materialise(_intervals(s), "intervals")
+    stored = clipped(full, last=until).withColumn("total_on_hand", F.lit(-1).cast("bigint"))
+    return inventory.load_inventory_intervals(full, stored, until).select(
+        "warehouse", "sku", "inv_date", "valid_from", "valid_to", "is_first", "total_on_hand"
+    )
+
+
+_FIGURES = {"total_on_hand": "oh", "total_on_hold": "hold", "total_available": "av"}
+_DELTAS = ", ".join(
+    f"{c} - coalesce(lag({c}) over w, 0) as d_{c}, ({c} is not null)::int - (lag({c}) over w is not null)::int as n_{c}" for c in _FIGURES
+)
+_SUMS = ", ".join(f"sum(d_{c}) as d_{c}, sum(n_{c}) as n_{c}" for c in _FIGURES)
+_RUNNING = ", ".join(f"cast(sum(d_{c}) over up as bigint) as {c}, cast(sum(n_{c}) over up as bigint) as n_{c}" for c in _FIGURES)
+
+
+@query(
+    "inventory_history_daily",
+    f"""with {_INTERVALS},
+    moves as (select warehouse, inv_date as date, 1 as snapshots, {_DELTAS} from v window w as (partition by warehouse, sku order by inv_date)),
+    days as (select cast(unnest(generate_series((select min(inv_date) from h), (select max(inv_date) from h), interval 1 day)) as date) as date),
+    items as (select warehouse, count(distinct sku) as n_items from h group by 1),
+    daily as (select warehouse, date, sum(snapshots) as n_snapshots, {_SUMS} from moves group by 1, 2)
+    select i.warehouse, days.date, n_items, cast(coalesce(n_snapshots, 0) as bigint) as n_snapshots, {_RUNNING}
+    from items i cross join days left join daily d on d.warehouse = i.warehouse and d.date = days.date
+    window up as (partition by i.warehouse order by days.date rows between unbounded preceding and current row)""",
+)
+def _(s):
+    """Every item on every day of the whole span, unfolded from the intervals and summed; the counterpart adds up changes."""
+    full = materialise(_intervals(s), "intervals")
+    lo, hi = (full.agg(f("valid_from")).scalar() for f in (F.min, F.max))
+    days = inventory.daily_inventory(full, lo, hi)
+    return days.groupBy("warehouse", "date").agg(
+        F.count("*").alias("n_items"), F.count("month_end").alias("n_snapshots"),
+        *[F.sum(c).alias(c) for c in _FIGURES], *[F.count(c).alias(f"n_{c}") for c in _FIGURES],
+    )
 
 
 def load_of(full):
@@ -337,13 +398,21 @@ def _(s):
 @query(
     "fill_calendar",
     """with d as (select o_custkey, cast(o_orderdate as date) as day, sum(cast(o_totalprice as decimal(18,2))) as v from {orders} group by 1, 2),
-    c as (select distinct o_custkey from d), s as (select cast(x as date) as date from (select unnest(generate_series(date '1997-06-01', date '1997-09-30', interval 1 day)) as x)),
-    j as (select c.o_custkey, s.date, d.v from c cross join s left join d on d.o_custkey = c.o_custkey and d.day = s.date)
-    select o_custkey, date, cast(last_value(v ignore nulls) over (partition by o_custkey order by date rows between unbounded preceding and current row) as double) as last_total,
-        cast(v as double) as today from j""",
+    c as (select distinct o_custkey from d),
+    s as (select cast(unnest(generate_series((select min(day) from d), (select max(day) from d), interval 1 day)) as date) as date),
+    j as (select c.o_custkey, s.date, d.v from c cross join s left join d on d.o_custkey = c.o_custkey and d.day = s.date),
+    f as (select *, last_value(v ignore nulls) over (partition by o_custkey order by date rows between unbounded preceding and current row) as filled from j)
+    select o_custkey % 20 as share, date, count(*) as n_customers, count(filled) as n_known, cast(sum(filled) as double) as last_total,
+        cast(sum(filled * o_custkey) as double) as weighted, cast(sum(v) as double) as today from f group by 1, 2""",
 )
 def _(s):
-    return _order_days(s, F.lit("1997-06-01").cast("date"), F.lit("1997-09-30").cast("date"))
+    """Each customer on each day from the first to the last order of the table; a twentieth of the customers is summed at a time."""
+    money = "decimal(18,2)"
+    days = order_all_days(s).withColumns({c: F.col(c).cast(money) for c in ("last_total", "today")})
+    return days.groupBy((F.col("o_custkey") % 20).alias("share"), "date").agg(
+        F.count("*").alias("n_customers"), F.count("last_total").alias("n_known"), F.sum("last_total").cast("double").alias("last_total"),
+        F.sum(F.col("last_total") * F.col("o_custkey")).cast("double").alias("weighted"), F.sum("today").cast("double").alias("today"),
+    )
 
 
 def _order_days(s, lo, hi):
