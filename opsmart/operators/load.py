@@ -1,7 +1,7 @@
 """Incremental loads over immutable tables.
 
 Parquet has no UPDATE, so every load is a pure function ``(batch, target) ->
-next target``. :class:`opsmart.sources.store.SnapshotStore` keeps tables by the
+next target``. :class:`opsmart.sources.store.TableStore` keeps tables by the
 same rules but appends only. The anti join on the row id is the only wide step:
 ids are SHA-256 text, so it spreads evenly whatever the business keys look like.
 """

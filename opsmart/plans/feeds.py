@@ -1,7 +1,7 @@
 """Warehouse and third-party-logistics feeds: raw report rows to typed rows.
 
 Each ``parse_*`` is one projection; loading is
-:func:`opsmart.operators.load.incremental_load` or ``SnapshotStore.load`` with
+:func:`opsmart.operators.load.incremental_load` or ``TableStore.load`` with
 the policy named in :data:`POLICY`.
 """
 

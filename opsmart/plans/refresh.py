@@ -13,16 +13,22 @@ from pyspark.sql import DataFrame
 
 from opsmart.plans import bom, edi, feeds, purchasing, sku
 from opsmart.schemas import schema
-from opsmart.sources.store import SnapshotStore, refresh_in_order
+from opsmart.sources.store import TableStore
 from opsmart.sources.tables import empty
 
 
-def _load(store: SnapshotStore, table: str, batch: DataFrame):
+def refresh_in_order(steps: dict) -> dict:
+    """Call the steps one after the other and stop at the first error; returns
+    what each one reported. Order is the dependency order of the tables."""
+    return {name: step() for name, step in steps.items()}
+
+
+def _load(store: TableStore, table: str, batch: DataFrame):
     policy, order = feeds.POLICY[table]
     return store.load(table, batch, latest=policy, order=order)
 
 
-def refresh_warehouse(store: SnapshotStore, raw: Mapping[str, DataFrame], brand: str):
+def refresh_warehouse(store: TableStore, raw: Mapping[str, DataFrame], brand: str):
     """Order lines, then the register that reads them, then both stock reports."""
     return refresh_in_order(
         {
@@ -42,7 +48,7 @@ def refresh_warehouse(store: SnapshotStore, raw: Mapping[str, DataFrame], brand:
     )
 
 
-def refresh_purchasing(store: SnapshotStore, raw: Mapping[str, DataFrame]):
+def refresh_purchasing(store: TableStore, raw: Mapping[str, DataFrame]):
     """Status map, vendor map, tracker (one batch per sync), average prices."""
 
     def tracker():
@@ -67,7 +73,7 @@ def refresh_purchasing(store: SnapshotStore, raw: Mapping[str, DataFrame]):
     )
 
 
-def refresh_sku_reference(store: SnapshotStore, raw: Mapping[str, DataFrame]):
+def refresh_sku_reference(store: TableStore, raw: Mapping[str, DataFrame]):
     """SKU master and its companions, each replaced only when something changed."""
     return refresh_in_order(
         {
@@ -79,14 +85,14 @@ def refresh_sku_reference(store: SnapshotStore, raw: Mapping[str, DataFrame]):
     )
 
 
-def refresh_boms(store: SnapshotStore, raw: Mapping[str, DataFrame]):
+def refresh_boms(store: TableStore, raw: Mapping[str, DataFrame]):
     """BOM lines: a new flagged batch every time."""
     return refresh_in_order(
         {"boms": lambda: store.append_batch("boms", bom.bom_enrich(raw["boms"], store.read("sku_master")))}
     )
 
 
-def refresh_edi(store: SnapshotStore, raw: Mapping[str, DataFrame]):
+def refresh_edi(store: TableStore, raw: Mapping[str, DataFrame]):
     """Partner map first, then the register and the integration log."""
 
     def mapping():

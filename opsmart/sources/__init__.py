@@ -1 +1 @@
-"""Table scans, file drops and the versioned table store."""
+"""Table scans, file drops and the stores of loaded tables."""

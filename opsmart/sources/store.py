@@ -1,41 +1,33 @@
-"""Versioned tables on a shared file system, with append-only loads.
+"""Loaded tables as Spark's own tables, with ``latest`` as a view.
 
-A table is a folder of numbered parts:
+A table ``t`` of a store is a database of the session's catalog holding
 
-* ``v=<n>``               a whole snapshot; it replaces everything before it,
-* ``b=<n>.<policy>[.<column>]``  the unseen rows of one incremental load,
-* ``s=<n>``               ids of stored rows that load delivered again.
+* ``t__rows<g>``, partitioned by ``_batch``: every load inserts its unseen rows as one more batch,
+* ``t__seen_<key>`` (policy ``flip_matched`` only): ids of stored rows that a batch delivered again,
+* ``t``, a view over the batches that count, which also says what ``latest`` is.
 
-Its content is the newest snapshot and the batches after it. The ``latest`` flag
-of loaded rows is never rewritten: it follows from the part a row lies in, from
-a maximum, or from the re-delivered ids, and is worked out when the table is
-read. So a load costs as much as its batch, not as its table; ``compact`` folds
-the batches into a new snapshot when they have become many.
+No row is rewritten: the flag follows from the batch a row lies in, from a maximum, or from the re-delivered ids, and
+the view spells that out in SQL, so that any SQL user reads the same table. Replacing the view is what makes a load count: one that fails
+half-way leaves the view as it was, and the next one drops the batch it left. A frame that was read
+keeps the batches it saw, so a table may be read while its successor is computed from it. A table has one writer at a time.
 
-The committer adds ``_SUCCESS`` to a part only after every task has finished.
-Parts without it are not read: a job that dies half-way leaves the table as it
-was, and a table may be read while its successor is computed from it.
+On a cluster the session's catalog has to be a lasting one (a metastore) and ``location`` a shared folder.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from opsmart.operators import load as ops
+from opsmart.session import materialise
 
-_VOID = "_VOID"  # marks a batch that turned out to hold nothing new
-
-
-@dataclass(frozen=True)
-class _Part:
-    kind: str
-    number: int
-    path: str
-    policy: str = ""
-    column: str | None = None
+BATCH = "_batch"
+FLIPS = ("flip_all", "flip_if_new", "flip_true_only")
 
 
 def _once(batch: DataFrame, key: str) -> DataFrame:
@@ -44,105 +36,117 @@ def _once(batch: DataFrame, key: str) -> DataFrame:
     return batch.withColumn("_lone", lone).dropDuplicates([key, "_lone"]).drop("_lone")
 
 
-class SnapshotStore:
-    def __init__(self, spark: SparkSession, root: str):
+def _shape(schema: StructType) -> dict:
+    return {f.name: f.dataType for f in schema if f.name != BATCH}
+
+
+@dataclass(frozen=True)
+class _State:
+    """What the view of a table says: its rows table, the batches that count, and how loads flag rows."""
+
+    rows: str
+    base: int
+    top: int
+    policy: str = ""
+    key: str = ""
+    order: str = ""
+
+
+class TableStore:
+    def __init__(self, spark: SparkSession, location: str, database: str | None = None):
         self.spark = spark
-        self.root = root.rstrip("/")
-
-    # ---- parts ------------------------------------------------------------
-
-    def _fs(self, path: str):
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()), folder
-
-    def _child(self, path: str, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
-
-    def _scan(self, table: str) -> tuple[list[_Part], int]:
-        """Finished parts in order, and the highest number taken so far."""
-        fs, folder = self._fs(f"{self.root}/{table}")
-        if not fs.exists(folder):
-            return [], 0
-        parts, top = [], 0
-        for status in fs.listStatus(folder):
-            kind, _, rest = status.getPath().getName().partition("=")
-            if kind not in ("v", "b", "s"):
-                continue
-            number, *tags = rest.split(".")
-            path = f"{self.root}/{table}/{kind}={rest}"
-            top = max(top, int(number))
-            if fs.exists(self._child(path, "_SUCCESS")) and not fs.exists(self._child(path, _VOID)):
-                parts.append(_Part(kind, int(number), path, *tags))
-        return sorted(parts, key=lambda p: p.number), top
-
-    def _current(self, table: str) -> tuple[_Part | None, list[_Part], list[_Part]]:
-        """Newest snapshot, the batches after it, and their re-delivered ids."""
-        parts, _ = self._scan(table)
-        bases = [p for p in parts if p.kind == "v"]
-        base = bases[-1] if bases else None
-        batches = [p for p in parts if p.kind == "b" and (base is None or p.number > base.number)]
-        numbers = {p.number for p in batches}
-        return base, batches, [p for p in parts if p.kind == "s" and p.number in numbers]
-
-    def _parquet(self, *parts: _Part) -> DataFrame:
-        return self.spark.read.parquet(*[p.path for p in parts])
-
-    def version(self, table: str) -> int | None:
-        """Number of the newest part that counts, or None for no table."""
-        base, batches, _ = self._current(table)
-        return batches[-1].number if batches else base.number if base else None
+        self.database = database or "store_" + hashlib.sha256(location.encode()).hexdigest()[:16]
+        place = location.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{place}'")
+
+    def name(self, table: str) -> str:
+        """The table's name in SQL."""
+        return f"`{self.database}`.`{table}`"
+
+    # ---- state ------------------------------------------------------------
 
     def exists(self, table: str) -> bool:
-        return self.version(table) is not None
+        return self.spark.catalog.tableExists(self.name(table))
 
-    # ---- reading ----------------------------------------------------------
+    def _state(self, table: str) -> _State | None:
+        if not self.exists(table):
+            return None
+        p = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").collect()}
+        return _State(p["rows"], int(p["base"]), int(p["top"]), p["policy"], p["key"], p["order"])
+
+    def batch(self, table: str) -> int | None:
+        """Number of the newest batch that counts."""
+        state = self._state(table)
+        return state.top if state else None
+
+    def _show(self, table: str, state: _State) -> None:
+        """Make ``state`` what the table is."""
+        columns = [c for c in self.spark.table(self.name(state.rows)).columns if c != BATCH]
+        span = f"{BATCH} BETWEEN {state.base} AND {state.top}"
+        joined, flag = "", ""
+        if state.policy and state.policy != "keep":
+            held = "latest" in columns
+            columns = [c for c in columns if c != "latest"]
+            order = f"r.`{state.order}`"
+            if state.policy in FLIPS:
+                flag = f"r.{BATCH} = {state.top}"
+            elif state.policy == "flip_matched":
+                seen = self.name(self._seen(table, state.key))
+                joined = f" LEFT JOIN (SELECT DISTINCT `{state.key}` AS again FROM {seen} WHERE {BATCH} BETWEEN {state.base + 1} AND {state.top}) s ON s.again = r.`{state.key}`"
+                flag = ("coalesce(r.latest, true) AND " if held else "") + "s.again IS NULL"
+            elif state.policy == "max_of_batch":
+                flag = f"coalesce({order} = (SELECT max(`{state.order}`) FROM {self.name(state.rows)} WHERE {span}), false)"
+            else:
+                minute = f"(SELECT max(date_trunc('minute', `{state.order}`)) FROM {self.name(state.rows)} WHERE {BATCH} = {state.top})"
+                flag = f"coalesce(date_trunc('minute', {order}) = {minute}, false)"
+        chosen = ", ".join([f"r.`{c}`" for c in columns] + ([f"{flag} AS latest"] if flag else []))
+        properties = ", ".join(f"'{k}' = '{v}'" for k, v in vars(state).items())
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self.name(table)} TBLPROPERTIES ({properties}) AS "
+            f"SELECT {chosen} FROM {self.name(state.rows)} r{joined} WHERE r.{span}"
+        )
+
+    @staticmethod
+    def _seen(table: str, key: str) -> str:
+        return f"{table}__seen_{key.strip('_')}"
 
-    def _ids(self, table: str, key: str) -> DataFrame:
-        base, batches, _ = self._current(table)
-        return self._parquet(*([base] if base else []), *batches).select(key)
+    # ---- reading ----------------------------------------------------------
 
     def read(self, table: str) -> DataFrame:
-        base, batches, seen = self._current(table)
-        if base is None and not batches:
-            raise FileNotFoundError(f"{table} has no finished part below {self.root}")
-        if not batches:
-            return self._parquet(base)
-        policy, column = batches[-1].policy, batches[-1].column
-        if policy == "keep":
-            return self._merge(base, batches, lambda df, _: df)
-        if policy in ("flip_all", "flip_if_new", "flip_true_only"):
-            newest = batches[-1]
-            return self._merge(base, batches, lambda df, part: df.withColumn("latest", F.lit(part is newest)))
-        if policy == "flip_matched":
-            loaded = self._merge(base, batches, lambda df, part: df if part is base else df.withColumn("latest", F.lit(True)))
-            if not seen:
-                return loaded
-            again = self._parquet(*seen).distinct()
-            (key,) = again.columns
-            marked = loaded.join(again.withColumn("_again", F.lit(True)), key, "left")
-            return marked.withColumn("latest", F.col("latest") & F.col("_again").isNull()).select(loaded.columns)
-        order = F.col(column)
-        loaded = self._merge(base, batches, lambda df, _: df.drop("latest"))
-        if policy == "max_of_batch":
-            marked = ops.attach_max(loaded, order, "_newest")
-        else:
-            order = F.date_trunc("minute", order)
-            marked = ops.attach_max(loaded, order, "_newest", over=self._parquet(batches[-1]))
-        return marked.withColumn("latest", F.coalesce(order == F.col("_newest"), F.lit(False))).drop("_newest")
-
-    def _merge(self, base: _Part | None, batches: list[_Part], flag: Callable[[DataFrame, _Part], DataFrame]) -> DataFrame:
-        """Base, older batches and newest batch: three scans however many batches."""
-        groups = [[base]] if base else []
-        groups += [batches[:-1]] if len(batches) > 1 else []
-        groups.append([batches[-1]])
-        return ops.union_sources(*[flag(self._parquet(*g), g[-1]) for g in groups])
+        if not self.exists(table):
+            raise FileNotFoundError(f"no table {table} in {self.database}")
+        return self.spark.table(self.name(table))
+
+    def _stored(self, state: _State) -> DataFrame:
+        return self.spark.table(self.name(state.rows)).where(F.col(BATCH).between(state.base, state.top))
 
     # ---- writing ----------------------------------------------------------
 
+    def _insert(self, rows: str, df: DataFrame, number: int) -> int:
+        """Insert ``df`` as batch ``number`` in place of whatever a failed load left there; the number of its rows."""
+        name = self.name(rows)
+        if not self.spark.catalog.tableExists(name):
+            schema = StructType([*df.schema.fields, StructField(BATCH, IntegerType())])
+            self.spark.createDataFrame([], schema).write.partitionBy(BATCH).format("parquet").saveAsTable(name)
+        # Added first, so that files of a load that failed before its partition was known go as well.
+        self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({BATCH} = {number})")
+        self.spark.sql(f"ALTER TABLE {name} DROP PARTITION ({BATCH} = {number})")
+        columns = [c for c in self.spark.table(name).columns if c != BATCH]
+        missing = {c: F.lit(None) for c in columns if c not in df.columns}
+        counted = Observation()
+        out = df.withColumns(missing).select(*columns).observe(counted, F.count(F.lit(1)).alias("n")).withColumn(BATCH, F.lit(number))
+        out.write.mode("append").insertInto(name)
+        return counted.get["n"]
+
     def write(self, table: str, df: DataFrame) -> DataFrame:
-        """Write a whole new snapshot and return it as read back (lineage cut)."""
-        _, top = self._scan(table)
-        df.write.mode("error").parquet(f"{self.root}/{table}/v={top + 1}")
+        """Replace the whole content; the old one counts until the new one is complete. Columns may change."""
+        state = self._state(table)
+        rows = state.rows if state else f"{table}__rows1"
+        if state and _shape(self.spark.table(self.name(rows)).schema) != _shape(df.schema):
+            rows = f"{table}__rows{int(rows.rpartition('rows')[2]) + 1}"
+        number = state.top + 1 if state else 1
+        self._insert(rows, df, number)
+        self._show(table, _State(rows, number, number))
         return self.read(table)
 
     # Full refresh and whole-table clone are the same act here.
@@ -150,40 +154,37 @@ class SnapshotStore:
     snapshot = write
 
     def compact(self, table: str) -> DataFrame:
-        """Fold all batches into one snapshot."""
+        """Fold all batches into one."""
         return self.write(table, self.read(table))
 
-    def _settle(self, table: str, policy: str, column: str | None) -> None:
-        """Fold batches of another policy in before a part of this one is added."""
-        _, batches, _ = self._current(table)
-        if batches and (batches[-1].policy, batches[-1].column) != (policy, column):
+    def _settled(self, table: str, policy: str, key: str, order: str) -> _State | None:
+        """The state to which a batch of this policy can be added; batches of another one are folded first."""
+        state = self._state(table)
+        if state and state.policy and (state.policy, state.order) != (policy, order):
             self.compact(table)
+            state = self._state(table)
+        return state
+
+    def _add(self, table: str, df: DataFrame, state: _State | None, policy: str, key: str = "", order: str = "", always: bool = True) -> int:
+        rows, base, top = (state.rows, state.base, state.top) if state else (f"{table}__rows1", 1, 0)
+        n = self._insert(rows, df, top + 1)
+        if n or always or not state:
+            self._show(table, _State(rows, base, top + 1, policy, key, order))
+        return n
 
     def append(self, table: str, df: DataFrame) -> DataFrame:
         """Append without looking for duplicates; a ``latest`` column is data here."""
-        self._settle(table, "keep", None)
-        _, top = self._scan(table)
-        df.write.mode("error").parquet(f"{self.root}/{table}/b={top + 1}.keep")
+        self._add(table, df, self._settled(table, "keep", "", ""), "keep")
         return self.read(table)
 
     def append_batch(self, table: str, df: DataFrame, latest: str = "flip_all") -> int:
-        """Append all rows of a batch, which then is the latest one; the number of its rows.
-
-        Stored rows are not touched: their flag goes out because a newer part is there.
-        A batch that fails half-way leaves the table as it was.
-        """
-        self._settle(table, latest, None)
-        _, top = self._scan(table)
-        counted = Observation()
-        rows = df.drop("latest").observe(counted, F.count(F.lit(1)).alias("n"))
-        rows.write.mode("error").parquet(f"{self.root}/{table}/b={top + 1}.{latest}")
-        return counted.get["n"]
+        """Append all rows of a batch, which then is the latest one; the number of its rows."""
+        return self._add(table, df.drop("latest"), self._settled(table, latest, "", ""), latest)
 
     def update(self, table: str, column: str, value: Column) -> DataFrame:
         return self.write(table, ops.update_column(self.read(table), column, value))
 
-    def load(self, table: str, batch: DataFrame, key: str = "_row_id", latest: str = "flip_if_new",
-             order: str | None = None) -> ops.LoadStats:
+    def load(self, table: str, batch: DataFrame, key: str = "_row_id", latest: str = "flip_if_new", order: str | None = None) -> ops.LoadStats:
         """Incremental load with counts: appends the rows whose key is new.
 
         Rows that repeat a key inside the batch are cut to one; rows without a key
@@ -194,23 +195,43 @@ class SnapshotStore:
         if latest not in ops.POLICIES:
             raise ValueError(f"unknown policy {latest!r}")
         batch = _once(batch if latest == "keep" else batch.drop("latest"), key)
-        self._settle(table, latest, order)
-        _, top = self._scan(table)
-        number, stored = top + 1, self.exists(table)
-        before = self._ids(table, key).count() if stored else 0
-        fresh = ops.new_rows(batch, self._ids(table, key), key) if stored else batch
-        if stored and latest == "flip_matched":
-            again = self._ids(table, key).join(batch.select(key), key, "left_semi").distinct()
-            again.write.mode("error").parquet(f"{self.root}/{table}/s={number}")
-        counted = Observation()
-        path = f"{self.root}/{table}/b={number}.{latest}" + (f".{order}" if order else "")
-        fresh.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("error").parquet(path)
-        new = counted.get["n"]
-        if not new and latest != "flip_all" and stored:
-            fs, _ = self._fs(path)
-            fs.create(self._child(path, _VOID)).close()
+        state = self._settled(table, latest, key, order or "")
+        before, fresh = 0, batch
+        if state:
+            stored = self._stored(state)
+            before = stored.count()
+            fresh = ops.new_rows(batch, stored, key)
+        if latest == "flip_matched":
+            ids = self._stored(state).select(key) if state else batch.select(key).limit(0)
+            again = ids.join(batch.select(key), key, "left_semi").distinct()
+            self._insert(self._seen(table, key), again, (state.top if state else 0) + 1)
+        new = self._add(table, fresh, state, latest, key, order or "", always=latest == "flip_all")
         return ops.LoadStats(new, before, before + new)
 
+    def upsert(self, table: str, rows: DataFrame, by: str, keys: Sequence[str]) -> list[str]:
+        """Put ``rows`` in the place of stored rows with the same ``keys``, of which ``by`` is one, such as a day.
+
+        The table is partitioned by ``by``. Only partitions that occur in ``rows`` are read and overwritten; the others are not touched.
+        Returns them. The same rows again change nothing, so a replayed batch does no harm.
+        """
+        name = self.name(table)
+        if not self.spark.catalog.tableExists(name):
+            self.spark.createDataFrame([], rows.schema).write.partitionBy(by).format("parquet").saveAsTable(name)
+        stored = self.spark.table(name)
+        others = stored.join(rows.select(by).distinct(), by, "left_semi").join(rows.select(*keys), list(keys), "left_anti")
+        touched = Observation()
+        # Written first: a table cannot be overwritten while it is read.
+        out = materialise(others.select(stored.columns).unionByName(rows.select(stored.columns)), "upsert")
+        out = out.observe(touched, F.collect_set(F.col(by).cast("string")).alias("groups"))
+        conf, setting = out.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"  # insertInto takes no options
+        before = conf.get(setting)
+        conf.set(setting, "dynamic")
+        try:
+            out.write.mode("overwrite").insertInto(name)
+        finally:
+            conf.set(setting, before)
+        return sorted(touched.get["groups"])
+
     def replace_if_changed(self, table: str, new: DataFrame, symmetric: bool = False) -> tuple[bool, int]:
         """Replace the table only when rows were added or altered."""
         if not self.exists(table):
@@ -220,8 +241,16 @@ class SnapshotStore:
             self.write(table, new)
         return n > 0, n
 
-
-def refresh_in_order(steps: dict) -> dict:
-    """Call the steps one after the other and stop at the first error; returns
-    what each one reported. Order is the dependency order of the tables."""
-    return {name: step() for name, step in steps.items()}
+    def vacuum(self, table: str) -> None:
+        """Drop batches and row tables that no longer count. Frames read before must be done with."""
+        state = self._state(table)
+        kept = {state.rows, self._seen(table, state.key)}
+        for t in self.spark.catalog.listTables(self.database):
+            if t.name.startswith((f"{table}__rows", f"{table}__seen_")):
+                if t.name not in kept:
+                    self.spark.sql(f"DROP TABLE {self.name(t.name)}")
+                    continue
+                for r in self.spark.sql(f"SHOW PARTITIONS {self.name(t.name)}").collect():
+                    number = int(r["partition"].partition("=")[2])
+                    if not state.base <= number <= state.top:
+                        self.spark.sql(f"ALTER TABLE {self.name(t.name)} DROP PARTITION ({BATCH} = {number})")

@@ -2,9 +2,9 @@
 
 ``ingest_drops`` and ``dedupe_into`` are exact for late data: they look ids up in
 the stored table, which is their only state. ``daily_event_counts`` keeps
-windows in Spark's state; ``run_to_store`` runs it in complete mode, in which the
-watermark evicts nothing and late rows still count, at the price of rewriting the
-(small) table of days with every batch.
+windows in Spark's state; ``run_to_days`` runs it in update mode, in which a batch brings the figures of
+the days it touched, and only those days are written. Without a watermark nothing is ever too late; the
+state then holds one row for each day and event, as the result does.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from opsmart.sources.store import SnapshotStore
+from opsmart.sources.store import TableStore
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -26,7 +26,7 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return reader.load(path)
 
 
-def ingest_drops(stream: DataFrame, parse: Callable[[DataFrame], DataFrame], store: SnapshotStore, table: str,
+def ingest_drops(stream: DataFrame, parse: Callable[[DataFrame], DataFrame], store: TableStore, table: str,
                  checkpoint: str, key: str = "_row_id", latest: str = "flip_if_new",
                  order: str | None = None) -> StreamingQuery:
     """Run all waiting drops through ``parse`` and the incremental load.
@@ -51,7 +51,7 @@ def _event_time(stream: DataFrame, ts: str, delay: str) -> DataFrame:
     return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 
 
-def dedupe_into(stream: DataFrame, key: str, store: SnapshotStore, table: str, checkpoint: str) -> StreamingQuery:
+def dedupe_into(stream: DataFrame, key: str, store: TableStore, table: str, checkpoint: str) -> StreamingQuery:
     """Append the first delivery of every ``key`` to ``table``, however late it comes.
 
     Repeats inside a batch are cut to one row, repeats across batches are found in
@@ -70,13 +70,14 @@ def dedupe_into(stream: DataFrame, key: str, store: SnapshotStore, table: str, c
     )
 
 
-def daily_event_counts(stream: DataFrame, ts: str, event: str, delay: str, values: dict[str, Column] | None = None) -> DataFrame:
+def daily_event_counts(stream: DataFrame, ts: str, event: str, delay: str | None, values: dict[str, Column] | None = None) -> DataFrame:
     """Tumbling one-day windows per event: row count, plus sums of ``values``.
-    Windows are UTC days, so run this in a UTC session."""
+    Windows are UTC days, so run this in a UTC session. Rows more than ``delay`` late are left out;
+    None keeps all."""
     sums = [F.sum(v).alias(n) for n, v in (values or {}).items()]
+    timed = _event_time(stream, ts, delay) if delay else stream.withColumn(ts, F.col(ts).cast("timestamp"))
     return (
-        _event_time(stream, ts, delay)
-        .groupBy(F.window(ts, "1 day").alias("_w"), event)
+        timed.groupBy(F.window(ts, "1 day").alias("_w"), event)
         .agg(F.count(F.lit(1)).alias("event_count"), *sums)
         .withColumn("date", F.col("_w.start").cast("date"))
         .drop("_w")
@@ -98,15 +99,15 @@ def run_to_folder(result: DataFrame, path: str, checkpoint: str) -> DataFrame:
     return result.sparkSession.read.schema(result.schema).parquet(path)
 
 
-def run_to_store(result: DataFrame, store: SnapshotStore, table: str, checkpoint: str) -> DataFrame:
-    """Process what is waiting in complete mode: each batch writes the whole
-    aggregate as the next version, open windows included."""
+def run_to_days(result: DataFrame, store: TableStore, table: str, checkpoint: str, event: str) -> DataFrame:
+    """Process what is waiting in update mode: each batch puts the figures of the days it touched in the place
+    of the stored ones, open windows included, and leaves the partitions of all other days alone."""
     query = (
-        result.writeStream.outputMode("complete")
-        .foreachBatch(lambda batch, _: store.write(table, batch))
+        result.writeStream.outputMode("update")
+        .foreachBatch(lambda batch, _: store.upsert(table, batch.persist(), "date", ["date", event]))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return store.read(table)
+    return store.spark.table(store.name(table))

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from opsmart.functions.keys import file_line_id, row_id, sync_line_id
 from opsmart.operators import load, quality
 from opsmart.session import materialise, shared_dir
-from opsmart.sources.store import SnapshotStore
+from opsmart.sources.store import TableStore
 from opsmart.sources.tables import read_drop
-from opsmart.streaming import daily_event_counts, dedupe_into, file_stream, ingest_drops, run_to_store
+from opsmart.streaming import daily_event_counts, dedupe_into, file_stream, ingest_drops, run_to_days
 from registry import Sources, query
 
 _ID = "sha256(_file || '-' || cast(_line as varchar)) as _row_id"
@@ -194,7 +194,7 @@ def _(s):
 @query("store_load", f"with {_BOTH} select {_COLS}, _row_id, false as latest from old union all select {_COLS}, _row_id, true from fresh")
 def _(s):
     """Two loads through the versioned store, the second one delivered twice."""
-    store = SnapshotStore(s.spark, shared_dir(s.spark, "store"))
+    store = TableStore(s.spark, shared_dir(s.spark, "store"))
     store.load("drops", with_id(s.stored_drops))
     store.load("drops", with_id(s.arriving_drops))
     store.load("drops", with_id(s.arriving_drops))
@@ -203,7 +203,7 @@ def _(s):
 
 @query("append_and_refresh", """select p_type as kind, count(*) * 2 as n from {part} group by p_type union all select 'all' as kind, count(*) from {part}""")
 def _(s):
-    store = SnapshotStore(s.spark, shared_dir(s.spark, "store"))
+    store = TableStore(s.spark, shared_dir(s.spark, "store"))
     by_type = s.part.groupBy(F.col("p_type").alias("kind")).agg((F.count("*") * 2).alias("n"))
     total = s.part.agg(F.count("*").alias("n")).select(F.lit("all").alias("kind"), "n")
     store.full_refresh("counts", total)
@@ -214,7 +214,7 @@ def _(s):
 @query("snapshot_clone", "select 'nation' as name, count(*) as n, sum(n_nationkey) as keys from {nation} union all select 'part', count(*), sum(p_partkey) from {part}")
 def _(s):
     """Whole-table clones, schema following the source."""
-    store = SnapshotStore(s.spark, shared_dir(s.spark, "clones"))
+    store = TableStore(s.spark, shared_dir(s.spark, "clones"))
     copies = {"nation": store.snapshot("nation", s.nation), "part": store.snapshot("part", s.part)}
     parts = [
         copies[t].agg(F.count("*").alias("n"), F.sum(k).alias("keys")).select(F.lit(t).alias("name"), "n", "keys")
@@ -338,7 +338,7 @@ def _event_files(s: Sources) -> str:
 def _(s):
     """Files waiting in a folder, loaded once although they are delivered twice."""
     home = shared_dir(s.spark, "ingest")
-    store = SnapshotStore(s.spark, f"{home}/tables")
+    store = TableStore(s.spark, f"{home}/tables")
 
     def parse(batch):
         return batch.select("event_id", "user_id", "event_type", "value", row_id("event_type", "event_id").alias("_row_id"))
@@ -366,7 +366,7 @@ def _files_newest_first(s: Sources, home: str, copies: int = 2, parts: int = 5)
 def _(s):
     """Every event sent twice, newest first, a file a batch: late first deliveries stay, repeats go."""
     home = shared_dir(s.spark, "dedupe")
-    store = SnapshotStore(s.spark, f"{home}/tables")
+    store = TableStore(s.spark, f"{home}/tables")
     stream = file_stream(s.spark, _files_newest_first(s, home), s.events.schema, files_per_trigger=1)
     dedupe_into(stream.select("event_id", "event_type", "value"), "event_id", store, "events", f"{home}/checkpoint").awaitTermination()
     return store.read("events")
@@ -377,8 +377,9 @@ def _(s):
     """select cast(ts as date) as date, event_type, count(*) as event_count, cast(sum(cast(value as decimal(18,2))) as double) as value from {events} group by 1, 2""",
 )
 def _(s):
+    """Newest files first, a file a batch: every batch writes the days it touched, however late they come."""
     home = shared_dir(s.spark, "daily")
-    stream = file_stream(s.spark, _event_files(s), s.events.schema)
-    counts = daily_event_counts(stream, "ts", "event_type", "2 days", {"value": F.col("value").cast("decimal(18,2)")})
-    out = run_to_store(counts, SnapshotStore(s.spark, f"{home}/tables"), "daily", f"{home}/checkpoint")
-    return out.withColumn("value", F.col("value").cast("double"))
+    stream = file_stream(s.spark, _files_newest_first(s, home, copies=1), s.events.schema, files_per_trigger=1)
+    counts = daily_event_counts(stream, "ts", "event_type", None, {"value": F.col("value").cast("decimal(18,2)")})
+    out = run_to_days(counts, TableStore(s.spark, f"{home}/tables"), "daily", f"{home}/checkpoint", "event_type")
+    return out.select("date", "event_type", "event_count", F.col("value").cast("double").alias("value"))

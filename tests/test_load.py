@@ -5,7 +5,8 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from opsmart.operators import load
-from opsmart.sources.store import SnapshotStore, refresh_in_order
+from opsmart.plans.refresh import refresh_in_order
+from opsmart.sources.store import TableStore
 from opsmart.sources.tables import empty, read_drop, read_table, rename, typed
 from opsmart.schemas import DDL, schema
 
@@ -102,23 +103,63 @@ def test_update_column_and_views(spark, target):
 
 
 def test_store(spark, tmp_path, target, batch):
-    store = SnapshotStore(spark, str(tmp_path))
+    store = TableStore(spark, str(tmp_path))
     assert not store.exists("t")
     with pytest.raises(FileNotFoundError):
         store.read("t")
     store.write("t", target)
     assert store.load("t", batch) == load.LoadStats(2, 3, 5)
-    assert store.version("t") == 2
+    assert store.batch("t") == 2
     assert store.load("t", batch) == load.LoadStats(0, 5, 5)
-    assert store.version("t") == 2  # nothing new: the table stays as it is
+    assert store.batch("t") == 2  # nothing new: the table stays as it is
     assert {k: v[1] for k, v in rows(store.read("t")).items()} == {"a": False, "b": False, "c": False, "d": True, "e": True}
     assert store.append("t", store.read("t")).count() == 10
     assert store.update("t", "v", F.lit(7)).filter("v = 7").count() == 10
-    # an unfinished part is not read
-    (tmp_path / "t" / "v=9").mkdir()
-    assert store.version("t") == 6
+    seen = store.read("t")
     store.write("t", target)
-    assert store.version("t") == 10
+    assert seen.count() == 10  # what was read before
+    assert rows(store.read("t")) == rows(target)
+    assert rows(spark.table(store.name("t"))) == rows(target)  # plain SQL users read the same
+    store.vacuum("t")
+    assert rows(store.read("t")) == rows(target)
+    assert store.load("t", batch) == load.LoadStats(2, 3, 5)
+
+
+def test_store_failed_load_counts_for_nothing(spark, tmp_path, target, batch):
+    store = TableStore(spark, str(tmp_path))
+    for policy in ("flip_if_new", "flip_matched"):
+        store.write(policy, target)
+        broken = batch.withColumn("v", F.when(F.col("_row_id") == "e", F.raise_error(F.lit("half-way")).cast("int")).otherwise(F.col("v")))
+        for failing in (lambda p=policy: store.load(p, broken, latest=p), lambda p=policy: store.write(p, broken)):
+            with pytest.raises(Exception, match="half-way"):
+                failing()
+            assert rows(store.read(policy)) == rows(target)
+        # rows that a failed load left in the next batch are overwritten
+        store._insert(f"{policy}__rows1", batch.drop("latest"), store.batch(policy) + 1)
+        assert rows(store.read(policy)) == rows(target)
+        assert store.load(policy, batch.filter("_row_id = 'd'"), latest=policy) == load.LoadStats(1, 3, 4)
+        assert store.read(policy).count() == 4
+
+
+def test_store_columns_may_change(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    store.write("t", spark.createDataFrame([(1, "a")], "k int, v string"))
+    before = store.read("t")
+    assert store.write("t", spark.createDataFrame([("x",)], "other string")).columns == ["other"]
+    assert before.collect() == [(1, "a")]
+    store.vacuum("t")
+    assert store.read("t").collect() == [("x",)]
+
+
+def test_upsert_writes_touched_groups_only(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    day = lambda n: dt.date(2023, 1, n)
+    make = lambda rows: spark.createDataFrame(rows, "day date, n int")
+    assert store.upsert("d", make([(day(1), 1), (day(2), 2), (day(2), 3)]), "day", ["day", "n"]) == ["2023-01-01", "2023-01-02"]
+    files = {f for f in store.read("d").inputFiles() if "2023-01-01" in f}
+    assert store.upsert("d", make([(day(2), 9), (day(3), 4)]), "day", ["day", "n"]) == ["2023-01-02", "2023-01-03"]
+    assert sorted((r.day, r.n) for r in store.read("d").collect()) == [(day(1), 1), (day(2), 2), (day(2), 3), (day(2), 9), (day(3), 4)]
+    assert {f for f in store.read("d").inputFiles() if "2023-01-01" in f} == files
 
 
 @pytest.mark.parametrize("policy, order", [
@@ -127,7 +168,7 @@ def test_store(spark, tmp_path, target, batch):
 ])
 def test_store_reads_what_the_pure_load_gives(spark, tmp_path, target, batch, policy, order):
     """Loads, a replay and a compaction, against the same steps as pure functions."""
-    store = SnapshotStore(spark, str(tmp_path))
+    store = TableStore(spark, str(tmp_path))
     store.write("t", target)
     third = spark.createDataFrame([("a", dt.date(2023, 1, 1), T1, 1, None), ("f", dt.date(2023, 1, 2), T2, 6, None), (None, None, None, 0, None)], SCHEMA).drop("latest")
     want = target
@@ -148,7 +189,7 @@ def test_store_reads_what_the_pure_load_gives(spark, tmp_path, target, batch, po
 
 
 def test_store_load_from_nothing(spark, tmp_path, batch):
-    store = SnapshotStore(spark, str(tmp_path))
+    store = TableStore(spark, str(tmp_path))
     assert store.load("t", batch.limit(0)) == load.LoadStats(0, 0, 0)
     assert store.load("t", batch) == load.LoadStats(3, 0, 3)
     assert all(v[1] for v in rows(store.read("t")).values())
@@ -158,7 +199,7 @@ def test_store_load_from_nothing(spark, tmp_path, batch):
 
 
 def test_store_replace_if_changed(spark, tmp_path):
-    store = SnapshotStore(spark, str(tmp_path))
+    store = TableStore(spark, str(tmp_path))
     mk = lambda d: spark.createDataFrame(d, "k int, v string")
     assert store.replace_if_changed("t", mk([(1, "a")])) == (True, 1)
     assert store.replace_if_changed("t", mk([(1, "a")])) == (False, 0)

@@ -9,7 +9,7 @@ from opsmart.functions.keys import file_line_id
 from opsmart.operators.series import date_spine
 from opsmart.plans import ads, audience, bom, edi, feeds, finance, funnel, inventory, purchasing, refresh, sales, shop, sku
 from opsmart.schemas import schema
-from opsmart.sources.store import SnapshotStore
+from opsmart.sources.store import TableStore
 from opsmart.sources.tables import typed
 
 D, TS = dt.date, dt.datetime
@@ -422,7 +422,7 @@ def test_audience(spark):
 
 
 def test_refresh_warehouse(spark, tmp_path):
-    store = SnapshotStore(spark, str(tmp_path))
+    store = TableStore(spark, str(tmp_path))
     stock = lined([{"customer": "C", "sku": "A", "end_date": "03/31/2023 11:59:00 PM"}])
     history = ("customer string, sku string, item_description string, qualifier string, warehouse string, detail_on_hand string, detail_quarantine_on_hold string, "
                "detail_allocated string, detail_available string, detail_primary_uom string, volume_unit string, weight_unit string, detail_cartons string, detail_dim_uom string, "
@@ -445,7 +445,7 @@ def test_refresh_warehouse(spark, tmp_path):
 
 
 def test_refresh_purchasing_and_reference(spark, tmp_path):
-    store = SnapshotStore(spark, str(tmp_path))
+    store = TableStore(spark, str(tmp_path))
     raw_po, master, vendors, status, brands = purchasing_inputs(spark)
     store.write("sku_master", master)
     store.write("brands", brands)
@@ -469,7 +469,7 @@ def test_refresh_purchasing_and_reference(spark, tmp_path):
 
 
 def test_refresh_reference_and_edi(spark, tmp_path):
-    store = SnapshotStore(spark, str(tmp_path))
+    store = TableStore(spark, str(tmp_path))
     vendors = make(spark, VENDORS, "id bigint, display_name string, print_on_check_name string")
     cols = [*sku.MASTER_COLUMNS, *sku.MASTER_TAIL, "eaches_per_carton", "notes"]
     master = make(spark, [{"sku": "A", "vendor": "Acme Lab", "eaches_per_carton": "n/a"}, {"sku": "B", "vendor": None, "eaches_per_carton": "12"}],
