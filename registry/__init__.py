@@ -15,6 +15,7 @@ from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
 
+from opsmart.session import materialise
 from registry.views import VIEWS
 
 TABLES = (
@@ -22,6 +23,9 @@ TABLES = (
 ).split()
 
 
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def _names(sql: str) -> list[str]:
     return list(dict.fromkeys(f for _, f, _, _ in Formatter().parse(sql) if f))
 
@@ -43,6 +47,13 @@ class Sources:
                 self._made[name] = self.sql(VIEWS[name])
         return self._made[name]
 
+    def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table derived from this folder that several queries read, such as a map of names: computed once a session and written."""
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _STORED:
+            _STORED[key] = materialise(build(), name)
+        return _STORED[key]
+
     def sql(self, text: str) -> DataFrame:
         return self.spark.sql(text, **{n: getattr(self, n) for n in _names(text)})
 

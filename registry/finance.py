@@ -110,28 +110,40 @@ def _(s):
     return finance.budget(detail, budgets, accounts)
 
 
+_ALIKE = "cast(floor(100 * jaro_winkler_similarity(lower(t.tc_name), lower(c.display_name)) + 1e-9) as integer)"
+_PARTNERS = f"""scored as (select t.tc_name, c.id, {_ALIKE} as similarity, row_number() over (partition by t.tc_name order by c.display_name, c.id, c.fully_qualified_name) as place
+            from (select distinct textbox_23 as tc_name from {{edi_register}}) t, {{fin_customers}} c where {_ALIKE} >= 85),
+        chosen as (select tc_name, arg_max(id, (similarity, -place)) as qb_id from scored group by tc_name),
+        single as (select qb_id, tc_name from chosen)"""
+
+
+def _partners(s):
+    """Each trading partner's customer by similarity, stored first, as the refresh does."""
+    return s.stored("partner-map", lambda: edi.best_partners(s.fin_customers, s.edi_register))
+
+
 @query(
     "edi_register",
-    f"""select sha256(textbox_23 || '-' || textbox_17 || '-' || textbox_19) as transaction_id, _line + 1 as index, textbox_23 as trading_partner,
+    f"""with {_PARTNERS} select sha256(textbox_23 || '-' || textbox_17 || '-' || textbox_19) as transaction_id, _line + 1 as index, textbox_23 as trading_partner,
         m.qb_id as trading_partner_qb_id, substr(textbox_21, 5) as transaction_type, left(textbox_21, 3) as transaction_type_id, textbox_19 as doc_number,
         alt_doc_num as alt_doc_number, {_AMOUNT.format('txn_amount')} as amount, {slash('textbox_17')} as creation_date, textbox_15 as folder,
         cast(date_trunc('month', {slash('textbox_17')}) as date) as period_first_day, last_day({slash('textbox_17')}) as period_last_day, true as latest, {_ID}
-    from {{edi_register}} r left join {{partner_map}} m on m.tc_name = r.textbox_23 where textbox_23 is not null and textbox_17 is not null and textbox_19 is not null""",
+    from {{edi_register}} r left join single m on m.tc_name = r.textbox_23 where textbox_23 is not null and textbox_17 is not null and textbox_19 is not null""",
 )
 def _(s):
-    return edi.parse_register(s.edi_register, s.partner_map).drop("_modified", "_file", "_fivetran_synced")
+    return edi.parse_register(s.edi_register, _partners(s)).drop("_modified", "_file", "_fivetran_synced")
 
 
 @query(
     "edi_integration",
-    f"""select sha256(edipartner_name || '-' || document_date || '-' || alt_doc_id) as transaction_id, _line + 1 as index, edipartner_name as trading_partner,
+    f"""with {_PARTNERS} select sha256(edipartner_name || '-' || document_date || '-' || alt_doc_id) as transaction_id, _line + 1 as index, edipartner_name as trading_partner,
         m.qb_id as trading_partner_qb_id, txn_type as transaction_type, alt_doc_id as alt_doc_number, account_id as tc_account_id, {_AMOUNT.format('amount')} as amount,
         {us_stamp('document_date')} as document_date, {us_stamp('log_time')} as log_time, description,
         cast(date_trunc('month', {us_stamp('document_date')}) as date) as period_first_day, last_day({us_stamp('document_date')}) as period_last_day, true as latest, {_ID}
-    from {{edi_log}} r left join {{partner_map}} m on m.tc_name = r.edipartner_name""",
+    from {{edi_log}} r left join single m on m.tc_name = r.edipartner_name""",
 )
 def _(s):
-    out = edi.parse_integration(s.edi_log, s.partner_map).drop("_modified", "_file", "_fivetran_synced")
+    out = edi.parse_integration(s.edi_log, _partners(s)).drop("_modified", "_file", "_fivetran_synced")
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("document_date", "log_time")})
 
 
@@ -150,8 +162,8 @@ _KEYED = "(textbox_23 || '-' || textbox_17 || '-' || textbox_19)"
 )
 def _(s):
     """Checks of the curated EDI tables; lines whose date cannot be read are counted, not lost."""
-    register = edi.parse_register(s.edi_register, s.partner_map)
-    log = edi.parse_integration(s.edi_log, s.partner_map)
+    register = edi.parse_register(s.edi_register, _partners(s))
+    log = edi.parse_integration(s.edi_log, _partners(s))
     checks = [
         (name, check(df, column))
         for name, df, check, column in (
@@ -166,24 +178,15 @@ def _(s):
     return load.union_sources(*rows)
 
 
-_ALIKE = "cast(floor(100 * jaro_winkler_similarity(lower(t.tc_name), lower(c.display_name)) + 1e-9) as integer)"
-
-
 @query(
     "edi_chain",
-    f"""with scored as (select t.tc_name, c.id, {_ALIKE} as similarity, row_number() over (partition by t.tc_name order by c.display_name, c.id, c.fully_qualified_name) as place
-            from (select distinct textbox_23 as tc_name from {{edi_register}}) t, {{fin_customers}} c where {_ALIKE} >= 85),
-        chosen as (select tc_name, arg_max(id, (similarity, -place)) as qb_id from scored group by tc_name),
-        single as (select qb_id, tc_name from chosen)
+    f"""with {_PARTNERS}
     select textbox_23 as trading_partner, m.qb_id as trading_partner_qb_id, count(*) as n_lines, cast(sum(cast({_AMOUNT.format('txn_amount')} as decimal(18,2))) as double) as amount, min({slash('textbox_17')}) as first_day
     from {{edi_register}} r left join single m on m.tc_name = r.textbox_23 where textbox_23 is not null and textbox_17 is not null and textbox_19 is not null group by all""",
 )
 def _(s):
     """Partners matched by similarity, and the register built on that map, summed by partner."""
-    from opsmart.session import materialise
-
-    partners = materialise(edi.best_partners(s.fin_customers, s.edi_register), "partner-map")
-    register = edi.parse_register(s.edi_register, partners)
+    register = edi.parse_register(s.edi_register, _partners(s))
     return register.groupBy("trading_partner", "trading_partner_qb_id").agg(
         F.count("*").alias("n_lines"), F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("amount"), F.min("creation_date").alias("first_day")
     )

@@ -451,7 +451,6 @@ VIEWS = {
                case when textbox_17 is null then 'later' else stamp end as log_time,
                textbox_15 as description, _file, _line, _modified, _fivetran_synced
         from {edi_register}""",
-    "partner_map": "select p_name as tc_name, min(p_partkey) as qb_id from {part} where p_size > 30 group by p_name",
     "people": """
         select c_custkey as id,
                case when c_acctbal < 0 then null else lower(concat(c_name, '@shop.example')) end as email,
