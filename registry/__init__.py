@@ -108,5 +108,6 @@ def query(key: str, sql: str | None = None):
 
 def load_all() -> dict[str, Query]:
     from registry import finance, inventory, load, match, purchasing, shop, sqlapi, text  # noqa: F401
+    from registry import refresh  # noqa: F401  counts the rows of other queries
 
     return REGISTRY

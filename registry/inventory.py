@@ -121,14 +121,17 @@ def _(s):
     from {{register_raw}} r join {{orders}} on o_orderkey = _line""",
 )
 def _(s):
-    raw = s.sql(
+    return feeds.parse_3pl_shipment(shipments_raw(s), "ship_").drop("_modified", "_file", "_fivetran_synced")
+
+
+def shipments_raw(s):
+    return s.sql(
         """select cast(cast(o_orderdate as date) as string) as shipment_date, name as shipment_, o_orderstatus as ship_to_state,
             customer_ref_ as primary_ref_, tracking_number as primary_ref_po_, ship_to_company as bill_to_contact, r.carrier as scac,
             o_orderpriority as scac_description, handling as unit_price, notes as bol_pro_,
             concat('ship_', cast(cast(o_orderdate as date) as string), '.csv') as _file, _line, _modified, _fivetran_synced
         from {register_raw} r join {orders} on o_orderkey = _line"""
     )
-    return feeds.parse_3pl_shipment(raw, "ship_").drop("_modified", "_file", "_fivetran_synced")
 
 
 @query(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from opsmart.functions.keys import file_line_id
 from opsmart.operators.series import date_spine
+from opsmart.operators.load import LoadStats
 from opsmart.plans import ads, audience, bom, edi, feeds, finance, funnel, inventory, purchasing, refresh, sales, shop, sku
 from opsmart.schemas import schema
 from opsmart.sources.store import TableStore
@@ -451,7 +452,7 @@ def test_refresh_purchasing_and_reference(spark, tmp_path):
     store.write("brands", brands)
     raw = {"po_tracker": raw_po, "po_statuses": status, "vendor": vendors}
     out = refresh.refresh_purchasing(store, raw)
-    assert out["po_status"] == 2 and out["vendor_mapping"] == 2 and out["po_tracker"].new == 5 and out["average_price"] == 1
+    assert out["po_status"].new == 2 and out["vendor_mapping"].new == 2 and out["po_tracker"].new == 5 and out["average_price"] == 1
     again = refresh.refresh_purchasing(store, raw)
     assert again["po_tracker"].new == 0 and again["average_price"] == 1
     # the same sync delivered again stays the latest one
@@ -493,6 +494,6 @@ def test_refresh_reference_and_edi(spark, tmp_path):
         "edi_integration": make(spark, lined([{"edipartner_name": "Nobody", "document_date": "01/02/2023 01:02:03 PM"}]), log),
     }
     out = refresh.refresh_edi(store, edi_raw)
-    assert (out["edi_partner_mapping"], out["edi_register"].new, out["edi_integration"].new) == (1, 1, 1)
+    assert (out["edi_partner_mapping"].new, out["edi_register"].new, out["edi_integration"].new) == (1, 1, 1)
     assert store.read("edi_register").first().trading_partner_qb_id == "1"
-    assert refresh.refresh_edi(store, edi_raw)["edi_partner_mapping"] == 1
+    assert refresh.refresh_edi(store, edi_raw)["edi_partner_mapping"] == LoadStats(0, 1, 1)
