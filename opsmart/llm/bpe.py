@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StringType, StructField
 
 from opsmart.llm.common import map_texts, tokenizer_path
+from opsmart.llm.unicode_classes import Classes, classes
 
 #: White space as the vocabulary's normalizer and splitter know it (Unicode's property).
 _WS = "\\t-\\r\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
@@ -32,7 +33,8 @@ _SPACE = regex.compile(f"[{_WS}]+")
 #: ``str.split`` also splits at these; the vocabulary's white space does not hold them.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 #: The splitter's pattern; a fixed value. What it does not match is dropped.
-_PIECES = regex.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[\\p{{L}}]+|[\\p{{N}}]|[^{_WS}\\p{{L}}\\p{{N}}]+")
+_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[{0}]+|[{1}]|[^{2}{0}{1}]+"
+_PIECES = regex.compile(_PATTERN.format("\\p{L}", "\\p{N}", _WS))
 #: Runs, words and token pairs that a worker remembers at most; then it starts anew. Workers live as long as their
 #: executor, so this is what they hold (about 230 MB) whatever runs in them next.
 _REMEMBERED = 200_000
@@ -51,7 +53,12 @@ def _byte_symbols() -> list[str]:
 class PrefixEncoder:
     """BPE with word ends, from a ``tokenizers`` file of that kind."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, known: Classes | None = None):
+        known = known or classes(path)
+        #: The splitter of texts with characters that are of another class to the library than to ``_PIECES``.
+        self._exact = re.compile(_PATTERN.format(known.letters, known.numbers, known.white))
+        self._differs = re.compile(f"([{known.differs}])") if known.differs else None
+        self._lower = known.lower
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -137,9 +144,15 @@ class PrefixEncoder:
 
     def pieces(self, text: str) -> list[str]:
         """The pieces of ordinary text, normalised."""
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # no special final sigma
-        return _PIECES.findall(_SPACE.sub(" ", text).lower())
+        if text.isascii():
+            return _PIECES.findall(_SPACE.sub(" ", text).lower())
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # no special final sigma
+        text = _SPACE.sub(" ", text)
+        if not (self._differs and self._differs.search(text)):
+            return _PIECES.findall(text.lower())
+        # Characters whose case the library changes otherwise stand aside while the others are put into lower case.
+        parts = [self._lower[ord(x)] if len(x) == 1 and ord(x) in self._lower else x.lower() for x in self._differs.split(text)]
+        return self._exact.findall("".join(parts))
 
     def _ids(self, text: str) -> list[int]:
         """Ids of ordinary text."""
@@ -209,10 +222,10 @@ class PrefixEncoder:
 _ENCODERS: dict[str, PrefixEncoder] = {}
 
 
-def encoder(path: str) -> PrefixEncoder:
+def encoder(path: str, known: Classes) -> PrefixEncoder:
     """One encoder for each worker process, so that tasks share what it remembers."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = PrefixEncoder(path)
+        _ENCODERS[path] = PrefixEncoder(path, known)
     return _ENCODERS[path]
 
 
@@ -224,9 +237,10 @@ def bpe_round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     an empty table an empty one.
     """
     path = path or tokenizer_path("word_bpe_49k.json")
+    known = classes(path)
 
     def worker():
-        coder = encoder(path)
+        coder = encoder(path, known)
 
         def score(texts: list) -> dict:
             found = [coder.digests(t or "") for t in texts]
@@ -250,9 +264,10 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     from pyspark.sql.types import ArrayType, IntegerType
 
     path = path or tokenizer_path("word_bpe_49k.json")
+    known = classes(path)
 
     def worker():
-        coder = encoder(path)
+        coder = encoder(path, known)
 
         def score(texts: list) -> dict:
             ids = [coder.encode(t or "") for t in texts]

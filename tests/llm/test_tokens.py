@@ -76,3 +76,28 @@ def test_forgetting_changes_nothing(monkeypatch, byte_bpe):
     path = tokenizer_path("word_bpe_49k.json")
     library, own = Tokenizer.from_file(path), bpe.PrefixEncoder(path)
     assert [own.digests(t)[0] for t in texts] == [len(library.encode(t, add_special_tokens=False)) for t in texts]
+
+
+def test_bpe_over_all_code_points():
+    """Characters that were no letters yet when the library's tables were made, or whose case it changes otherwise."""
+    path = tokenizer_path("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), bpe.PrefixEncoder(path)
+    library.no_truncation()
+    library.no_padding()
+    points = [chr(p) for p in range(0x110000) if not 0xD800 <= p < 0xE000]
+    for k in range(0, len(points), 1 << 16):
+        texts = [f"a{c}B" for c in points[k : k + (1 << 16)]]
+        found = library.encode_batch_fast(texts, add_special_tokens=False)
+        assert [t for t, e in zip(texts, found, strict=True) if own.encode(t) != e.ids] == []
+
+
+def test_bpe_with_letters_of_later_tables():
+    path = tokenizer_path("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), bpe.PrefixEncoder(path)
+    library.no_truncation()
+    library.no_padding()
+    rnd = random.Random(8)
+    odd = ["՘", "Ᲊ", "Ɤ", "\U00018e00", "\U000323b0", "\U00010d50", "Σ", "İ", "é", "é", "A", " ", "'s", "7", "!"]
+    for _ in range(3000):
+        text = "".join(rnd.choice(odd) for _ in range(rnd.randint(0, 12)))
+        assert own.encode(text) == library.encode(text, add_special_tokens=False).ids
