@@ -12,25 +12,29 @@ becomes a probability by an isotonic fit to what the examples themselves get whe
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, StringType, StructField, StructType
 
-from opsmart.llm.common import held_out, labelled_sample, map_texts
+from opsmart.llm.common import held_out, labelled_sample
+from opsmart.session import materialise
 
 _WORD = re.compile(r"\w+")
 #: Besides whole words, their beginnings of these lengths are terms.
 _HEADS = (5, 7)
-_BLOCK = 64
+_BLOCK = 32
 #: Blocks looked at first, those that may hold the nearest examples.
-_FIRST = 3
+_FIRST = 6
+#: Examples that others gather around, so that a block holds examples that are alike and its bounds are close.
+_CENTRES = 48
 #: How much more a term that tells the classes apart counts: of 3, 6, 12 and 24 the one that finds most when the examples are left out.
 _TELLING = 3.0
 #: What a neighbour's vote falls by with its distance, and the weight of the vote for the prior.
@@ -101,6 +105,18 @@ class Vocabulary:
         return counts
 
 
+#: Terms in ascending order, and their weights.
+Vector = tuple[np.ndarray, np.ndarray]
+
+
+def counted(vocabulary: Vocabulary, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The terms of some words in ascending order, and how often each occurs."""
+    counts = vocabulary.count(found)
+    terms = np.fromiter(counts.keys(), np.int64, len(counts))
+    order = np.argsort(terms)
+    return terms[order], np.fromiter(counts.values(), np.int64, len(counts))[order]
+
+
 @dataclass
 class Index:
     """Block-max inverted index of labelled examples."""
@@ -120,47 +136,50 @@ class Index:
     block_max: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     curve: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.zeros(1), np.zeros(1)))
 
-    def vector(self, found: list[str]) -> dict[int, float]:
+    def vector(self, found: list[str]) -> Vector:
         """Unit TF-IDF vector; empty for a text without words."""
-        raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in sorted(self.vocabulary.count(found).items())}
-        norm = math.sqrt(sum(x * x for x in raw.values()))
-        return {t: x / norm for t, x in raw.items()}
+        return self.weighted(*counted(self.vocabulary, found))
+
+    def weighted(self, terms: np.ndarray, counts: np.ndarray) -> Vector:
+        raw = (1 + np.log(counts)) * self.idf[terms]
+        return terms, raw / (np.sqrt((raw * raw).sum()) if len(raw) else 1.0)
 
-    def add(self, vectors: list[dict[int, float]]) -> None:
+    def add(self, vectors: list[Vector]) -> None:
         blocks, size = -(-len(vectors) // _BLOCK), self.vocabulary.other + 1
-        lengths = [len(v) for v in vectors]
-        terms = np.fromiter((t for v in vectors for t in v), np.int64, sum(lengths))
-        weights = np.fromiter((x for v in vectors for x in v.values()), float, sum(lengths))
+        lengths = [len(t) for t, _ in vectors]
+        terms = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in vectors)])
+        weights = np.concatenate([np.zeros(0), *(x for _, x in vectors)])
         holders = np.repeat(np.arange(len(vectors)), lengths)
         order = np.lexsort((holders, terms))
         terms, self.holders, self.weights = terms[order], holders[order].astype(np.int32), weights[order]
-        self.block_max = np.zeros((size, blocks))
-        np.maximum.at(self.block_max, (terms, self.holders // _BLOCK), self.weights)
+        self.block_max = np.zeros((size, blocks), np.float32)
+        np.maximum.at(self.block_max, (terms, self.holders // _BLOCK), self.weights * (1 + 1e-6))  # rounded up
         cells = np.bincount(terms * blocks + self.holders // _BLOCK, minlength=size * blocks)
         self.starts = np.zeros((size, blocks + 1), np.int32)
         ends = np.cumsum(cells).reshape(size, blocks)
         self.starts[:, 1:] = ends
         self.starts[1:, 0] = ends[:-1, -1] if blocks else 0
 
-    def nearest(self, vector: dict[int, float], without: int = -1) -> list[tuple[float, int]]:
+    def nearest(self, vector: Vector, without: int = -1) -> list[tuple[float, int]]:
         """``(similarity, example)`` of the nearest examples, ties by position; ``without`` is passed over if it is a single one."""
-        if not vector:
+        terms, own = vector
+        if not len(terms):
             return []
-        terms = list(vector)
-        bound = np.array([vector[t] for t in terms]) @ self.block_max[terms]
+        bound = own.astype(np.float32) @ self.block_max[terms]
         skipped = without if without >= 0 and self.sizes[without] == 1 else -1
         order = np.argsort(-bound, kind="stable")
         likely, rest = order[:_FIRST], order[_FIRST:]
-        best = self._closest(self._similar(vector, terms, likely), skipped)
-        least = best[-1][0] - 1e-9 if len(best) == self.neighbours else 0.0
+        similar = self._similar(terms, own, likely)
+        best = self._closest(similar, skipped)
+        least = best[-1][0] * (1 - 1e-5) if len(best) == self.neighbours else 0.0
         rest = rest[bound[rest] >= max(least, 1e-12)]
         if len(rest):  # blocks that may hold a nearer example, or one as near
-            best = self._closest(self._similar(vector, terms, np.concatenate((likely, rest))), skipped)
+            best = self._closest(similar + self._similar(terms, own, rest), skipped)
         return best
 
-    def _similar(self, vector: dict[int, float], terms: list[int], blocks: np.ndarray) -> np.ndarray:
+    def _similar(self, terms: np.ndarray, own: np.ndarray, blocks: np.ndarray) -> np.ndarray:
         """Similarities of the examples in some blocks, from the parts of the posting lists in them; 0 elsewhere."""
-        rows, own = self.starts[terms], np.array([vector[t] for t in terms])
+        rows = self.starts[terms]
         if len(blocks) == self.block_max.shape[1]:
             first, last = rows[:, 0], rows[:, -1]
         else:
@@ -212,40 +231,71 @@ def isotonic(raw: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[np
     return np.array([p[0] / p[2] for p in pools]), np.array([p[1] / p[2] for p in pools])
 
 
-def document_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[int, np.ndarray]:
-    """How many documents there are, and in how many of them each term stands."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # the words of the sample
+def term_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """``doc_id, terms, counts`` of every row, and rows ``partial`` with the document frequencies of a task.
 
-    def count(batches):
-        known = shared.value
-        seen: Counter = Counter()
+    Written to the shared folder: texts are cut into words once, for the frequencies and for the scores.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # the words of the sample
+    rows = docs.select("doc_id", "text")
+    numbers = ArrayType(IntegerType())
+    out = StructType([rows.schema["doc_id"], StructField("partial", BooleanType()), StructField("terms", numbers), StructField("counts", numbers)])
+    arrow = to_arrow_schema(out)
+
+    def made(ids, partial: bool, found: list) -> pa.RecordBatch:
+        columns = [ids, [partial] * len(found), [t for t, _ in found], [n for _, n in found]]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, total = shared.value, 0
+        holders = np.zeros(known.other + 1, np.int64)
         for batch in batches:
-            seen[-1] += batch.num_rows
-            for text in batch.column(0).to_pylist():
-                seen.update(known.count(words(text)).keys())
-        yield pa.RecordBatch.from_pydict(
-            {"term": pa.array(list(seen.keys()), pa.int64()), "n": pa.array(list(seen.values()), pa.int64())}
-        )
+            found = [counted(known, words(text)) for text in batch.column(1).to_pylist()]
+            for terms, _ in found:
+                holders[terms] += 1
+            total += len(found)
+            yield made(batch.column(0).to_pylist(), False, found)
+        seen = np.flatnonzero(holders)
+        yield made([None], True, [(np.append(seen, -1), np.append(holders[seen], total))])
 
-    rows = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    found = {r["term"]: r["n"] for r in rows}
-    return found.get(-1, 0), np.array([found.get(t, 0) for t in range(vocabulary.other + 1)], float)
+    return materialise(rows.mapInArrow(count, out), "term-counts")
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, neighbours: int = 15) -> Index:
-    """An index of at most ``2 * per_class`` labelled examples that are not held out."""
+def document_frequencies(counted_docs: DataFrame, size: int) -> tuple[int, np.ndarray]:
+    """How many documents there are, and in how many of them each term stands."""
+    parts = counted_docs.where("partial").select(F.explode(F.arrays_zip("terms", "counts")).alias("p")).select("p.terms", "p.counts")
+    found = {r["terms"]: r["n"] for r in parts.groupBy("terms").agg(F.sum("counts").alias("n")).collect()}  # the terms of the sample
+    return found.get(-1, 0), np.array([found.get(t, 0) for t in range(size)], float)
+
+
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, neighbours: int = 15) -> tuple[Index, DataFrame]:
+    """An index of at most ``2 * per_class`` labelled examples that are not held out, and the counted terms of all documents.
+
+    A text that occurs often counts once with each label that it has.
+    """
     once = {}
     for name, text, label in labelled_sample(docs, labels, "toxic", per_class):
-        once.setdefault(text, (str(name), words(text), label))
+        once.setdefault((text, label), (str(name), words(text), label))
     examples = list(once.values())
     sample = [(found, label) for _, found, label in examples]
     vocabulary = Vocabulary(all_terms(sample))
-    total, counts = document_frequencies(docs, vocabulary)
+    all_counted = term_counts(docs, vocabulary)
+    total, counts = document_frequencies(all_counted, vocabulary.other + 1)
     idf = np.log((1 + total) / (1 + counts)) + 1
     idf[[vocabulary.number[t] for t in telling_terms(sample)]] *= _TELLING
     usable = labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1))
     prior = usable.agg(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
-    return build(vocabulary, idf, examples, prior, neighbours)
+    return build(vocabulary, idf, examples, prior, neighbours), all_counted
+
+
+def _alike(vectors: list[Vector], toxic: np.ndarray, size: int) -> np.ndarray:
+    """An order of the examples in which neighbours are alike: by class, then around the centre they are nearest to."""
+    centres = np.zeros((size, min(_CENTRES, len(vectors))), np.float32)
+    for k in range(centres.shape[1]):
+        terms, own = vectors[k * len(vectors) // centres.shape[1]]
+        centres[terms, k] = own
+    near = np.array([own @ centres[terms] for terms, own in vectors]).reshape(len(vectors), -1)
+    return np.lexsort((-near.max(axis=1), near.argmax(axis=1), toxic > 0.5)) if len(vectors) else np.zeros(0, np.int64)
 
 
 def build(vocabulary: Vocabulary, idf: np.ndarray, examples: list[tuple[str, list[str], int]], prior: float, neighbours: int) -> Index:
@@ -255,7 +305,7 @@ def build(vocabulary: Vocabulary, idf: np.ndarray, examples: list[tuple[str, lis
     vectors, members, held = [], [], []
     for name, found, label in examples:
         vector = index.vector(found)
-        key = tuple((t, round(x, 9)) for t, x in vector.items())
+        key = (vector[0].tobytes(), vector[1].round(9).tobytes())
         if key not in place:
             place[key] = len(vectors)
             vectors.append(vector)
@@ -263,6 +313,11 @@ def build(vocabulary: Vocabulary, idf: np.ndarray, examples: list[tuple[str, lis
             held.append([])
         held[place[key]].append(label)
         members.append((place[key], label))
+    order = _alike(vectors, np.array([sum(x) / len(x) for x in held]), vocabulary.other + 1)
+    moved = np.empty(len(order), np.int64)
+    moved[order] = np.arange(len(order))
+    vectors, held, index.names = ([x[k] for k in order] for x in (vectors, held, index.names))
+    members = [(int(moved[i]), label) for i, label in members]
     index.labels = np.array([sum(x) / len(x) for x in held])
     index.sizes = np.array([len(x) for x in held], np.int64)
     index.add(vectors)
@@ -275,34 +330,39 @@ def build(vocabulary: Vocabulary, idf: np.ndarray, examples: list[tuple[str, lis
     return index
 
 
-def score_toxicity(docs: DataFrame, index: Index) -> DataFrame:
+def score_toxicity(counted_docs: DataFrame, index: Index) -> DataFrame:
     """``doc_id, score, evidence``; the evidence names the three nearest examples as ``id:label:similarity``."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the sample
+    shared = counted_docs.sparkSession.sparkContext.broadcast(index)  # bounded by the sample
+    rows = counted_docs.where("NOT partial").select("doc_id", "terms", "counts")
+    out = StructType([rows.schema["doc_id"], StructField("score", DoubleType()), StructField("evidence", StringType())])
+    arrow = to_arrow_schema(out)
 
-    def worker():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        plain: dict[tuple, tuple[float, str]] = {}  # texts of one kind of term all have the same vector
+        plain: dict[bytes, tuple[float, str]] = {}  # texts of one kind of term all have the same vector
 
-        def judge(vector: dict[int, float]) -> tuple[float, str]:
-            near = own.nearest(vector)
+        def judge(terms: np.ndarray, counts: np.ndarray) -> tuple[float, str]:
+            near = own.nearest(own.weighted(terms, counts))
             return own.score(near), ",".join(f"{own.names[i]}:{own.labels[i]:.2f}:{s:.3f}" for s, i in near[:3])
 
-        def score(texts: list) -> dict:
+        for batch in batches:
+            cuts = np.asarray(batch.column(1).offsets)
+            terms, counts = (np.asarray(batch.column(k).flatten()) for k in (1, 2))
             found = []
-            for text in texts:
-                vector = own.vector(words(text))
-                if len(vector) > 1:
-                    found.append(judge(vector))
+            for a, b in zip(cuts - cuts[0], cuts[1:] - cuts[0], strict=False):
+                if b - a > 1:
+                    found.append(judge(terms[a:b], counts[a:b]))
                 else:
-                    key = tuple(vector)
+                    key = terms[a:b].tobytes()
                     if key not in plain:
-                        plain[key] = judge(vector)
+                        plain[key] = judge(terms[a:b], counts[a:b])
                     found.append(plain[key])
-            return {"score": [x[0] for x in found], "evidence": [x[1] for x in found]}
-
-        return score
+            columns = [batch.column(0), [x[0] for x in found], [x[1] for x in found]]
+            yield pa.RecordBatch.from_arrays(
+                [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow
+            )
 
-    return map_texts(docs, worker, [StructField("score", DoubleType()), StructField("evidence", StringType())])
+    return rows.mapInArrow(run, out)
 
 
 def classify(docs: DataFrame, labels: DataFrame, per_class: int = 1500, threshold: float = 0.7) -> DataFrame:
@@ -312,7 +372,8 @@ def classify(docs: DataFrame, labels: DataFrame, per_class: int = 1500, threshol
     get the same score, an empty table gives an empty result, and without labels every score is 0.
     Only ``text`` goes into a score.
     """
-    scored = score_toxicity(docs, fit(docs, labels, per_class))
+    index, all_counted = fit(docs, labels, per_class)
+    scored = score_toxicity(all_counted, index)
     return scored.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),

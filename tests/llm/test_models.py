@@ -126,19 +126,24 @@ def _index(seed, neighbours=5):
     return toxicity.build(vocabulary, idf, rows, 0.3, neighbours), rows
 
 
+def as_dict(vector):
+    return dict(zip(*(x.tolist() for x in vector), strict=True))
+
+
 def test_neighbours_are_the_nearest_by_cosine():
     index, rows = _index(1)
     assert "snark" in index.vocabulary.number and "grubb*" in index.vocabulary.number
     vectors = {}
     for _, found, _ in rows:
-        v = index.vector(found)
+        v = as_dict(index.vector(found))
         vectors.setdefault(tuple((t, round(x, 9)) for t, x in v.items()), v)
     examples = list(vectors.values())
     assert len(examples) == len(index.sizes) and index.sizes.sum() == len(rows)
     for _, found, _ in rows[:120]:
-        v = index.vector(found + ["snark"])
+        vector = index.vector(found + ["snark"])
+        v = as_dict(vector)
         cosines = sorted((-sum(x * e.get(t, 0) for t, x in v.items()), i) for i, e in enumerate(examples))[:5]
-        got = index.nearest(v)
+        got = index.nearest(vector)
         assert [round(s, 9) for s, _ in got] == [round(-s, 9) for s, _ in cosines]
 
 

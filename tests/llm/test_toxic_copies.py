@@ -35,5 +35,16 @@ def test_near_copies_are_found(tables):
 
 def test_examples_stay_apart(tables):
     docs, marks, texts, _ = tables
-    index = toxicity.fit(docs, marks)
+    index, _ = toxicity.fit(docs, marks)
     assert len(index.sizes) == len(texts) and {w for _, t in texts for w in t.split()} <= index.vocabulary.number.keys()
+
+
+def test_contradictory_labels_of_one_text_both_count(frame, labels):
+    rnd = random.Random(6)
+    ids = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 3 != 1][:120]
+    texts = [(i, " ".join(f"w{rnd.randrange(200)}" for _ in range(25))) for i in ids]
+    twice = [(ids[0], texts[0][1]), (ids[1], texts[0][1]), (ids[2], texts[0][1])]
+    docs = frame(twice + texts[3:])
+    marks = labels([(ids[0], 1, 1, "x"), (ids[1], 1, 0, "x"), (ids[2], 1, 0, "x"), *[(i, 1, n % 2, "x") for n, i in enumerate(ids[3:])]])
+    rows = {r["doc_id"]: r["evidence"] for r in toxicity.classify(docs, marks).collect()}
+    assert rows[ids[0]].split(",")[0].split(":")[1] == "0.50"  # once toxic, once not
