@@ -246,7 +246,7 @@ _DELTAS = ", ".join(
     f"{c} - coalesce(lag({c}) over w, 0) as d_{c}, ({c} is not null)::int - (lag({c}) over w is not null)::int as n_{c}" for c in _FIGURES
 )
 _SUMS = ", ".join(f"sum(d_{c}) as d_{c}, sum(n_{c}) as n_{c}" for c in _FIGURES)
-_RUNNING = ", ".join(f"cast(sum(d_{c}) over up as bigint) as {c}, cast(sum(n_{c}) over up as bigint) as n_{c}" for c in _FIGURES)
+_RUNNING = ", ".join(f"cast(sum(d_{c}) over up as bigint) as {c}, cast(coalesce(sum(n_{c}) over up, 0) as bigint) as n_{c}" for c in _FIGURES)
 
 
 @query(
