@@ -20,6 +20,10 @@ with the weaker bound for p = 4; all others under the bound for p = 2. Length
 classes keep the bound tight: each name knows how short a partner may be. A pair
 is kept under its first shared key only, so it appears once. The rule is exact:
 no pair at or above the floor is lost, whatever the number of partners.
+
+Of the pairs that meet, most are dropped by a signature of 64 bits: members set the
+bit of their rank modulo 64, and two names share no more members than bits, plus
+the members by which the names outnumber their bits. Only the rest compare sets.
 """
 
 from __future__ import annotations
@@ -64,7 +68,8 @@ def _class_start(index: Column) -> Column:
 def _with_tags(names: DataFrame) -> DataFrame:
     """Add ``tags``: the characters of ``name`` as sorted ranks, rarest first. The
     n-th occurrence of a character is a member of its own, so the overlap of two
-    sets counts repetition. Ranks come from how many names hold the member."""
+    sets counts repetition. Ranks come from how many names hold the member. ``bits`` is
+    the signature of the set."""
     chars = F.split("name", "")
     members = F.transform(
         chars, lambda ch, i: F.concat(ch, F.size(F.filter(F.slice(chars, 1, i + 1), lambda z: z == ch)).cast("string"))
@@ -73,7 +78,8 @@ def _with_tags(names: DataFrame) -> DataFrame:
     # one row per character and repetition: as many rows as the alphabet has
     rarity = spread.groupBy("member").agg(F.count(F.lit(1)).alias("n"))
     ranked = rarity.select("member", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("n", "member")).alias("tag"))
-    tagged = spread.join(ranked, "member").groupBy("name").agg(F.array_sort(F.collect_list("tag")).alias("tags"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("tag") % 64)
+    tagged = spread.join(ranked, "member").groupBy("name").agg(F.array_sort(F.collect_list("tag")).alias("tags"), F.bit_or(bit).alias("bits"))
     return names.join(tagged, "name")
 
 
@@ -92,7 +98,7 @@ def _blocks(names: DataFrame, floor: int, role: str) -> DataFrame:
         classes = F.sequence(_class_of(shortest), _class_of(longest))
         parts.append(
             side.withColumn("shortest", shortest).select(
-                "name", "tags", "size", "opening", "shortest",
+                "name", "tags", "bits", "size", "opening", "shortest",
                 F.lit(factor).alias("factor"),
                 F.lit(strong).alias("strong"),
                 (F.col("opening") if strong else F.lit("")).alias("head"),
@@ -122,7 +128,7 @@ def _index(blocks: DataFrame, role: str) -> DataFrame:
     )
     singles = F.transform("rare", lambda x: x.cast("bigint"))
     return rows.select(
-        "name", "tags", "opening", "factor", *_BLOCK, F.explode(F.when(F.col("k") == 2, pairs).otherwise(singles)).alias("token")
+        "name", "tags", "bits", "opening", "factor", *_BLOCK, F.explode(F.when(F.col("k") == 2, pairs).otherwise(singles)).alias("token")
     )
 
 
@@ -131,18 +137,23 @@ _KEY = [*_BLOCK, "token"]
 
 
 def _split_hot(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Salt the keys under which more than ``MEETINGS`` pairs meet: left rows are
-    dealt out over the parts, right rows go to all of them."""
+    """Cut the keys under which more than ``MEETINGS`` pairs meet into tiles. Rows of
+    either side are dealt out over its strips and go to all strips of the other side, so
+    that a side is copied only as often as the other one is too long for a tile."""
+    side = math.isqrt(MEETINGS)
     rows = a.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("n")).join(
         b.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("m")), _KEY, "inner"
     )
     meetings = F.col("n") * F.col("m")
-    hot = rows.filter(meetings > MEETINGS).select(*_KEY, F.ceil(meetings / MEETINGS).cast("int").alias("parts"))
-    a = a.join(hot, _KEY, "left").withColumn("part", F.pmod(F.xxhash64("name"), F.coalesce("parts", F.lit(1))))
-    b = b.join(hot, _KEY, "left").withColumn(
-        "part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("parts", F.lit(1)).cast("bigint") - 1))
-    )
-    return a.drop("parts"), b.drop("parts")
+    strips = {s: F.ceil(F.col(n) / side).cast("int").alias(f"strips_{s}") for s, n in (("l", "n"), ("r", "m"))}
+    hot = rows.filter(meetings > MEETINGS).select(*_KEY, *strips.values())
+
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+        mine, theirs = (F.coalesce(f"strips_{s}", F.lit(1)) for s in (own, other))
+        df = df.join(hot, _KEY, "left").withColumn(f"tile_{own}", F.pmod(F.xxhash64("name"), mine).cast("int"))
+        return df.withColumn(f"tile_{other}", F.explode(F.sequence(F.lit(0), theirs - 1))).drop("strips_l", "strips_r")
+
+    return dealt(a, "l", "r"), dealt(b, "r", "l")
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, floor: int) -> DataFrame:
@@ -165,17 +176,19 @@ def similar_pairs(left: DataFrame, right: DataFrame, floor: int) -> DataFrame:
     keys = _KEY
     if sizes["l"] * sizes["r"] > MEETINGS:
         a, b = _split_hot(a, b)
-        keys = [*_KEY, "part"]
+        keys = [*_KEY, "tile_l", "tile_r"]
     # comparing costs far more than moving these rows: keep all tasks, however few the bytes
     n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     a = a.repartition(n, *keys)
-    b = b.select(*keys, *[F.col(c).alias(f"r_{c}") for c in ("name", "tags", "opening")]).repartition(n, *keys)
+    b = b.select(*keys, *[F.col(c).alias(f"r_{c}") for c in ("name", "tags", "bits", "opening")]).repartition(n, *keys)
     met = a.join(b, keys, "inner").filter(
         F.col("strong") | (F.col("opening") != F.col("r_opening")) | (F.length("opening") < HEAD)
     )
 
     size, r_size = F.size("tags").cast("double"), F.size("r_tags").cast("double")
     need = F.ceil(F.col("factor") * size * r_size / (size + r_size) - F.lit(_SLACK))
+    doubled = F.least(F.size("tags") - F.bit_count("bits"), F.size("r_tags") - F.bit_count("r_bits"))
+    met = met.filter(F.bit_count(F.col("bits").bitwiseAND(F.col("r_bits"))) + doubled >= need)
     token = F.col("token")
 
     def first_meeting(shared: Column) -> Column:

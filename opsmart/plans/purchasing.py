@@ -13,6 +13,7 @@ from opsmart.operators.load import attach_max
 from opsmart.operators.match import enrich, enrich_roles
 from opsmart.operators.series import running_by_day, running_sums
 from opsmart.plans.sku import DELETED_VENDOR
+from opsmart.session import materialise
 
 NOT_A_NAME = "N/A"
 COMPLETE = "COMPLETE"
@@ -176,8 +177,10 @@ def running_inventory_cost(bought: DataFrame) -> DataFrame:
     """Every purchase with the SKU's average cost up to and including its PO date.
 
     The running sums count all purchases of the same day. They are taken over
-    days per SKU and joined back, so a hot SKU is summed map-side first.
+    days per SKU and joined back, so a hot SKU is summed map-side first. Purchases
+    are written once and read twice.
     """
+    bought = materialise(bought, "purchases")
     received = F.coalesce("total_received", "total_ordered")
     running = running_by_day(
         bought, ["sku"], "po_date",
