@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 #: What happens to the ``latest`` flag of old and new rows.
 POLICIES = (
@@ -24,6 +24,8 @@ POLICIES = (
     "max_sync_minute", # flag = synced in the newest minute of the batch
     "keep",            # append only, no flag kept
 )
+#: Groups of rows whose digests are compared. A comparison broadcasts their numbers, so no more rows than this.
+GROUPS = 4096
 
 
 @dataclass(frozen=True)
@@ -118,12 +120,47 @@ def load_stats(batch: DataFrame, target: DataFrame, key: str = "_row_id") -> Loa
     return LoadStats(row["rows_new"], row["rows_before"], row["rows_after"])
 
 
+def _row_hash(df: DataFrame, seed: int) -> Column:
+    """64-bit hash of a row. The hash passes over NULLs, so their places go in as text; nested values go in as JSON."""
+    fields = [(F.col(f"`{f.name}`"), isinstance(f.dataType, (T.StructType, T.ArrayType))) for f in df.schema]
+    nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c, _ in fields])
+    return F.xxhash64(F.lit(seed), nulls, *[F.to_json(c) if nested else c for c, nested in fields])
+
+
+def _differing_groups(new: DataFrame, old: DataFrame) -> DataFrame:
+    """Groups of rows in which the two frames differ, by the number of rows and the sums of two hashes of each group.
+
+    The order of rows plays no part. Hashes are summed by halves, which stay far from overflow.
+    """
+
+    def signed(df: DataFrame, sign: int) -> DataFrame:
+        hashes = df.select(_row_hash(df, 1).alias("a"), _row_hash(df, 2).alias("b"))
+        halves = {f"{h}{i}": half for h in "ab" for i, half in enumerate((F.shiftrightunsigned(h, 32), F.col(h).bitwiseAND(0xFFFFFFFF)))}
+        return hashes.select(
+            F.pmod("a", F.lit(GROUPS)).alias("_group"), F.lit(sign).cast("bigint").alias("n"),
+            *[(half * sign).alias(name) for name, half in halves.items()],
+        )
+
+    sums = ["n", "a0", "a1", "b0", "b1"]
+    both = signed(new, 1).unionByName(signed(old, -1)).groupBy("_group").agg(*[F.sum(c).alias(c) for c in sums])
+    return both.filter(reduce(lambda x, y: x | y, [F.col(c) != 0 for c in sums])).select("_group")
+
+
 def changed_rows(new: DataFrame, old: DataFrame, symmetric: bool = False) -> DataFrame:
     """Rows by which ``new`` differs from ``old`` (distinct, NULL-safe).
 
     One-directional by default, so a pure deletion does not count as a change.
+    Digests of :data:`GROUPS` groups of rows are compared first, which moves one row a group and task; rows
+    themselves are read again and shuffled only for groups that differ, and not at all where nothing has changed.
     """
     old = old.select(new.columns)
+    groups = F.broadcast(_differing_groups(new, old))
+
+    def doubtful(df: DataFrame) -> DataFrame:
+        grouped = df.withColumn("_group", F.pmod(_row_hash(df, 1), F.lit(GROUPS)))
+        return grouped.join(groups, "_group", "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
+
+    new, old = doubtful(new), doubtful(old)
     out = new.subtract(old)
     return out.unionByName(old.subtract(new)) if symmetric else out
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Hours after which a source counts as late.
 WARN_HOURS, ERROR_HOURS = 48, 72
@@ -43,6 +44,39 @@ def freshness(df: DataFrame, synced: str, as_of: str | dt.datetime | Column, war
     return newest.select("newest", age.alias("age_hours"), status.alias("status"))
 
 
+@dataclass(frozen=True)
+class Watch:
+    """Checks that a load takes while it writes its rows: columns that must not be NULL, and the sync time.
+
+    Each figure of a table follows from those of its batches (sums and a maximum), so a table is never scanned for them.
+    """
+
+    not_null: tuple[str, ...] = ()
+    synced: str | None = None
+
+    def figures(self) -> list[Column]:
+        """Aggregates over the rows of a batch; the newest sync time as UTC microseconds."""
+        nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"null:{c}") for c in self.not_null]
+        return nulls + ([F.max(F.unix_micros(F.col(f"`{self.synced}`").cast("timestamp"))).alias("newest")] if self.synced else [])
+
+    def added(self, figures: dict, batch: dict) -> dict:
+        """Figures of a table after one more batch; an empty one changes nothing."""
+        out = {f"null:{c}": (figures.get(f"null:{c}") or 0) + (batch.get(f"null:{c}") or 0) for c in self.not_null}
+        if self.synced:
+            out["newest"] = max((f["newest"] for f in (figures, batch) if f.get("newest") is not None), default=None)
+        return out
+
+    def report(self, spark: SparkSession, figures: dict, key: str = "") -> DataFrame:
+        """One row a check, as :func:`not_null_check` and :func:`unique_check` give them. ``key`` is unique because loads see to it."""
+        found = {f"not_null({c})": figures[f"null:{c}"] for c in self.not_null} | ({f"unique({key})": 0} if key else {})
+        rows = [(name, n, n == 0) for name, n in found.items()]
+        return spark.createDataFrame(rows, "check string, failures bigint, passed boolean")
+
+    def synced_table(self, spark: SparkSession, figures: dict) -> DataFrame:
+        """The newest sync as a table of one row, for :func:`freshness`."""
+        return spark.createDataFrame([(figures.get("newest"),)], "newest bigint").select(F.timestamp_micros("newest").alias(self.synced))
+
+
 def last_updated(tables: dict[tuple[str, str], tuple[DataFrame, str]]) -> DataFrame:
     """Newest change per ``(schema, table)``: ``{key: (table, time column)}``."""
     rows = [

@@ -17,6 +17,7 @@ On a cluster the session's catalog has to be a lasting one (a metastore) and ``l
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from opsmart.operators import load as ops
+from opsmart.operators.quality import Watch
 from opsmart.session import materialise
 
 BATCH = "_batch"
@@ -36,13 +38,19 @@ def _once(batch: DataFrame, key: str) -> DataFrame:
     return batch.withColumn("_lone", lone).dropDuplicates([key, "_lone"]).drop("_lone")
 
 
+def _quoted(text: str | int) -> str:
+    """The inside of a text literal of SQL."""
+    return str(text).replace("\\", "\\\\").replace("'", "\\'")
+
+
 def _shape(schema: StructType) -> dict:
     return {f.name: f.dataType for f in schema if f.name != BATCH}
 
 
 @dataclass(frozen=True)
 class _State:
-    """What the view of a table says: its rows table, the batches that count, and how loads flag rows."""
+    """What the view of a table says: its rows table, the batches that count, how loads flag rows, and the figures
+    they took (a JSON object of columns and figures; empty if a batch was loaded without)."""
 
     rows: str
     base: int
@@ -50,14 +58,14 @@ class _State:
     policy: str = ""
     key: str = ""
     order: str = ""
+    watched: str = ""
 
 
 class TableStore:
     def __init__(self, spark: SparkSession, location: str, database: str | None = None):
         self.spark = spark
         self.database = database or "store_" + hashlib.sha256(location.encode()).hexdigest()[:16]
-        place = location.replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{place}'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{_quoted(location)}'")
 
     def name(self, table: str) -> str:
         """The table's name in SQL."""
@@ -72,7 +80,7 @@ class TableStore:
         if not self.exists(table):
             return None
         p = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").collect()}
-        return _State(p["rows"], int(p["base"]), int(p["top"]), p["policy"], p["key"], p["order"])
+        return _State(p["rows"], int(p["base"]), int(p["top"]), p["policy"], p["key"], p["order"], p.get("watched", ""))
 
     def batch(self, table: str) -> int | None:
         """Number of the newest batch that counts."""
@@ -100,7 +108,7 @@ class TableStore:
                 minute = f"(SELECT max(date_trunc('minute', `{state.order}`)) FROM {self.name(state.rows)} WHERE {BATCH} = {state.top})"
                 flag = f"coalesce(date_trunc('minute', {order}) = {minute}, false)"
         chosen = ", ".join([f"r.`{c}`" for c in columns] + ([f"{flag} AS latest"] if flag else []))
-        properties = ", ".join(f"'{k}' = '{v}'" for k, v in vars(state).items())
+        properties = ", ".join(f"'{k}' = '{_quoted(v)}'" for k, v in vars(state).items())
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.name(table)} TBLPROPERTIES ({properties}) AS "
             f"SELECT {chosen} FROM {self.name(state.rows)} r{joined} WHERE r.{span}"
@@ -122,8 +130,9 @@ class TableStore:
 
     # ---- writing ----------------------------------------------------------
 
-    def _insert(self, rows: str, df: DataFrame, number: int) -> int:
-        """Insert ``df`` as batch ``number`` in place of whatever a failed load left there; the number of its rows."""
+    def _insert(self, rows: str, df: DataFrame, number: int, watch: Watch | None = None) -> dict:
+        """Insert ``df`` as batch ``number`` in place of whatever a failed load left there; its figures, of which ``n`` is
+        the number of its rows. All are taken while the rows are written."""
         name = self.name(rows)
         if not self.spark.catalog.tableExists(name):
             schema = StructType([*df.schema.fields, StructField(BATCH, IntegerType())])
@@ -134,9 +143,10 @@ class TableStore:
         columns = [c for c in self.spark.table(name).columns if c != BATCH]
         missing = {c: F.lit(None) for c in columns if c not in df.columns}
         counted = Observation()
-        out = df.withColumns(missing).select(*columns).observe(counted, F.count(F.lit(1)).alias("n")).withColumn(BATCH, F.lit(number))
+        figures = [F.count(F.lit(1)).alias("n"), *(watch.figures() if watch else [])]
+        out = df.withColumns(missing).select(*columns).observe(counted, *figures).withColumn(BATCH, F.lit(number))
         out.write.mode("append").insertInto(name)
-        return counted.get["n"]
+        return counted.get
 
     def write(self, table: str, df: DataFrame) -> DataFrame:
         """Replace the whole content; the old one counts until the new one is complete. Columns may change."""
@@ -165,12 +175,30 @@ class TableStore:
             state = self._state(table)
         return state
 
-    def _add(self, table: str, df: DataFrame, state: _State | None, policy: str, key: str = "", order: str = "", always: bool = True) -> int:
+    def _add(self, table: str, df: DataFrame, state: _State | None, policy: str, key: str = "", order: str = "", always: bool = True,
+             watch: Watch | None = None) -> int:
         rows, base, top = (state.rows, state.base, state.top) if state else (f"{table}__rows1", 1, 0)
-        n = self._insert(rows, df, top + 1)
-        if n or always or not state:
-            self._show(table, _State(rows, base, top + 1, policy, key, order))
-        return n
+        taken = self._insert(rows, df, top + 1, watch)
+        if taken["n"] or always or not state:
+            self._show(table, _State(rows, base, top + 1, policy, key, order, self._watched(state, watch, taken)))
+        return taken["n"]
+
+    @staticmethod
+    def _watched(state: _State | None, watch: Watch | None, taken: dict) -> str:
+        """The figures of the table with one more batch; none once a batch comes without, or with others."""
+        told = json.loads(state.watched) if state and state.watched else {}
+        if not watch or (state and told.get("watch") != [list(watch.not_null), watch.synced]):
+            return ""
+        return json.dumps({"watch": [list(watch.not_null), watch.synced], "figures": watch.added(told.get("figures", {}), taken)})
+
+    def checks(self, table: str) -> tuple[Watch, dict, str] | None:
+        """The checks that all loads of a table took, their figures over the whole table, and the key that loads keep unique.
+        None if a batch was loaded without. Reads no row."""
+        state = self._state(table)
+        if not state or not state.watched:
+            return None
+        told = json.loads(state.watched)
+        return Watch(tuple(told["watch"][0]), told["watch"][1]), told["figures"], state.key
 
     def append(self, table: str, df: DataFrame) -> DataFrame:
         """Append without looking for duplicates; a ``latest`` column is data here."""
@@ -184,13 +212,14 @@ class TableStore:
     def update(self, table: str, column: str, value: Column) -> DataFrame:
         return self.write(table, ops.update_column(self.read(table), column, value))
 
-    def load(self, table: str, batch: DataFrame, key: str = "_row_id", latest: str = "flip_if_new", order: str | None = None) -> ops.LoadStats:
+    def load(self, table: str, batch: DataFrame, key: str = "_row_id", latest: str = "flip_if_new", order: str | None = None,
+             watch: Watch | None = None) -> ops.LoadStats:
         """Incremental load with counts: appends the rows whose key is new.
 
         Rows that repeat a key inside the batch are cut to one; rows without a key
         all stay. The batch is computed once: its new rows are counted while they are
         written. A load without any leaves the table as it is, except under
-        ``flip_all``, which takes the flag off all rows even then.
+        ``flip_all``, which takes the flag off all rows even then. ``watch`` takes checks in the same pass, see :meth:`checks`.
         """
         if latest not in ops.POLICIES:
             raise ValueError(f"unknown policy {latest!r}")
@@ -205,7 +234,7 @@ class TableStore:
             ids = self._stored(state).select(key) if state else batch.select(key).limit(0)
             again = ids.join(batch.select(key), key, "left_semi").distinct()
             self._insert(self._seen(table, key), again, (state.top if state else 0) + 1)
-        new = self._add(table, fresh, state, latest, key, order or "", always=latest == "flip_all")
+        new = self._add(table, fresh, state, latest, key, order or "", always=latest == "flip_all", watch=watch)
         return ops.LoadStats(new, before, before + new)
 
     def upsert(self, table: str, rows: DataFrame, by: str, keys: Sequence[str]) -> list[str]:

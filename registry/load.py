@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from opsmart.functions.keys import file_line_id, row_id, sync_line_id
 from opsmart.operators import load, quality
 from opsmart.session import materialise, shared_dir
 from opsmart.sources.store import TableStore
-from opsmart.sources.tables import read_drop
+from opsmart.sources.tables import empty, read_drop, typed
 from opsmart.streaming import daily_event_counts, dedupe_into, file_stream, ingest_drops, run_to_days
 from registry import Sources, query
 
@@ -201,6 +202,43 @@ def _(s):
     return shown(store.read("drops"))
 
 
+_ITEM = T.StructType().add("id", "long").add("name", "string").add("weight", "double").add("latest", "boolean")
+
+
+@query("first_load", "select p_partkey as id, p_name as name, true as latest from {part}")
+def _(s):
+    """A typed table without rows and a typed copy without rows take their first load; a column is dropped afterwards."""
+    items = s.part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
+    target = empty(s.spark, _ITEM).unionByName(typed(items.filter(F.lit(False)), _ITEM))
+    batch = typed(items, _ITEM).drop("latest")
+    return load.incremental_load(batch, target, key="id").drop("weight")
+
+
+_WATCH = quality.Watch(("customer_id", "amount", "priority"), "_modified")
+
+
+@query(
+    "load_checks",
+    f"""with {_BOTH}, t as (select * replace (nullif(priority, '2-HIGH') as priority) from (select * from old union all select * from fresh))
+    select 'not_null(customer_id)' as "check", count(*) filter (customer_id is null) as failures, count(*) filter (customer_id is null) = 0 as passed from t
+    union all select 'not_null(amount)', count(*) filter (amount is null), count(*) filter (amount is null) = 0 from t
+    union all select 'not_null(priority)', count(*) filter (priority is null), count(*) filter (priority is null) = 0 from t
+    union all select 'unique(_row_id)', count(*) - count(distinct _row_id), count(*) = count(distinct _row_id) from t
+    union all select 'newest ' || strftime(max(_modified), '%Y-%m-%d %H:%M:%S'), count(*) filter (_modified is null), max(_modified) is not null from t""",
+)
+def _(s):
+    """Checks taken by two loads while they write, and the newest sync time; no row of the table is read for them."""
+    store = TableStore(s.spark, shared_dir(s.spark, "store"))
+    for drops in (s.stored_drops, s.arriving_drops):
+        store.load("drops", with_id(drops).withColumn("priority", F.nullif("priority", F.lit("2-HIGH"))), watch=_WATCH)
+    watch, figures, key = store.checks("drops")
+    newest = watch.synced_table(s.spark, figures).select(
+        F.concat(F.lit("newest "), F.date_format(watch.synced, "yyyy-MM-dd HH:mm:ss")).alias("check"),
+        F.lit(0).cast("bigint").alias("failures"), F.col(watch.synced).isNotNull().alias("passed"),
+    )
+    return watch.report(s.spark, figures, key).unionByName(newest)
+
+
 @query("append_and_refresh", """select p_type as kind, count(*) * 2 as n from {part} group by p_type union all select 'all' as kind, count(*) from {part}""")
 def _(s):
     store = TableStore(s.spark, shared_dir(s.spark, "store"))

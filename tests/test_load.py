@@ -4,7 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from opsmart.operators import load
+from opsmart.operators import load, quality
 from opsmart.plans.refresh import refresh_in_order
 from opsmart.sources.store import TableStore
 from opsmart.sources.tables import empty, read_drop, read_table, rename, typed
@@ -90,6 +90,61 @@ def test_changed_rows(spark):
     assert load.changed_rows(mk([(1, "b"), (2, None)]), old).collect()[0]["v"] == "b"
 
 
+ODD_ROWS = [
+    (None, "a", 0.0, (None, "x"), [1, None]), ("a", None, 0.0, ("x", None), [None, 1]), ("a", None, -0.0, ("x", None), [None, 1]),
+    (None, None, None, None, None), ("b", "c", float("nan"), (None, None), []),
+]
+ODD = "k string, v string, d double, s struct<a: string, b: string>, l array<int>"
+
+
+def test_changed_rows_tells_places_of_nulls_apart(spark):
+    mk = lambda d: spark.createDataFrame(d, ODD)
+    for i, row in enumerate(ODD_ROWS[:2] + ODD_ROWS[3:]):
+        for j, other in enumerate(ODD_ROWS[:2] + ODD_ROWS[3:]):
+            assert load.changed_rows(mk([row]), mk([other])).count() == (i != j)
+    assert load.changed_rows(mk(ODD_ROWS), mk(ODD_ROWS[::-1] * 2), symmetric=True).count() == 0  # order and repeats are no change
+    assert load.changed_rows(mk([ODD_ROWS[1]]), mk([ODD_ROWS[2]]), symmetric=True).count() == 0  # 0.0 is -0.0
+    assert load.changed_rows(mk([]), mk(ODD_ROWS)).count() == 0
+    assert load.changed_rows(mk(ODD_ROWS[:2]), mk([])).count() == 2
+
+
+def test_changed_rows_is_subtract(spark):
+    a = spark.range(5000).selectExpr("id % 900 as k", "if(id % 7 = 0, null, id % 13) as v")
+    b = spark.range(5000).selectExpr("id % 1000 as k", "if(id % 5 = 0, null, id % 13) as v")
+    key = lambda df: sorted((r["k"], r["v"] is None, r["v"] or 0) for r in df.collect())
+    assert key(load.changed_rows(a, b)) == key(a.subtract(b))
+    assert key(load.changed_rows(a, b, symmetric=True)) == key(a.subtract(b).union(b.subtract(a)))
+
+
+def test_unchanged_tables_shuffle_digests_only(spark, tmp_path):
+    spark.range(20000).selectExpr("id", "cast(id as string) as v").write.parquet(str(tmp_path / "t"))
+    t = spark.read.parquet(str(tmp_path / "t"))
+    out = load.changed_rows(t, t)
+    assert out.collect() == []
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Exchange" not in final  # nothing is left to do once no group differs
+
+
+def test_load_takes_checks(spark, tmp_path, target, batch):
+    watch = quality.Watch(("_row_id", "v"), "t")
+    mk = lambda d: spark.createDataFrame(d, "_row_id string, v int, t timestamp")
+    day = lambda n: dt.datetime(2024, 1, n)
+    store = TableStore(spark, str(tmp_path))
+    store.load("w", mk([("a", 1, day(2)), ("b", None, day(5)), (None, None, None), ("a", 1, day(2))]), watch=watch)
+    store.load("w", mk([("b", None, day(9)), ("c", None, day(3)), ("it's", 2, None)]), watch=watch)
+    store.load("w", mk([]), watch=watch)
+    kept, figures, key = store.checks("w")
+    got = {r["check"]: (r["failures"], r["passed"]) for r in kept.report(spark, figures, key).collect()}
+    t = store.read("w")
+    want = [quality.not_null_check(t, "_row_id"), quality.not_null_check(t, "v"), quality.unique_check(t, "_row_id")]
+    assert got == {r["check"]: (r["failures"], r["passed"]) for w in want for r in w.collect()}
+    assert got["not_null(v)"] == (3, False)
+    now = "2024-01-09 00:00:00"
+    assert quality.freshness(kept.synced_table(spark, figures), "t", now).collect() == quality.freshness(t, "t", now).collect()
+    store.load("w", mk([("z", 1, day(4))]))  # a batch without checks: the figures no longer tell of the whole table
+    assert store.checks("w") is None
+
+
 def test_update_by_key_writes_nulls(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
     new = spark.createDataFrame([(1, "x"), (2, None)], "k int, v string")
