@@ -22,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from opsmart.llm.common import held_out, labelled_sample
-from opsmart.session import materialise
+from opsmart.session import shared_dir
 
 _WORD = re.compile(r"\w+")
 #: Besides whole words, their beginnings of these lengths are terms.
@@ -231,19 +231,31 @@ def isotonic(raw: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[np
     return np.array([p[0] / p[2] for p in pools]), np.array([p[1] / p[2] for p in pools])
 
 
+def packed(terms: np.ndarray, counts: np.ndarray) -> bytes:
+    """Gaps between the terms and counts as 32-bit integers, byte planes one after the other: most planes are zeros, which compress away."""
+    numbers = np.concatenate([np.diff(terms, prepend=0), counts]).astype("<u4")
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def unpacked(planes: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """What :func:`packed` was given."""
+    numbers = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").astype(np.int64).reshape(2, -1)
+    return np.cumsum(numbers[0]), numbers[1]
+
+
 def term_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``doc_id, terms, counts`` of every row, and rows ``partial`` with the document frequencies of a task.
+    """``doc_id, packed`` of every row, and rows ``partial`` with ``terms, counts``, the document frequencies of a task.
 
     Written to the shared folder: texts are cut into words once, for the frequencies and for the scores.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # the words of the sample
     rows = docs.select("doc_id", "text")
     numbers = ArrayType(IntegerType())
-    out = StructType([rows.schema["doc_id"], StructField("partial", BooleanType()), StructField("terms", numbers), StructField("counts", numbers)])
+    out = StructType([rows.schema["doc_id"], StructField("partial", BooleanType()), StructField("packed", BinaryType()), StructField("terms", numbers), StructField("counts", numbers)])
     arrow = to_arrow_schema(out)
 
-    def made(ids, partial: bool, found: list) -> pa.RecordBatch:
-        columns = [ids, [partial] * len(found), [t for t, _ in found], [n for _, n in found]]
+    def made(ids: list, partial: bool, planes: list, terms: list, counts: list) -> pa.RecordBatch:
+        columns = [ids, [partial] * len(ids), planes, terms, counts]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,11 +266,14 @@ def term_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             for terms, _ in found:
                 holders[terms] += 1
             total += len(found)
-            yield made(batch.column(0).to_pylist(), False, found)
+            none = [None] * len(found)
+            yield made(batch.column(0).to_pylist(), False, [packed(*f) for f in found], none, none)
         seen = np.flatnonzero(holders)
-        yield made([None], True, [(np.append(seen, -1), np.append(holders[seen], total))])
+        yield made([None], True, [None], [np.append(seen, -1)], [np.append(holders[seen], total)])
 
-    return materialise(rows.mapInArrow(count, out), "term-counts")
+    path = shared_dir(docs.sparkSession, "term-counts")
+    rows.mapInArrow(count, out).write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(out).parquet(path)
 
 
 def document_frequencies(counted_docs: DataFrame, size: int) -> tuple[int, np.ndarray]:
@@ -333,7 +348,7 @@ def build(vocabulary: Vocabulary, idf: np.ndarray, examples: list[tuple[str, lis
 def score_toxicity(counted_docs: DataFrame, index: Index) -> DataFrame:
     """``doc_id, score, evidence``; the evidence names the three nearest examples as ``id:label:similarity``."""
     shared = counted_docs.sparkSession.sparkContext.broadcast(index)  # bounded by the sample
-    rows = counted_docs.where("NOT partial").select("doc_id", "terms", "counts")
+    rows = counted_docs.where("NOT partial").select("doc_id", "packed")
     out = StructType([rows.schema["doc_id"], StructField("score", DoubleType()), StructField("evidence", StringType())])
     arrow = to_arrow_schema(out)
 
@@ -346,16 +361,15 @@ def score_toxicity(counted_docs: DataFrame, index: Index) -> DataFrame:
             return own.score(near), ",".join(f"{own.names[i]}:{own.labels[i]:.2f}:{s:.3f}" for s, i in near[:3])
 
         for batch in batches:
-            cuts = np.asarray(batch.column(1).offsets)
-            terms, counts = (np.asarray(batch.column(k).flatten()) for k in (1, 2))
             found = []
-            for a, b in zip(cuts - cuts[0], cuts[1:] - cuts[0], strict=False):
-                if b - a > 1:
-                    found.append(judge(terms[a:b], counts[a:b]))
+            for planes in batch.column(1).to_pylist():
+                terms, counts = unpacked(planes)
+                if len(terms) > 1:
+                    found.append(judge(terms, counts))
                 else:
-                    key = terms[a:b].tobytes()
+                    key = terms.tobytes()
                     if key not in plain:
-                        plain[key] = judge(terms[a:b], counts[a:b])
+                        plain[key] = judge(terms, counts)
                     found.append(plain[key])
             columns = [batch.column(0), [x[0] for x in found], [x[1] for x in found]]
             yield pa.RecordBatch.from_arrays(

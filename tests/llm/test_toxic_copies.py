@@ -3,6 +3,7 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 
 from opsmart.llm import toxicity
@@ -48,3 +49,9 @@ def test_contradictory_labels_of_one_text_both_count(frame, labels):
     marks = labels([(ids[0], 1, 1, "x"), (ids[1], 1, 0, "x"), (ids[2], 1, 0, "x"), *[(i, 1, n % 2, "x") for n, i in enumerate(ids[3:])]])
     rows = {r["doc_id"]: r["evidence"] for r in toxicity.classify(docs, marks).collect()}
     assert rows[ids[0]].split(",")[0].split(":")[1] == "0.50"  # once toxic, once not
+
+
+@pytest.mark.parametrize("terms, counts", [([], []), ([0], [1]), ([0, 1, 7], [1, 2, 300]), ([5, 70_000, 20_000_000], [2**31, 1, 65_536])])
+def test_packed_terms_come_back(terms, counts):
+    got = toxicity.unpacked(toxicity.packed(np.array(terms, np.int64), np.array(counts, np.int64)))
+    assert [x.tolist() for x in got] == [terms, counts]
