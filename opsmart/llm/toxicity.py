@@ -129,9 +129,11 @@ class Index:
     names: list[str]
     prior: float
     neighbours: int = 15
-    #: The posting lists one after the other: examples, their weights, and where each block of each list starts.
+    #: The posting lists one after the other: examples, their weights, the lengths of the lists, and where each block of each list starts.
     holders: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    lengths: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    blocks: int = 0
     starts: np.ndarray = field(default_factory=lambda: np.zeros((0, 1), np.int64))
     block_max: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     curve: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.zeros(1), np.zeros(1)))
@@ -152,6 +154,13 @@ class Index:
         holders = np.repeat(np.arange(len(vectors)), lengths)
         order = np.lexsort((holders, terms))
         terms, self.holders, self.weights = terms[order], holders[order].astype(np.int32), weights[order]
+        self.blocks, self.lengths = blocks, np.bincount(terms, minlength=size).astype(np.int32)
+        self._cut()
+
+    def _cut(self) -> None:
+        """Where the blocks of each list start, and their largest weights."""
+        size, blocks = len(self.lengths), self.blocks
+        terms = np.repeat(np.arange(size), self.lengths)
         self.block_max = np.zeros((size, blocks), np.float32)
         np.maximum.at(self.block_max, (terms, self.holders // _BLOCK), self.weights * (1 + 1e-6))  # rounded up
         cells = np.bincount(terms * blocks + self.holders // _BLOCK, minlength=size * blocks)
@@ -160,6 +169,14 @@ class Index:
         self.starts[:, 1:] = ends
         self.starts[1:, 0] = ends[:-1, -1] if blocks else 0
 
+    def __getstate__(self) -> dict:
+        """All but the tables of blocks, which have a cell a term and block: workers make them from the lists."""
+        return {k: v for k, v in vars(self).items() if k not in ("block_max", "starts")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._cut()
+
     def nearest(self, vector: Vector, without: int = -1) -> list[tuple[float, int]]:
         """``(similarity, example)`` of the nearest examples, ties by position; ``without`` is passed over if it is a single one."""
         terms, own = vector

@@ -1,5 +1,6 @@
 """A near copy of a labelled example is found by its whole text, whatever words it is made of."""
 
+import pickle
 import random
 import zlib
 
@@ -55,3 +56,16 @@ def test_contradictory_labels_of_one_text_both_count(frame, labels):
 def test_packed_terms_come_back(terms, counts):
     got = toxicity.unpacked(toxicity.packed(np.array(terms, np.int64), np.array(counts, np.int64)))
     assert [x.tolist() for x in got] == [terms, counts]
+
+
+def test_index_travels_without_its_tables_of_blocks():
+    rng = random.Random(8)
+    texts = [([f"w{rng.randrange(60)}" for _ in range(rng.randrange(1, 30))], rng.randrange(2)) for _ in range(300)]
+    vocabulary = toxicity.Vocabulary(toxicity.all_terms(texts))
+    index = toxicity.build(vocabulary, np.ones(vocabulary.other + 1), [(str(i), found, label) for i, (found, label) in enumerate(texts)], 0.3, 15)
+    sent = pickle.dumps(index)
+    back = pickle.loads(sent)
+    assert (back.starts == index.starts).all() and (back.block_max == index.block_max).all()
+    assert index.block_max.nbytes and not {"starts", "block_max"} & index.__getstate__().keys()
+    for found, _ in texts[:50]:
+        assert back.nearest(back.vector(found)) == index.nearest(index.vector(found))
