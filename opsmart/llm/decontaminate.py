@@ -18,13 +18,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opsmart.llm.common import WORD_CLASS, ascii_lower
+from opsmart.llm.common import WORD_GAP, ascii_lower
 from opsmart.session import materialise
 
 
 def words_of(text: Column) -> Column:
-    """Words of the whole text in their own case; a null text has none."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD_CLASS), F.lit(0))
+    """Words of the whole text in their own case; a null text has none. Split at the gaps, which costs a fifth of matching each word."""
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_GAP), "")
 
 
 def _lowered(words: Column) -> Column:
@@ -44,10 +44,11 @@ def _items(benchmark: DataFrame) -> DataFrame:
 def _occurrences(docs: DataFrame) -> DataFrame:
     """Every word of every document: its place (from 1), its key, and the document's words.
 
-    Each document begins with an empty word at place 0, whose row stands for the document itself.
+    Each document begins with an empty word at place 0, whose row stands for the document itself. No list is empty, so the
+    outer form gives the same rows; the inner one makes Spark filter by the size of the list, for which it cuts the text a second time.
     """
     words = _documents(docs).select("_doc", F.concat(F.array(F.lit("")), words_of(F.col("text"))).alias("words"))
-    return words.select("_doc", "words", F.posexplode("words").alias("pos", "word")).withColumn("key", F.lower("word"))
+    return words.select("_doc", "words", F.posexplode_outer("words").alias("pos", "word")).withColumn("key", F.lower("word"))
 
 
 def _found(occurrences: DataFrame, terms: DataFrame) -> DataFrame:
