@@ -23,17 +23,17 @@ def sequence_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     Equal to ``row_number()`` over the same order, minus ``1 - start``; the order
     should be unique inside the key. The ranges are sampled, so the partitioned
     rows are written to the shared folder and read from there for the count and
-    for the numbers: the input itself is computed once. Keys travel as structs, in which a
-    NULL equals a NULL, so plain equality joins keep NULL groups.
+    for the numbers: the input itself is computed once. Rows move with their own columns only, twice in all. Of the
+    keys in a partition only the first can have begun in an earlier one, so the counts that are added are one row a
+    partition at most, and are broadcast.
     """
-    names = [f"_o{i}" for i in range(len(order))]
-    key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
-    base = df.withColumns({"_key": key, **{n: F.col(c) for n, c in zip(names, order)}})
-    ranged = materialise(base.repartitionByRange("_key", *names).withColumn("_part", F.spark_partition_id()), "sequence")
-    counts = ranged.groupBy("_key", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    by = [*keys, *order]
+    ranged = materialise(df.repartitionByRange(*by).withColumn("_part", F.spark_partition_id()), "sequence")
+    key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])  # in a struct a NULL equals a NULL
+    counts = ranged.groupBy(key.alias("_key"), "_part").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select("_key", "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    local = F.row_number().over(Window.partitionBy("_key", "_part").orderBy(*names))
-    numbered = ranged.withColumn("_local", local).join(before, ["_key", "_part"])
-    position = (F.col("_before") + F.col("_local") - 1 + start).cast("bigint")
-    return numbered.withColumn(name, position).drop("_key", "_part", "_local", "_before", *names)
+    before = counts.select("_key", F.col("_part").alias("_at"), F.sum("_n").over(earlier).alias("_before")).where("_before > 0")
+    numbered = ranged.withColumn("_local", F.row_number().over(Window.partitionBy("_part", *keys).orderBy(*order)))
+    numbered = numbered.join(F.broadcast(before), (F.col("_part") == F.col("_at")) & (key == F.col("_key")), "left")
+    position = (F.coalesce("_before", F.lit(0)) + F.col("_local") - 1 + start).cast("bigint")
+    return numbered.withColumn(name, position).drop("_key", "_part", "_at", "_local", "_before")
