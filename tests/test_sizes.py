@@ -26,3 +26,41 @@ def test_numbering_writes_no_column_twice(spark, monkeypatch):
     out = ranking.sequence_in_group(df, ["k"], ["n"], "pos")
     assert written == [["k", "n", "v", "_part"]]
     assert sorted((r["v"], r["pos"]) for r in out.collect()) == [("x", 2), ("y", 1), ("z", 1)]
+
+
+def test_scans_are_estimated_and_cut_by_their_rows(spark, tmp_path):
+    """A session made elsewhere gets the settings of scans; what it sets itself stays."""
+    from opsmart.session import SCANS, tune_scans
+    from registry import Sources
+
+    kept, factor = SCANS
+    other = spark.newSession()
+    for key in SCANS:
+        other.conf.unset(key)
+    other.conf.set(kept, "2.5")
+    Sources(other, str(tmp_path))
+    tune_scans(other)
+    assert other.conf.get(kept) == "2.5" and other.conf.get(factor) == SCANS[factor]
+
+
+def test_calendar_meets_days_not_orders(spark, tmp_path):
+    from registry import Sources, load_all
+
+    rows = [(i, dt.datetime(2000, 1, 1 + i % 3)) for i in range(40)] + [(41, None)]
+    spark.createDataFrame(rows, "o_orderkey long, o_orderdate timestamp_ntz").write.parquet(f"{tmp_path}/orders.parquet")
+    out = load_all()["sql_spine_windows"].build(Sources(spark, str(tmp_path)))
+    text = plan(out)
+    assert text.count("Join") >= 3 and text.index("Join") < text.index("partial_count")  # counted below the joins
+    got = {(r["kind"], str(r["date"])): r["n_orders"] for r in out.collect() if r["n_orders"]}
+    assert got == {(k, f"2020-01-0{d}"): n for k in ("to_today", "historical_and_projections") for d, n in ((1, 14), (2, 13), (3, 13))}
+
+
+def test_deliveries_are_several_files(spark, tmp_path, monkeypatch):
+    from registry import Sources, load
+
+    rows = [(i, dt.datetime(2024, 1, 1 + i % 10), "view", float(i)) for i in range(400)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
+    s = Sources(spark, str(tmp_path))
+    drops = load._files_newest_first(s, str(tmp_path / "home"), copies=1)
+    files = {r["f"]: (r["n"], r["newest"]) for r in spark.read.parquet(drops).groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n"), F.max("ts").alias("newest")).collect()}
+    assert len(files) == 5 * load._FILES and sum(n for n, _ in files.values()) == 400 and max(n for n, _ in files.values()) < 80
