@@ -387,25 +387,29 @@ def _(s):
     return store.read("events")
 
 
+#: Files of a delivery, so that no task reads or writes a delivery alone; a batch takes as many.
+_FILES = 8
+
+
 def _files_newest_first(s: Sources, home: str, copies: int = 2, parts: int = 5) -> str:
-    """The events, each ``copies`` times, in files of ascending age: the latest events are delivered first."""
+    """The events, each ``copies`` times, in deliveries of ascending age: the latest events come first."""
     share = F.ntile(parts).over(Window.orderBy(F.col("day").desc()))
     days = s.events.select(F.to_date("ts").alias("day")).distinct().select("day", share.alias("part"))  # one row a day
     rows = s.events.withColumn("day", F.to_date("ts")).join(days, "day")
     twice = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
-    # The second copy of an event comes one file later, with still older events.
+    # The second copy of an event comes one delivery later, with still older events.
     twice = twice.withColumn("part", F.col("part") + F.col("copy") - 1)
     for k in range(1, parts + copies):
-        twice.where(F.col("part") == k).select(*s.events.columns).coalesce(1).write.mode("append").parquet(f"{home}/drops")
+        twice.where(F.col("part") == k).select(*s.events.columns).repartition(_FILES).write.mode("append").parquet(f"{home}/drops")
     return f"{home}/drops"
 
 
 @query("stream_dedupe", "select event_id, event_type, value from {events}")
 def _(s):
-    """Every event sent twice, newest first, a file a batch: late first deliveries stay, repeats go."""
+    """Every event sent twice, newest first, a delivery a batch: late first deliveries stay, repeats go."""
     home = shared_dir(s.spark, "dedupe")
     store = TableStore(s.spark, f"{home}/tables")
-    stream = file_stream(s.spark, _files_newest_first(s, home), s.events.schema, files_per_trigger=1)
+    stream = file_stream(s.spark, _files_newest_first(s, home), s.events.schema, files_per_trigger=_FILES)
     dedupe_into(stream.select("event_id", "event_type", "value"), "event_id", store, "events", f"{home}/checkpoint").awaitTermination()
     return store.read("events")
 
@@ -415,9 +419,9 @@ def _(s):
     """select cast(ts as date) as date, event_type, count(*) as event_count, cast(sum(cast(value as decimal(18,2))) as double) as value from {events} group by 1, 2""",
 )
 def _(s):
-    """Newest files first, a file a batch: every batch writes the days it touched, however late they come."""
+    """Newest deliveries first, one a batch: every batch writes the days it touched, however late they come."""
     home = shared_dir(s.spark, "daily")
-    stream = file_stream(s.spark, _files_newest_first(s, home, copies=1), s.events.schema, files_per_trigger=1)
+    stream = file_stream(s.spark, _files_newest_first(s, home, copies=1), s.events.schema, files_per_trigger=_FILES)
     counts = daily_event_counts(stream, "ts", "event_type", None, {"value": F.col("value").cast("decimal(18,2)")})
     out = run_to_days(counts, TableStore(s.spark, f"{home}/tables"), "daily", f"{home}/checkpoint", "event_type")
     return out.select("date", "event_type", "event_count", F.col("value").cast("double").alias("value"))
