@@ -87,6 +87,8 @@ def _(s):
             *refresh.warehouse_steps(store, raw, "Brand"), *refresh.logistics_steps(store, raw, "stock_report_", "ship_"),
             *refresh.finance_steps(store, raw), *refresh.audience_steps(store, raw), *refresh.ads_steps(store, raw),
         ]
-        outcome = refresh.summary(s.spark, store, refresh.run_graph(steps)).select(F.lit(number).alias("round"), "*")
+        outcomes = refresh.run_graph(steps)
+        outcome = refresh.summary(s.spark, store, outcomes).select(F.lit(number).alias("round"), "*")
+        refresh.tidy(store, outcomes)
         shown = outcome if shown is None else shown.union(outcome)
     return shown
