@@ -17,6 +17,7 @@ import hashlib
 import json
 import re
 import unicodedata
+from collections.abc import Callable
 from itertools import chain
 
 import ahocorasick
@@ -35,9 +36,14 @@ _SEPARATORS = re.compile("[\x1c-\x1f]")
 #: The splitter's pattern; a fixed value. What it does not match is dropped.
 _PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[{0}]+|[{1}]|[^{2}{0}{1}]+"
 _PIECES = regex.compile(_PATTERN.format("\\p{L}", "\\p{N}", _WS))
-#: Runs, words and token pairs that a worker remembers at most; then it starts anew. Workers live as long as their
-#: executor, so this is what they hold (about 230 MB) whatever runs in them next.
-_REMEMBERED = 200_000
+#: The same for ASCII in lower case.
+_ASCII = re.compile(_PATTERN.format("a-z", "0-9", "\\t-\\r\\x20"))
+#: Runs, words and token pairs that a worker remembers at most. Workers live as long as their
+#: executor, so this is what they hold whatever runs in them next.
+_REMEMBERED = 600_000
+_PAIRS = 400_000
+#: Longer runs and words hardly come again and are not remembered.
+_LONGEST = 100
 _FOREVER = 1 << 60
 #: The last symbol of a word is a symbol of its own; it is moved by this much.
 _FINAL = 0x10000
@@ -50,6 +56,29 @@ def _byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+class _Remembered(dict):
+    """What ``make`` returned for the texts asked for last, ``most`` of them at most.
+
+    Half of them are in use; once they are full they become the older half, from which those that are
+    asked for again come back. So frequent texts stay, however many others there are.
+    """
+
+    def __init__(self, make: Callable, most: int):
+        super().__init__()
+        self._make, self._half, self._older = make, most // 2, {}
+
+    def __missing__(self, text: str):
+        found = self._older.get(text)
+        if found is None:
+            found = self._make(text)
+        if len(text) <= _LONGEST:
+            if len(self) >= self._half:
+                self._older = dict(self)
+                self.clear()
+            self[text] = found
+        return found
+
+
 class PrefixEncoder:
     """BPE with word ends, from a ``tokenizers`` file of that kind."""
 
@@ -87,8 +116,8 @@ class PrefixEncoder:
                 self._automaton.add_word(key, (i, len(key)))
         self._automaton.make_automaton()
         self._fits: dict[tuple[int, int], bool] = {}
-        self._words: dict[str, tuple[int, ...]] = {}
-        self._known: dict[str, tuple[int, str, str]] = {}
+        self._words = _Remembered(self.word, _REMEMBERED)
+        self._known = _Remembered(self._run, _REMEMBERED)
 
     def _compatible(self, a: int, b: int) -> bool:
         """Whether ``a`` then ``b`` stay two tokens.
@@ -130,7 +159,7 @@ class PrefixEncoder:
                 pair = (last[begin], token)
                 good = fits.get(pair)
                 if good is None:
-                    if len(fits) >= 2 * _REMEMBERED:
+                    if len(fits) >= _PAIRS:
                         fits.clear()
                     good = fits[pair] = self._compatible(*pair)
                 if not good:
@@ -145,7 +174,7 @@ class PrefixEncoder:
     def pieces(self, text: str) -> list[str]:
         """The pieces of ordinary text, normalised."""
         if text.isascii():
-            return _PIECES.findall(_SPACE.sub(" ", text).lower())
+            return _ASCII.findall(text.lower())
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # no special final sigma
         text = _SPACE.sub(" ", text)
         if not (self._differs and self._differs.search(text)):
@@ -156,17 +185,8 @@ class PrefixEncoder:
 
     def _ids(self, text: str) -> list[int]:
         """Ids of ordinary text."""
-        known, found = self._words, []
-        for x in self.pieces(text):
-            ids = known.get(x)
-            if ids is None:
-                ids = self.word(x)
-                if len(known) >= _REMEMBERED:
-                    known.clear()
-                if len(x) <= 100:  # long pieces hardly come again
-                    known[x] = ids
-            found += ids
-        return found
+        words = self._words
+        return list(chain.from_iterable([words[x] for x in self.pieces(text)]))
 
     def _segments(self, text: str):
         """``(is special, part)``: the strings of special tokens and what stands between them."""
@@ -183,6 +203,11 @@ class PrefixEncoder:
         """The vocabulary has no decoder of its own: its strings are joined by spaces."""
         return " ".join(map(self.strings.__getitem__, ids))
 
+    def _run(self, run: str) -> tuple[int, str, str]:
+        """Count, ids and decoded text of a run of ordinary text between white space."""
+        ids = self._ids(run)
+        return len(ids), " ".join(map(str, ids)), self.decode(ids)
+
     def _runs(self, text: str) -> list[tuple[int, str, str]]:
         """Count, ids and decoded text of every run of ordinary text between white space.
 
@@ -191,21 +216,7 @@ class PrefixEncoder:
         """
         runs = text.split() if not _SEPARATORS.search(text) else [x for x in _SPACE.split(text) if x]
         known = self._known
-        try:
-            return [known[x] for x in runs]
-        except KeyError:
-            if len(known) >= _REMEMBERED:
-                known.clear()
-            here = {}
-            for x in set(runs):
-                entry = known.get(x)
-                if entry is None:
-                    ids = self._ids(x)
-                    entry = (len(ids), " ".join(map(str, ids)), self.decode(ids))
-                    if len(x) <= 100:
-                        known[x] = entry
-                here[x] = entry
-            return [here[x] for x in runs]
+        return [known[x] for x in runs]
 
     def digests(self, text: str) -> tuple[int, str, str]:
         """Number of tokens, and the SHA-256 of the ids and of the decoded text."""

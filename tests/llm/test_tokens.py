@@ -101,3 +101,14 @@ def test_bpe_with_letters_of_later_tables():
     for _ in range(3000):
         text = "".join(rnd.choice(odd) for _ in range(rnd.randint(0, 12)))
         assert own.encode(text) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_frequent_texts_are_remembered():
+    """Texts that come again and again are made once, however many others pass in between."""
+    made = []
+    known = bpe._Remembered(lambda x: made.append(x) or x.upper(), 20)
+    for k in range(200):
+        assert known[f"rare{k}"] == f"RARE{k}" and known["often"] == "OFTEN"
+    assert made.count("often") == 1 and len(known) <= 10
+    long = "x" * (bpe._LONGEST + 1)
+    assert known[long] == long.upper() and long not in known
