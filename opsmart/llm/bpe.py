@@ -38,10 +38,9 @@ _PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[{0}]+|[{1}]|[^{2}{0}{1}]+"
 _PIECES = regex.compile(_PATTERN.format("\\p{L}", "\\p{N}", _WS))
 #: The same for ASCII in lower case.
 _ASCII = re.compile(_PATTERN.format("a-z", "0-9", "\\t-\\r\\x20"))
-#: Runs, words and token pairs that a worker remembers at most. Workers live as long as their
-#: executor, so this is what they hold whatever runs in them next.
-_REMEMBERED = 600_000
-_PAIRS = 400_000
+#: Runs that a worker remembers at most; words are two thirds as many, token pairs a third more. Workers live as long as
+#: their executor, so this is what they hold (about 250 MB) whatever runs in them next.
+_REMEMBERED = 300_000
 #: Longer runs and words hardly come again and are not remembered.
 _LONGEST = 100
 _FOREVER = 1 << 60
@@ -116,7 +115,7 @@ class PrefixEncoder:
                 self._automaton.add_word(key, (i, len(key)))
         self._automaton.make_automaton()
         self._fits: dict[tuple[int, int], bool] = {}
-        self._words = _Remembered(self.word, _REMEMBERED)
+        self._words = _Remembered(self.word, 2 * _REMEMBERED // 3)
         self._known = _Remembered(self._run, _REMEMBERED)
 
     def _compatible(self, a: int, b: int) -> bool:
@@ -159,7 +158,7 @@ class PrefixEncoder:
                 pair = (last[begin], token)
                 good = fits.get(pair)
                 if good is None:
-                    if len(fits) >= _PAIRS:
+                    if len(fits) >= 4 * _REMEMBERED // 3:
                         fits.clear()
                     good = fits[pair] = self._compatible(*pair)
                 if not good:
