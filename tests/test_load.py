@@ -4,6 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from opsmart.functions.keys import row_id
 from opsmart.operators import load, quality
 from opsmart.plans.refresh import refresh_in_order
 from opsmart.sources.store import TableStore
@@ -66,6 +67,23 @@ def test_null_ids_always_load(spark, target):
     assert load.incremental_load(batch, target).count() == 4
 
 
+def test_new_days_are_those_with_new_ids(spark):
+    """Days around those stored, before 1970 too; some rows come twice, some lack a part of the key, and so the id."""
+    def table(days, v):
+        keys = [("W", "a"), ("W", "b"), ("N", "a"), ("N", None), (None, "a")]
+        data = [(w, s, d, v) for i, (w, s) in enumerate(keys) for d in [*days[i:], days[0], None]]
+        return spark.createDataFrame(data, "warehouse string, sku string, date date, v int").withColumn("_row_id", row_id("warehouse", "date", "sku"))
+
+    first = dt.date(1969, 10, 1)
+    stored = table([first + dt.timedelta(n) for n in range(40, 200, 3)], 1).where("not (warehouse = 'N' and sku = 'a')")
+    batch = table([first + dt.timedelta(n) for n in range(0, 260)], 2)
+    got = load.new_days(batch, stored, ["warehouse", "sku"], "date")
+    want = load.new_rows(batch, stored).select(batch.columns)
+    assert got.columns == batch.columns and 0 < want.count() < batch.count()
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+    assert load.new_days(batch, stored.limit(0), ["warehouse", "sku"], "date").count() == batch.count()
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.sets(st.integers(0, 9), min_size=1), st.sets(st.integers(0, 9), min_size=1), st.sampled_from(["flip_if_new", "flip_matched"]))
 def test_load_is_idempotent(spark, stored, arriving, policy):

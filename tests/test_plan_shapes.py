@@ -63,6 +63,14 @@ def test_calendar_fill_shuffles_snapshots_only(no_broadcast):
     assert "Join" not in tree and tree.count("Exchange") == 2  # the daily sums, then the window
 
 
+def test_daily_load_shuffles_no_days(no_broadcast):
+    from registry import whole
+
+    tree = plan(whole.QUERIES["inventory_history_load_all_days"](Sources(no_broadcast, FOLDER)))
+    moved = [line for line in tree.splitlines() if line.startswith("Arguments: hashpartitioning(")]
+    assert moved and not any("_row_id" in line or "date#" in line.replace("inv_date#", "") for line in moved)
+
+
 def test_small_batch_leaves_a_big_target_unshuffled(spark):
     target = spark.read.parquet(f"{FOLDER}/lineitem.parquet").select(F.col("l_orderkey").cast("string").alias("_row_id"))
     batch = spark.read.parquet(f"{FOLDER}/supplier.parquet").select(F.col("s_suppkey").cast("string").alias("_row_id"), "s_name")
