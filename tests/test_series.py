@@ -49,6 +49,15 @@ def test_fill_calendar_is_densify_join_fill(spark, cells):
     assert key(got) == key(want)
 
 
+def test_fill_calendar_keeps_repeated_days(spark):
+    day = lambda n: D(2023, 1, n)
+    twice = [("a", day(2), 5), ("a", day(2), 5), ("a", day(4), 7), ("b", day(9), 1), ("b", day(9), 1)]
+    df = spark.createDataFrame(twice, "k string, day date, v int")
+    got = series.fill_calendar(df, ["k"], "day", ["v"], F.lit(day(1)), F.lit(day(4)))
+    want = [("a", day(1), None), ("a", day(2), 5), ("a", day(2), 5), ("a", day(3), 5), ("a", day(4), 7), *[("b", day(n), None) for n in range(1, 5)]]
+    assert sorted(tuple(r) for r in got.select("k", "date", "v").collect()) == want
+
+
 @settings(**RELAXED)
 @given(st.lists(st.integers(0, 9), min_size=1, max_size=15))
 def test_weighted_age_is_the_triangular_sum(spark, values):
