@@ -238,6 +238,21 @@ def test_repeated_windows(spark, part):
     assert Counter(tuple(r) for r in suffix_dedup.removed_windows(docs, 40, part).collect()) == want
 
 
+def test_a_part_tells_a_block_once(spark, monkeypatch):
+    rnd = random.Random(5)
+    base = "".join(rnd.choice("abcdefgh ") for _ in range(160))
+    cuts = [(rnd.randrange(160), rnd.choice("VWXYZ")) for _ in range(60)]
+    rows = [(i, base[:a] + c + base[a:]) for i, (a, c) in enumerate(cuts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tables, keep = {}, suffix_dedup.materialise
+    monkeypatch.setattr(suffix_dedup, "materialise", lambda df, purpose: tables.setdefault(purpose, keep(df, purpose)))
+    got = Counter(tuple(r) for r in suffix_dedup.removed_windows(docs, 40, 4).collect())
+    assert got == Counter((i, *x) for (i, _), x in zip(rows, brute_windows([t for _, t in rows], 40), strict=True))
+    told = {k: {(r["anchor"], r["salt"], r["digest"]) for r in tables["settled"].where(f"kind = '{k}'").collect()} for k in ("left", "seen")}
+    assert told["left"] and told["seen"]
+    assert not told["left"] & told["seen"]
+
+
 def test_runs_do_not_depend_on_the_stretch(monkeypatch):
     data = "".join(random.Random(1).choice("abcd") for _ in range(5000)).encode()
     covered = lambda: [(int(s), int(p)) for lo, hi, p, _ in zip(*suffix_dedup.runs(data, 100), strict=True) for s in range(lo, hi + 1)]
