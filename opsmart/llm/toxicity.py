@@ -322,12 +322,14 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, neighbours: i
 
 def _alike(vectors: list[Vector], toxic: np.ndarray, size: int) -> np.ndarray:
     """An order of the examples in which neighbours are alike: by class, then around the centre they are nearest to."""
+    if not vectors:
+        return np.zeros(0, np.int64)
     centres = np.zeros((size, min(_CENTRES, len(vectors))), np.float32)
     for k in range(centres.shape[1]):
         terms, own = vectors[k * len(vectors) // centres.shape[1]]
         centres[terms, k] = own
     near = np.array([own @ centres[terms] for terms, own in vectors]).reshape(len(vectors), -1)
-    return np.lexsort((-near.max(axis=1), near.argmax(axis=1), toxic > 0.5)) if len(vectors) else np.zeros(0, np.int64)
+    return np.lexsort((-near.max(axis=1), near.argmax(axis=1), toxic > 0.5))
 
 
 def build(vocabulary: Vocabulary, idf: np.ndarray, examples: list[tuple[str, list[str], int]], prior: float, neighbours: int) -> Index:

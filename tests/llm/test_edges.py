@@ -41,6 +41,11 @@ def test_empty_table(spark, frame, labels, name):
     assert _operators(spark, labels)[name](frame([])).collect() == []
 
 
+def test_toxicity_without_labels(frame, labels, odd):
+    got = toxicity.classify(frame(odd), labels([])).collect()
+    assert {(r["score"], r["predicted"]) for r in got} == {(0.0, 0)}
+
+
 def test_empty_values(spark, frame, labels, odd):
     run = _operators(spark, labels)
     one = lambda name, i: next(r for r in run[name](frame(odd)).collect() if r["doc_id"] == i)
