@@ -14,7 +14,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from opsmart.session import materialise
+from opsmart.session import materialise_by
+
+
+def materialise(df: DataFrame, purpose: str) -> DataFrame:
+    return materialise_by(df, purpose, "_part")
 
 
 def sequence_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, start: int = 1) -> DataFrame:
@@ -23,7 +27,8 @@ def sequence_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     Equal to ``row_number()`` over the same order, minus ``1 - start``; the order
     should be unique inside the key. The ranges are sampled, so the partitioned
     rows are written to the shared folder and read from there for the count and
-    for the numbers: the input itself is computed once. Rows move with their own columns only, twice in all. Of the
+    for the numbers: the input itself is computed once. The table is bucketed by the partition, so rows are counted and numbered
+    where they lie: they are shuffled once in all, with their own columns only. Of the
     keys in a partition only the first can have begun in an earlier one, so the counts that are added are one row a
     partition at most, and are broadcast.
     """

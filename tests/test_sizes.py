@@ -28,6 +28,16 @@ def test_numbering_writes_no_column_twice(spark, monkeypatch):
     assert sorted((r["v"], r["pos"]) for r in out.collect()) == [("x", 2), ("y", 1), ("z", 1)]
 
 
+def test_numbering_shuffles_rows_once(spark):
+    """Rows are numbered where the ranges lie; afterwards only counts are shuffled, and no name stays in the catalog."""
+    named = [t.name for t in spark.catalog.listTables()]
+    df = spark.range(3000).selectExpr("id % 5 as k", "id", "if(id % 2 = 0, null, 'x') as v")
+    out = ranking.sequence_in_group(df.repartition(4), ["k", "v"], ["id"], "pos", start=0)
+    assert "hashpartitioning(_part" not in plan(out) and plan(out).count("Exchange hashpartitioning") == 1
+    assert sorted(r["pos"] for r in out.collect()) == sorted(i for i in range(300) for _ in range(10))
+    assert [t.name for t in spark.catalog.listTables()] == named
+
+
 def test_scans_are_estimated_and_cut_by_their_rows(spark, tmp_path):
     """A session made elsewhere gets the settings of scans; what it sets itself stays."""
     from opsmart.session import SCANS, tune_scans
