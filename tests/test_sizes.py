@@ -91,3 +91,31 @@ def test_tasks_stay_small(spark, tmp_path):
     other.conf.set(size, "8m")
     tune_scans(other)
     assert other.conf.get(size) == "8m"
+
+
+def test_days_unfold_where_they_stay(spark, tmp_path):
+    """With joins too large to broadcast, snapshots are shuffled and days are not; they unfold in all partitions of the session."""
+    from registry import Sources, load_all, whole
+
+    day = dt.datetime(1999, 1, 1)
+    lines = [(i, i % 7, float(i % 50), i % 3, "FO"[i % 2], "A", day + dt.timedelta(days=i)) for i in range(90)]
+    schema = "l_orderkey long, l_partkey long, l_quantity double, l_linenumber int, l_linestatus string, l_returnflag string, l_shipdate timestamp_ntz"
+    spark.createDataFrame(lines, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    parts = [(i, f"part {i}", "Brand", "LARGE" if i % 2 else "PROMO", 45 + i, 1.5) for i in range(7)]
+    schema = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    spark.createDataFrame(parts, schema).write.parquet(f"{tmp_path}/part.parquet")
+    conf, key = spark.conf, "spark.sql.autoBroadcastJoinThreshold"
+    before = conf.get(key)
+    conf.set(key, "-1")
+    try:
+        out = load_all()["inventory_history_load"].build(Sources(spark, str(tmp_path)))
+        lines = plan(out).splitlines()
+        at = [(line.index("- " if "- " in line else line[:1]), line) for line in lines if "Exchange hash" in line or "Generate explode" in line]
+        for k, (depth, line) in enumerate(at):
+            if "Generate explode" in line:  # what it lies under: only counts of days are shuffled
+                assert not [x for d, x in at[:k] if d < depth and "hashpartitioning(warehouse" in x and x.count("#") < 3]
+        days = whole.QUERIES["inventory_history_all_days"](Sources(spark, str(tmp_path)))
+        assert days.rdd.getNumPartitions() == int(conf.get("spark.sql.shuffle.partitions"))
+        assert sum(r["n_days"] for r in out.collect()) == days.count()
+    finally:
+        conf.set(key, before)
